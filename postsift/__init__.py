@@ -8,11 +8,12 @@ from postsift.functions import (
     split_email,
 )
 from postsift.operators.attach import HotKeys
+from postsift.operators.registration import domain_ages
 from postsift.operators.typo import find_typos, typo_match
 from postsift.plans.options import Options
 from postsift.plans.route import discarded, sendable, write_routed
 from postsift.plans.rules import DEFAULT_RULES, Cut, Rule, RuleView, insert_rule, reject, review
-from postsift.plans.validate import lookup_counts, lookup_worklist, validate
+from postsift.plans.validate import lookup_counts, lookup_worklist, registration_worklist, validate
 from postsift.sources.lists import BASE_LISTS, ReferenceLists, build_lists
 
 __all__ = [
@@ -26,6 +27,7 @@ __all__ = [
     "RuleView",
     "build_lists",
     "discarded",
+    "domain_ages",
     "edit_distance",
     "find_typos",
     "has_valid_syntax",
@@ -34,6 +36,7 @@ __all__ = [
     "lookup_worklist",
     "looks_like_filler",
     "normalize_email",
+    "registration_worklist",
     "reject",
     "review",
     "sendable",

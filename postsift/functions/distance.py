@@ -2,12 +2,14 @@
 
 Spark has `levenshtein` but counts a transposition as two edits, so `gmial` would
 be two away from `gmail`. `edit_distance` is the exact measure for any two texts;
-`edit_distance_within` is the same measure cut off at one or two edits, and decides
-nearly every pair with the native `levenshtein` alone.
+`edit_distance_within` is the same measure cut off at one or two edits; it never fills the
+table, and decides nearly every pair with the native `levenshtein` alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,22 +76,60 @@ def refine(rough: Column, a: Column, b: Column) -> Column:
     missing from the other. So, for distances up to two:
 
     * levenshtein 0 or 1 is already the answer;
-    * levenshtein 2 is 1 only for a lone swap, which leaves no stray character;
-    * levenshtein 3 needs a swap and at most one other edit: at most one stray;
-    * levenshtein 4 needs two swaps: no stray; above 4 the distance exceeds two.
+    * levenshtein 2 is 1 for a lone swap, else 2;
+    * levenshtein 3 or 4 is 2 for two swaps, and 3 also for a swap and one other edit.
 
-    The fold runs only for the few pairs that pass these tests.
+    The searches for swaps run only where the stray characters leave room for them.
     """
     stray = F.greatest(_strays(a, b), _strays(b, a))
     return (
         F.when(rough < 0, F.lit(None))
         .when(rough <= 1, rough)
-        .when((rough == 2) & (stray > 0), F.lit(2))
-        .when((rough > 2) & (stray > ROUGH_LIMIT - rough), F.lit(None))
-        .otherwise(F.nullif(F.least(edit_distance(a, b), F.lit(3)), F.lit(3)))
+        .when(rough == 2, F.when((stray == 0) & _one_swap(a, b), 1).otherwise(2))
+        .when(stray > ROUGH_LIMIT - rough, F.lit(None))
+        .when((rough == 3) & _swap_and_edit(a, b), 2)
+        .when(_two_swaps(a, b), 2)
     )
 
 
+def _at_some_swap(b: Column, test: Callable[[Column, Column, Column], Column]) -> Column:
+    """Does `test(before, swapped, after)` hold for some adjacent pair of `b`?"""
+
+    def split_at(i: Column) -> Column:
+        swapped = F.concat(F.substring(b, i + 1, F.lit(1)), F.substring(b, i, F.lit(1)))
+        return test(F.substring(b, F.lit(1), i - 1), swapped, F.substring(b, i + 2, F.length(b)))
+
+    pairs = F.sequence(F.lit(1), F.greatest(F.length(b) - 1, F.lit(1)))
+    return (F.length(b) > 1) & F.exists(pairs, split_at)
+
+
+def _one_swap(a: Column, b: Column) -> Column:
+    return _at_some_swap(b, lambda before, swapped, after: a == F.concat(before, swapped, after))
+
+
+def _rest_after(a: Column, before: Column) -> Column:
+    return F.substring(a, F.length(before) + 3, F.length(a))
+
+
+def _swap_and_edit(a: Column, b: Column) -> Column:
+    """One swap, and one other edit wholly before or wholly after it."""
+
+    def test(before: Column, swapped: Column, after: Column) -> Column:
+        head = F.substring(a, F.lit(1), F.greatest(F.length(a) - F.length(after) - 2, F.lit(0)))
+        later = F.startswith(a, F.concat(before, swapped)) & (F.levenshtein(_rest_after(a, before), after, 1) >= 0)
+        earlier = F.endswith(a, F.concat(swapped, after)) & (F.levenshtein(head, before, 1) >= 0)
+        return later | earlier
+
+    return _at_some_swap(b, test)
+
+
+def _two_swaps(a: Column, b: Column) -> Column:
+    def test(before: Column, swapped: Column, after: Column) -> Column:
+        return F.startswith(a, F.concat(before, swapped)) & _one_swap(_rest_after(a, before), after)
+
+    return _at_some_swap(b, test)
+
+
 def _strays(a: Column, b: Column) -> Column:
     """How many characters of `a` do not occur in `b` at all."""
     return F.length(F.call_function("translate", a, b, F.lit("")))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsift.functions.constants import text_array
-from postsift.functions.distance import ROUGH_LIMIT, edit_distance_within, refine
+from postsift.functions.distance import ROUGH_LIMIT, refine
 from postsift.operators.once import computed_once
 from postsift.sources.lists import ReferenceLists
 
@@ -102,11 +102,13 @@ def find_typos_in(domains: DataFrame, common: DataFrame) -> DataFrame:
         "tier1",
         F.explode(deletion_variants(F.col("candidate"), F.lit(2))).alias("variant"),
     )
-    distance = edit_distance_within(domain, F.col("candidate"), edit_limit(domain))
+    # A pair shares many variants and is measured once.
+    pairs = left.join(right, "variant").select("domain", "candidate", "ordinal", "tier1").distinct()
+    candidate = F.col("candidate")
+    rough = computed_once(pairs, rough=F.levenshtein(domain, candidate, ROUGH_LIMIT)).where("rough >= 0")
+    measured = computed_once(rough, distance=refine(F.col("rough"), domain, candidate))
     nearest = (
-        left.join(right, "variant")
-        .select("domain", distance.alias("distance"), "ordinal", "candidate", "tier1")
-        .where("distance IS NOT NULL")
+        measured.where(F.col("distance") <= edit_limit(domain))
         .groupBy("domain")
         .agg(F.min(F.struct("distance", "ordinal", "candidate", "tier1")).alias("nearest"))
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from postsift.functions.constants import at
 from postsift.functions.text import iso_instant
 from postsift.operators.attach import DEFAULT_HOT_KEYS, HotKeys, attach
+from postsift.operators.registration import registration_requests
 from postsift.plans.lookups import (
     asked_domains,
     missing_answers,
@@ -137,6 +138,29 @@ def lookup_counts(
     )
 
 
+def registration_worklist(
+    contacts: DataFrame,
+    email: str | Column = "email",
+    *,
+    registry: DataFrame,
+    rdap: DataFrame | None = None,
+    dns: DataFrame | None = None,
+    options: Options = Options(include_domain_age=True),
+    as_of: str | datetime | Column | None = None,
+    rules: Sequence[Rule] = DEFAULT_RULES,
+    fan_out: bool = True,
+) -> DataFrame:
+    """Registration requests of a run: (domain, request_url), for domains that take mail."""
+    parsed = parse_contacts(contacts, email, Cascade(tuple(rules), options), (), fan_out)
+    clock = instant(as_of)
+    answers = None if dns is None else usable_answers(dns, clock, options.cache_ttl_ms)
+    looked_up = with_mail_routing(asked_domains(parsed).where("dns_rows > 0"), answers, parsed)
+    accepting = looked_up.where(~F.col("dns.resolver_failed") & F.col("dns.accepts_mail"))
+    return registration_requests(
+        accepting.select(F.col("ps_key").alias("domain")), registry, rdap, clock, options.registration_ttl_ms
+    )
+
+
 def _looked_up(parsed: Parsed) -> dict[str, Column]:
     lookups, found = parsed.cascade.lookups, {}
     if "typo" in lookups:
