@@ -222,13 +222,13 @@ DNS_CTES = f"""
 
 # --- registration answers -----------------------------------------------------------
 
-# One bootstrap document per nation: a label of its own plus shared ones, some services
+# One bootstrap document per nation: a label of its own (in letters) plus shared ones, some services
 # without URLs, some URLs without the closing slash, labels in upper case.
 BOOTSTRAP_SQL = """
     SELECT n_nationkey AS seq,
-      '{"services": [[["com", "N' || CAST(n_nationkey AS STRING) || '"], ["https://rdap.n' || CAST(n_nationkey AS STRING)
-      || '.example", "https://spare.example/"]], [["none' || CAST(n_nationkey AS STRING) || '"], []], "odd", [["co.n'
-      || CAST(n_nationkey AS STRING) || '"], ["https://co.n' || CAST(n_nationkey AS STRING) || '.example/"]]]}' AS body
+      '{"services": [[["com", "N' || translate(CAST(n_nationkey AS STRING), '0123456789', 'abcdefghij') || '"], ["https://rdap.n' || translate(CAST(n_nationkey AS STRING), '0123456789', 'abcdefghij')
+      || '.example", "https://spare.example/"]], [["none' || translate(CAST(n_nationkey AS STRING), '0123456789', 'abcdefghij') || '"], []], "odd", [["co.n'
+      || translate(CAST(n_nationkey AS STRING), '0123456789', 'abcdefghij') || '"], ["https://co.n' || translate(CAST(n_nationkey AS STRING), '0123456789', 'abcdefghij') || '.example/"]]]}' AS body
     FROM nation
 """
 
@@ -236,7 +236,7 @@ BOOTSTRAP_SQL = """
 RDAP_SQL = f"""
     SELECT 'd' || CAST(c_custkey AS STRING)
              || CASE c_custkey % 4 WHEN 0 THEN '.com' WHEN 1 THEN '.n' WHEN 2 THEN '.co.n' ELSE '.org.zz' END
-             || CASE WHEN c_custkey % 4 IN (1, 2) THEN CAST(c_nationkey AS STRING) ELSE '' END AS domain,
+             || CASE WHEN c_custkey % 4 IN (1, 2) THEN translate(CAST(c_nationkey AS STRING), '0123456789', 'abcdefghij') ELSE '' END AS domain,
            CASE c_custkey % 9 WHEN 5 THEN 404 WHEN 6 THEN 429 WHEN 7 THEN 503 ELSE 200 END AS http_status,
            CASE c_custkey % 9
              WHEN 1 THEN '{{"events": [{{"eventAction": "last changed", "eventDate": "2020-01-01T00:00:00Z"}}]}}'

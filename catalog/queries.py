@@ -200,7 +200,8 @@ LOOK_ALIKE_SQL = "SELECT DISTINCT 'cleinte' || CAST(c_custkey AS STRING) || '.co
       UNION ALL SELECT c_custkey + 1000, domain FROM ({LONG_LIST_SQL}) l),
     near AS (
       SELECT d.domain, ordinal, value, damerau_levenshtein(d.domain, value) AS distance
-      FROM ({LOOK_ALIKE_SQL}) d, listed WHERE abs(length(d.domain) - length(value)) <= 2)
+      FROM ({LOOK_ALIKE_SQL}) d, listed
+      WHERE abs(length(d.domain) - length(value)) <= 2 AND levenshtein(d.domain, value) <= 4)
     SELECT domain, arg_min(value, (distance, ordinal)) AS suggestion,
            min(distance) = 1 AND arg_min(value, (distance, ordinal)) IN {in_list(lists.TIER1)} AS high_confidence
     FROM near WHERE distance <= 2 GROUP BY domain""",
@@ -423,7 +424,7 @@ JSON_SQL = """
         WHEN 0 THEN 'null' WHEN 1 THEN CAST(o_custkey AS STRING) WHEN 2 THEN 'true'
         WHEN 3 THEN '["a' || CAST(o_custkey AS STRING) || '@b.com","c"]'
         WHEN 4 THEN '{"email":"x"}' WHEN 5 THEN '"   "'
-        WHEN 6 THEN '"ana' || CAST(o_custkey AS STRING) || '@empresa.com.co"'
+        WHEN 6 THEN '"ana@cliente' || CAST(o_custkey AS STRING) || '.com.co"'
         ELSE '"sin-arroba"' END AS body
     FROM orders
 """
@@ -469,7 +470,7 @@ def extracted_contacts(spark, sf_dir):
 
 REGISTRY_CTES = f"""
     documents_in AS ({inputs.BOOTSTRAP_SQL}),
-    services AS (SELECT seq, unnest(range(0, json_array_length(body, '$.services'))) AS pos, body FROM documents_in),
+    services AS (SELECT seq, unnest(range(0, CAST(json_array_length(body, '$.services') AS BIGINT))) AS pos, body FROM documents_in),
     mentions AS (
       SELECT seq, pos, lower(unnest(from_json(json_extract(body, '$.services[' || pos || '][0]'), '["VARCHAR"]'))) AS tld,
              json_extract_string(body, '$.services[' || pos || '][1][0]') AS url
@@ -480,11 +481,11 @@ REGISTRY_CTES = f"""
       FROM (SELECT *, row_number() OVER (PARTITION BY tld ORDER BY seq DESC, pos DESC) AS n FROM mentions WHERE url IS NOT NULL) m WHERE n = 1
     ),
     rdap AS ({inputs.RDAP_SQL}),
-    cuts AS (SELECT domain, unnest(range(2, len(string_split(domain, '.')) + 1)) AS at FROM (SELECT DISTINCT domain FROM rdap)),
+    cuts AS (SELECT domain, unnest(range(2, len(string_split(domain, '.')) + 1)) AS spot FROM (SELECT DISTINCT domain FROM rdap)),
     served AS (
       SELECT domain, base_url FROM (
-        SELECT c.domain, r.base_url, row_number() OVER (PARTITION BY c.domain ORDER BY at) AS n
-        FROM cuts c JOIN registry r ON r.tld = array_to_string(string_split(c.domain, '.')[at:], '.')) s WHERE n = 1
+        SELECT c.domain, r.base_url, row_number() OVER (PARTITION BY c.domain ORDER BY spot) AS n
+        FROM cuts c JOIN registry r ON r.tld = array_to_string(string_split(c.domain, '.')[spot:], '.')) s WHERE n = 1
     ),
     answers_r AS (
       SELECT *, error IS NULL AND http_status BETWEEN 200 AND 299 AND json_valid(body) AS usable_answer FROM rdap
@@ -528,13 +529,12 @@ def domain_age(spark, sf_dir):
 
 
 # Contacts at the registered domains, which all have a mail server.
-OWNERS_SQL = f"SELECT row_number() OVER (ORDER BY domain) AS input_seq, 'ana.' || domain || '@' || domain AS email, domain FROM ({inputs.RDAP_SQL}) r"
-OWNERS_SPARK_SQL = f"SELECT 'ana.' || domain || '@' || domain AS email FROM ({inputs.RDAP_SQL}) r"
+OWNERS_SQL = f"SELECT 'ana.maria@' || domain AS email FROM ({inputs.RDAP_SQL}) r"
 
 
-@entry("validation_with_age", f"WITH {REGISTRY_CTES} SELECT 'ana.' || r.domain || '@' || r.domain AS send_to, age_days AS domain_age_days FROM rdap r LEFT JOIN ages a ON r.domain = a.domain")
+@entry("validation_with_age", f"WITH {REGISTRY_CTES} SELECT 'ana.maria@' || r.domain AS send_to, age_days AS domain_age_days FROM rdap r LEFT JOIN ages a ON r.domain = a.domain")
 def validation_with_age(spark, sf_dir):
-    contacts = inputs.run(spark, sf_dir, OWNERS_SPARK_SQL, "customer")
+    contacts = inputs.run(spark, sf_dir, OWNERS_SQL, "customer")
     rows = ps.validate(
         contacts, dns=owner_dns(spark, sf_dir), ages=ages(spark, sf_dir), as_of=AS_OF, options=ps.Options(include_domain_age=True)
     )
@@ -562,7 +562,7 @@ def owner_dns(spark, sf_dir) -> DataFrame:
 def registration_requests(spark, sf_dir):
     registry = registry_from_bootstrap(inputs.bootstrap_documents(spark, sf_dir), order="seq")
     return ps.registration_worklist(
-        inputs.run(spark, sf_dir, OWNERS_SPARK_SQL, "customer"),
+        inputs.run(spark, sf_dir, OWNERS_SQL, "customer"),
         registry=registry,
         rdap=inputs.rdap_answers(spark, sf_dir),
         dns=owner_dns(spark, sf_dir),

@@ -87,7 +87,7 @@ def domains_to_ask(
     ttl = f"{options.cache_ttl_ms} milliseconds"
     asked = parsed.frame.where(F.col("ps_key").isNotNull()).select(
         F.col("ps_key").alias("domain"),
-        quoted(event_time),
+        quoted(event_time).cast("timestamp").alias(event_time),
         (F.spark_partition_id() % spread).alias("slot"),
     )
     thinned = asked.withWatermark(event_time, ttl).dropDuplicatesWithinWatermark(["domain", "slot"])

@@ -56,7 +56,7 @@ def compare(spark, con, name, sf_dir):
         return f"columns {sorted(frame.columns)} != {sorted(columns)}"
     if got == want:
         return None
-    missing, extra = [r for r in want if r not in set(got)][:3], [r for r in got if r not in set(want)][:3]
+    missing, extra = list(set(want) - set(got))[:3], list(set(got) - set(want))[:3]
     return f"{len(got)} rows, expected {len(want)}; {sorted(columns)} missing {missing} extra {extra}"
 
 
