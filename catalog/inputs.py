@@ -8,10 +8,12 @@ Spark and DuckDB read alike, so both sides of a check start from the same contac
 from __future__ import annotations
 
 import re
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postsift.operators.settle import checkpoint_folder
 from postsift.sources.mail_routing import DNS_SCHEMA
 
 AS_OF = "2024-06-01T12:00:00Z"
@@ -114,6 +116,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """The checkpoint folder of the cluster; a local one only where none is set."""
+    if checkpoint_folder(spark) is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="postsift-"))
+    return checkpoint_folder(spark)
+
+
 def run(spark: SparkSession, sf_dir: str, sql: str, name: str) -> DataFrame:
     """One of the shared texts in Spark, over the one given table it names."""
     escaped = sql.replace("{", "{{").replace("}", "}}")

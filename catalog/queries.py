@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -67,6 +66,7 @@ def fields(validated: DataFrame, *names: str) -> DataFrame:
 
 
 def validated(spark: SparkSession, sf_dir: str, **arguments) -> DataFrame:
+    inputs.scratch(spark)
     dns = inputs.dns_answers(spark, sf_dir)
     return ps.validate(inputs.contacts(spark, sf_dir), dns=dns, as_of=AS_OF, order_by="input_seq", **arguments)
 
@@ -317,8 +317,8 @@ def verdicts(spark, sf_dir):
 
 @entry("verdicts_hot_domains", check(*VERDICT, "mx_record", "cached"))
 def verdicts_hot_domains(spark, sf_dir):
-    """The same with the hot-domain way of the join in use at this size."""
-    rows = validated(spark, sf_dir, hot_keys=ps.HotKeys(min_rows=100, max_keys=5))
+    """The same, lazily and with the hot-domain way of the join in use at this size."""
+    rows = validated(spark, sf_dir, settled=False, hot_keys=ps.HotKeys(min_rows=100, max_keys=5))
     return fields(rows, *VERDICT, "mx_record", "cached")
 
 
@@ -340,6 +340,13 @@ STRICT_SQL = dict(
 )
 
 
+@entry("verdicts_many_domains", check(*VERDICT, "mx_record", "cached"))
+def verdicts_many_domains(spark, sf_dir):
+    """The same with a settled domain table that counts as too large to broadcast."""
+    rows = validated(spark, sf_dir, broadcast_rows=10, hot_keys=ps.HotKeys(min_rows=100, max_keys=5))
+    return fields(rows, *VERDICT, "mx_record", "cached")
+
+
 @entry("verdicts_strict", check(*VERDICT, "role_based", "disposable", **STRICT_SQL))
 def verdicts_strict(spark, sf_dir):
     return fields(validated(spark, sf_dir, options=STRICT), *VERDICT, "role_based", "disposable")
@@ -575,13 +582,9 @@ def registration_requests(spark, sf_dir):
 EVENT_CONTACTS_SQL = inputs.addresses_sql("events", "event_id", "user_id", "ts")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared one of the cluster, or a local one if none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="postsift-")
-    name = spark.range(1).select(F.expr("uuid()")).first()[0]
-    return os.path.join(shared, f"postsift-{name}")
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own for one run of a stream."""
+    return f"{inputs.scratch(spark)}/stream-{uuid.uuid4()}"
 
 
 def event_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -604,7 +607,7 @@ EVENT_SQL = f"""
 
 @entry("stream_validate", f"WITH {validation_ctes(EVENT_SQL)} SELECT input_seq, status, sub_status, recommendation, suggestion, sendable FROM validated")
 def stream_validate(spark, sf_dir):
-    folder = scratch(spark)
+    folder = new_folder(spark)
     query = start_validation(
         event_contacts(spark, sf_dir),
         lambda session: inputs.dns_answers(session, sf_dir),
@@ -620,7 +623,7 @@ def stream_validate(spark, sf_dir):
 @entry("stream_refresh_requests", None)
 def stream_refresh_requests(spark, sf_dir):
     """Rows only: which contact of a domain comes first in a stream is a matter of timing."""
-    folder = scratch(spark)
+    folder = new_folder(spark)
     query = start_refresh_requests(
         event_contacts(spark, sf_dir),
         "ts",

@@ -30,32 +30,57 @@ class HotKeys:
 
 DEFAULT_HOT_KEYS = HotKeys()
 
+# A settled table of up to this many rows is broadcast whole. Its rows are a domain and
+# what is known about it, at most about 1 KB each and usually a tenth of that.
+BROADCAST_ROWS = 100_000
+
+
+def attach_settled(
+    rows: DataFrame,
+    values: DataFrame,
+    key: str,
+    weight: str,
+    hot_keys: HotKeys = DEFAULT_HOT_KEYS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """`attach` for values that are computed already, so that their size can be checked.
+
+    Within the bound all of `values` is broadcast and `rows` is neither shuffled nor
+    read twice; beyond it, `attach` takes over.
+    """
+    if values.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return rows.join(F.broadcast(values.drop(weight)), key, "left")
+    return attach(rows, values, key, weight, hot_keys)
+
 
 def attach(
     rows: DataFrame,
     values: DataFrame,
     key: str,
-    counts: DataFrame | None = None,
+    weight: str | None = None,
     hot_keys: HotKeys = DEFAULT_HOT_KEYS,
 ) -> DataFrame:
     """`rows` left join `values` on `key`; `values` holds each key once.
 
-    `counts` is an optional (key, rows) table if the caller has one already. `rows` is
-    read once per branch, so it has to be repeatable: files or tables, not a random
-    sample taken on the fly.
+    `weight` names a column of `values` with the number of rows on each key (it is
+    dropped); without one the keys are counted first. `rows` is read once per branch,
+    so it has to be repeatable: files or tables, not a random sample taken on the fly.
     """
-    if counts is None:
-        counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
-    hot = (
-        counts.where(F.col("rows") >= hot_keys.min_rows)
-        .orderBy(F.desc("rows"), key)
-        .limit(hot_keys.max_keys)
-        .select(key)
-    )
-    hot_values = values.join(F.broadcast(hot), key, "left_semi").withColumn("ps_hot", F.lit(True))
 
-    stay = rows.join(F.broadcast(hot_values), key, "left").where(
+    def hottest(keys: DataFrame, count: str) -> DataFrame:
+        return keys.where(F.col(count) >= hot_keys.min_rows).orderBy(F.desc(count), key).limit(hot_keys.max_keys)
+
+    if weight is None:
+        counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("ps_rows"))
+        hot = values.join(F.broadcast(hottest(counts, "ps_rows").select(key)), key, "left_semi")
+    else:
+        hot = hottest(values, weight).drop(weight)
+        # Always true, but it makes this side ask for the same columns of `values` as the
+        # hot side does, so that one shuffled aggregate serves both.
+        values = values.where(F.col(weight) > 0).drop(weight)
+
+    stay = rows.join(F.broadcast(hot.withColumn("ps_hot", F.lit(True))), key, "left").where(
         F.col(key).isNull() | F.col("ps_hot")
     )
-    move = rows.where(F.col(key).isNotNull()).join(F.broadcast(hot_values.select(key)), key, "left_anti")
+    move = rows.where(F.col(key).isNotNull()).join(F.broadcast(hot.select(key)), key, "left_anti")
     return stay.drop("ps_hot").unionByName(move.join(values, key, "left"))

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from postsift.functions.constants import at
 from postsift.functions.text import iso_instant
-from postsift.operators.attach import DEFAULT_HOT_KEYS, HotKeys, attach
+from postsift.operators.attach import BROADCAST_ROWS, DEFAULT_HOT_KEYS, HotKeys, attach, attach_settled
 from postsift.operators.registration import registration_requests
+from postsift.operators.settle import checkpoint_folder, settle
 from postsift.plans.lookups import (
     asked_domains,
     missing_answers,
@@ -60,7 +61,9 @@ def validate(
     rules: Sequence[Rule] = DEFAULT_RULES,
     fan_out: bool = True,
     keep_fields: bool = True,
+    settled: bool | None = None,
     hot_keys: HotKeys = DEFAULT_HOT_KEYS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Decide for every address whether to send to it.
 
@@ -74,23 +77,31 @@ def validate(
                 only whether the answer was kept from an earlier run
     `rules`     the cascade; the default can be extended with `insert_rule`
 
-    The result is lazy. Contacts of hot domains are never shuffled (see `attach`).
+    `settled`   True: the table of domains is computed at once and kept in the checkpoint
+                folder, so its size is known and the contacts are joined to a broadcast
+                of it where that is within `broadcast_rows`. False: everything is lazy.
+                Default: settled where the session has a checkpoint folder
+
+    Whatever the size, contacts of hot domains are never shuffled (see `attach`).
     """
     cascade = Cascade(tuple(rules), options)
     parsed = parse_contacts(contacts, email, cascade, order_by, fan_out)
     clock = instant(as_of)
     frame = parsed.frame
     if cascade.lookups:
-        domains = asked_domains(parsed)
-        facts = domains
+        facts = asked_domains(parsed)
         if "dns" in cascade.lookups:
             answers = None if dns is None else usable_answers(dns, clock, options.cache_ttl_ms)
             facts = with_mail_routing(facts, answers, parsed)
         if "age" in cascade.lookups:
             facts = with_domain_age(facts, ages)
-        counts = domains.select("ps_key", "rows")
-        facts = facts.drop("rows", "dns_rows")
-        frame = attach(frame, facts, "ps_key", counts, hot_keys)
+        facts = facts.drop("dns_rows")
+        if settled is None:
+            settled = checkpoint_folder(contacts.sparkSession) is not None
+        if settled:
+            frame = attach_settled(frame, settle(facts), "ps_key", "rows", hot_keys, broadcast_rows)
+        else:
+            frame = attach(frame, facts, "ps_key", "rows", hot_keys)
     return _assemble(frame, parsed, clock, keep_fields)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postsift.operators.once import computed_once
+from postsift.operators.settle import checkpoint_folder
 from postsift.operators.typo import typo_match
 from postsift.plans.lookups import typo_columns
 from postsift.plans.options import Options
@@ -29,14 +30,12 @@ from postsift.sources.mail_routing import usable_answers
 Snapshot = Callable[[SparkSession], DataFrame]
 
 
-def checkpoint_folder(spark: SparkSession, name: str, given: str | None = None) -> str:
+def progress_folder(spark: SparkSession, name: str, given: str | None = None) -> str:
     """Where a stream keeps its progress: as given, else in the folder of the cluster."""
-    if given is not None:
-        return given
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = given or checkpoint_folder(spark)
     if shared is None:
         raise ValueError("pass a checkpoint folder or set spark.checkpoint.dir to a shared one")
-    return f"{shared.rstrip('/')}/{name}"
+    return given or f"{shared.rstrip('/')}/{name}"
 
 
 def start_validation(
@@ -64,7 +63,7 @@ def start_validation(
         finally:
             batch.unpersist()
 
-    return _start(contacts, handle, checkpoint_folder(contacts.sparkSession, "validation", checkpoint), available_now)
+    return _start(contacts, handle, progress_folder(contacts.sparkSession, "validation", checkpoint), available_now)
 
 
 def domains_to_ask(
@@ -132,7 +131,7 @@ def start_refresh_requests(
         asked.join(kept, "domain", "left_anti").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     spark = contacts.sparkSession
-    return _start(domains, handle, checkpoint_folder(spark, "refresh-requests", checkpoint), available_now)
+    return _start(domains, handle, progress_folder(spark, "refresh-requests", checkpoint), available_now)
 
 
 def usable_answers_at(dns: DataFrame, asked: DataFrame, ttl_ms: int) -> DataFrame:
