@@ -109,7 +109,7 @@ def addresses_sql(table: str, key: str, owner: str, extra: str) -> str:
     """
 
 
-CONTACTS_SQL = addresses_sql("orders", "o_orderkey", "o_custkey", "o_orderpriority AS priority")
+CONTACTS_SQL = addresses_sql("orders", "o_orderkey", "o_custkey", "o_orderpriority AS priority, o_custkey AS owner")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

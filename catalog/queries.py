@@ -26,6 +26,7 @@ from postsift.functions.constants import text_array
 from postsift.operators.membership import off_table, on_table
 from postsift.operators.once import computed_once
 from postsift.operators.registration import registry_servers
+from postsift.operators.settle import settle
 from postsift.operators.typo import find_typos_in
 from postsift.sources import lists
 from postsift.sources.lists import extend_dimension, list_dimension, provider_dimension
@@ -409,16 +410,14 @@ def field_not_found(spark, sf_dir):
 # One contact per customer with all addresses of the customer's orders as an array.
 @entry(
     "array_fanout",
-    f"""WITH owned AS (SELECT o.o_custkey, c.input_seq, c.email FROM ({CONTACTS_SQL}) c JOIN orders o ON c.input_seq = o.o_orderkey),
-    {validation_ctes("SELECT input_seq, email FROM owned")}
-    SELECT o.o_custkey AS owner, v.email AS raw, v.normalized AS email, v.status, v.sub_status, v.recommendation
-    FROM validated v JOIN owned o ON v.input_seq = o.input_seq""",
+    f"""WITH {validation_ctes(CONTACTS_SQL)}
+    SELECT s.owner, v.email AS raw, v.normalized AS email, v.status, v.sub_status, v.recommendation
+    FROM validated v JOIN source s ON v.input_seq = s.input_seq""",
 )
 def array_fanout(spark, sf_dir):
-    orders = inputs.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("input_seq"), F.col("o_custkey").alias("owner"))
-    owned = inputs.contacts(spark, sf_dir).join(orders, "input_seq")
+    inputs.scratch(spark)
     # collect_list leaves nulls out; they are addresses that are missing, so keep them.
-    grouped = owned.groupBy("owner").agg(F.collect_list(F.struct("email")).alias("items"))
+    grouped = inputs.contacts(spark, sf_dir).groupBy("owner").agg(F.collect_list(F.struct("email")).alias("items"))
     people = grouped.select("owner", F.transform("items", lambda i: i["email"]).alias("emails"))
     rows = ps.validate(people, "emails", dns=inputs.dns_answers(spark, sf_dir), as_of=AS_OF)
     return rows.select("owner", F.col("validation.email").alias("raw"), "email", "validation.status", "validation.sub_status", "validation.recommendation")
@@ -468,7 +467,9 @@ def extracted_contacts(spark, sf_dir):
 
     documents = found("documents", F.col("doc_id") * 2, "text")
     pages = found("pages", F.col("page_id") * 2 + 1, "html")
-    contacts = documents.unionByName(pages).select("input_seq", F.lower("email").alias("email")).distinct()
+    inputs.scratch(spark)
+    found_once = documents.unionByName(pages).select("input_seq", F.lower("email").alias("email")).distinct()
+    contacts = settle(found_once)  # searching the texts is the costly part; validate reads contacts twice
     rows = ps.validate(contacts, dns=inputs.dns_answers(spark, sf_dir), as_of=AS_OF)
     return fields(rows, "normalized", "status", "sub_status", "recommendation")
 

@@ -85,49 +85,43 @@ def refine(rough: Column, a: Column, b: Column) -> Column:
     return (
         F.when(rough < 0, F.lit(None))
         .when(rough <= 1, rough)
-        .when(rough == 2, F.when((stray == 0) & _one_swap(a, b), 1).otherwise(2))
+        .when(rough == 2, F.when((stray == 0) & _swap_first(a, b, _equal), 1).otherwise(2))
         .when(stray > ROUGH_LIMIT - rough, F.lit(None))
-        .when((rough == 3) & _swap_and_edit(a, b), 2)
-        .when(_two_swaps(a, b), 2)
+        .when(_swap_first(a, b, lambda x, y: _one_edit(x, y) | _swap_first(x, y, _equal)), 2)
+        .when(_swap_first(F.reverse(a), F.reverse(b), _one_edit), 2)
     )
 
 
-def _at_some_swap(b: Column, test: Callable[[Column, Column, Column], Column]) -> Column:
-    """Does `test(before, swapped, after)` hold for some adjacent pair of `b`?"""
+Test = Callable[[Column, Column], Column]
 
-    def split_at(i: Column) -> Column:
-        swapped = F.concat(F.substring(b, i + 1, F.lit(1)), F.substring(b, i, F.lit(1)))
-        return test(F.substring(b, F.lit(1), i - 1), swapped, F.substring(b, i + 2, F.length(b)))
 
-    pairs = F.sequence(F.lit(1), F.greatest(F.length(b) - 1, F.lit(1)))
-    return (F.length(b) > 1) & F.exists(pairs, split_at)
+def _equal(a: Column, b: Column) -> Column:
+    return a == b
 
 
-def _one_swap(a: Column, b: Column) -> Column:
-    return _at_some_swap(b, lambda before, swapped, after: a == F.concat(before, swapped, after))
+def _one_edit(a: Column, b: Column) -> Column:
+    return F.levenshtein(a, b, 1) >= 0
 
 
-def _rest_after(a: Column, before: Column) -> Column:
-    return F.substring(a, F.length(before) + 3, F.length(a))
-
-
-def _swap_and_edit(a: Column, b: Column) -> Column:
-    """One swap, and one other edit wholly before or wholly after it."""
-
-    def test(before: Column, swapped: Column, after: Column) -> Column:
-        head = F.substring(a, F.lit(1), F.greatest(F.length(a) - F.length(after) - 2, F.lit(0)))
-        later = F.startswith(a, F.concat(before, swapped)) & (F.levenshtein(_rest_after(a, before), after, 1) >= 0)
-        earlier = F.endswith(a, F.concat(swapped, after)) & (F.levenshtein(head, before, 1) >= 0)
-        return later | earlier
-
-    return _at_some_swap(b, test)
+def _swap_first(a: Column, b: Column, rest_holds: Test) -> Column:
+    """Is the first difference a swap, and does `rest_holds` for what follows it?
 
+    Where a swap is the first of two edits it sits at the first difference; where it is
+    the last, it sits at the first difference of the reversed texts.
+    """
+    size = F.greatest(F.least(F.length(a), F.length(b)), F.lit(1))
+    same = F.transform(
+        F.sequence(F.lit(1), size), lambda i: F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))
+    )
 
-def _two_swaps(a: Column, b: Column) -> Column:
-    def test(before: Column, swapped: Column, after: Column) -> Column:
-        return F.startswith(a, F.concat(before, swapped)) & _one_swap(_rest_after(a, before), after)
+    def swapped(i: Column) -> Column:
+        ours, theirs = F.substring(a, i, F.lit(2)), F.substring(b, i, F.lit(2))
+        rest = rest_holds(F.substring(a, i + 2, F.length(a)), F.substring(b, i + 2, F.length(b)))
+        return (i > 0) & (F.length(theirs) == 2) & (ours == F.reverse(theirs)) & rest
 
-    return _at_some_swap(b, test)
+    # The one-element array evaluates the position once. Zero means no difference.
+    position = F.array_position(same, False).cast("int")
+    return F.exists(F.array(position), swapped)
 
 
 def _strays(a: Column, b: Column) -> Column:

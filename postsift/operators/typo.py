@@ -43,24 +43,20 @@ def nearest_common(domain: Column, lists: ReferenceLists) -> Column:
     position) wins.
     """
     limit = edit_limit(domain)
-    tier1 = text_array(lists.tier1)
-    rough = F.transform(
-        text_array(lists.common),
-        lambda c, i: F.struct(
-            F.when(F.abs(F.length(c) - F.length(domain)) <= limit, F.levenshtein(domain, c, ROUGH_LIMIT)).alias(
-                "rough"
-            ),
-            i.alias("ordinal"),
-            c.alias("candidate"),
-        ),
-    )
+    common, tier1 = text_array(lists.common), text_array(lists.tier1)
+
+    def rough(c: Column) -> Column:
+        return F.levenshtein(domain, c, ROUGH_LIMIT)
+
+    similar = F.filter(common, lambda c: (F.abs(F.length(c) - F.length(domain)) <= limit) & (rough(c) >= 0))
+    measured = F.transform(similar, lambda c: F.struct(rough(c).alias("rough"), c.alias("candidate")))
     exact = F.transform(
-        F.filter(rough, lambda c: c["rough"] >= 0),
-        lambda c: F.struct(
-            refine(c["rough"], domain, c["candidate"]).alias("distance"),
-            c["ordinal"].alias("ordinal"),
-            c["candidate"].alias("candidate"),
-            F.array_contains(tier1, c["candidate"]).alias("tier1"),
+        measured,
+        lambda m: F.struct(
+            refine(m["rough"], domain, m["candidate"]).alias("distance"),
+            F.array_position(common, m["candidate"]).alias("ordinal"),
+            m["candidate"].alias("candidate"),
+            F.array_contains(tier1, m["candidate"]).alias("tier1"),
         ),
     )
     near = F.filter(exact, lambda c: c["distance"] <= limit)
@@ -94,13 +90,18 @@ def find_typos_in(domains: DataFrame, common: DataFrame) -> DataFrame:
     known = common.select(F.col("candidate").alias("domain"))
     unknown = domains.select("domain").join(known, "domain", "left_anti")
 
-    left = unknown.select("domain", F.explode(deletion_variants(domain, edit_limit(domain))).alias("variant"))
+    def keys(text: Column, limit: Column) -> Column:
+        # Hashes are short keys; a collision only adds a pair that the distance rejects.
+        hashes = F.transform(deletion_variants(text, limit), lambda v: F.xxhash64(v))
+        return F.explode(F.array_distinct(hashes)).alias("variant")
+
+    left = unknown.select("domain", keys(domain, edit_limit(domain)))
     # A candidate may be met with either limit, so it offers both kinds of variants.
     right = common.select(
         "candidate",
         "ordinal",
         "tier1",
-        F.explode(deletion_variants(F.col("candidate"), F.lit(2))).alias("variant"),
+        keys(F.col("candidate"), F.lit(2)),
     )
     # A pair shares many variants and is measured once.
     pairs = left.join(right, "variant").select("domain", "candidate", "ordinal", "tier1").distinct()
@@ -120,7 +121,7 @@ def find_typos_in(domains: DataFrame, common: DataFrame) -> DataFrame:
 
 
 def deletion_variants(text: Column, limit: Column) -> Column:
-    """Distinct texts left after deleting up to `limit` (1 or 2) characters."""
+    """Texts left after deleting up to `limit` (1 or 2) characters, with repetitions."""
 
     def without_one(value: Column) -> Column:
         return F.transform(
@@ -132,4 +133,4 @@ def deletion_variants(text: Column, limit: Column) -> Column:
     twice = F.when(limit >= 2, F.flatten(F.transform(once, without_one))).otherwise(
         F.array().cast("array<string>")
     )
-    return F.array_distinct(F.concat(F.array(text), once, twice))
+    return F.concat(F.array(text), once, twice)

@@ -113,8 +113,8 @@ def test_deletion_variants(spark):
     row = spark.range(1).select(
         deletion_variants(F.lit("abc"), F.lit(2)).alias("two"), deletion_variants(F.lit("abc"), F.lit(1)).alias("one")
     ).first()
-    assert sorted(row["two"]) == ["a", "ab", "abc", "ac", "b", "bc", "c"]
-    assert sorted(row["one"]) == ["ab", "abc", "ac", "bc"]
+    assert sorted(set(row["two"])) == ["a", "ab", "abc", "ac", "b", "bc", "c"]
+    assert sorted(set(row["one"])) == ["ab", "abc", "ac", "bc"]
 
 
 def test_lists():
