@@ -116,9 +116,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """The checkpoint folder of the cluster; a local one only where none is set."""
-    if checkpoint_folder(spark) is None:
+def scratch(spark: SparkSession) -> str | None:
+    """The checkpoint folder of the cluster; a local one only in local mode without one."""
+    if checkpoint_folder(spark) is None and spark.sparkContext.master.startswith("local"):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="postsift-"))
     return checkpoint_folder(spark)
 

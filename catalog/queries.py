@@ -26,7 +26,7 @@ from postsift.functions.constants import text_array
 from postsift.operators.membership import off_table, on_table
 from postsift.operators.once import computed_once
 from postsift.operators.registration import registry_servers
-from postsift.operators.settle import settle
+from postsift.operators.settle import checkpoint_folder, settle
 from postsift.operators.typo import find_typos_in
 from postsift.sources import lists
 from postsift.sources.lists import extend_dimension, list_dimension, provider_dimension
@@ -469,7 +469,8 @@ def extracted_contacts(spark, sf_dir):
     pages = found("pages", F.col("page_id") * 2 + 1, "html")
     inputs.scratch(spark)
     found_once = documents.unionByName(pages).select("input_seq", F.lower("email").alias("email")).distinct()
-    contacts = settle(found_once)  # searching the texts is the costly part; validate reads contacts twice
+    # Searching the texts is the costly part, and validate reads its contacts twice.
+    contacts = settle(found_once) if checkpoint_folder(spark) else found_once
     rows = ps.validate(contacts, dns=inputs.dns_answers(spark, sf_dir), as_of=AS_OF)
     return fields(rows, "normalized", "status", "sub_status", "recommendation")
 
@@ -585,7 +586,10 @@ EVENT_CONTACTS_SQL = inputs.addresses_sql("events", "event_id", "user_id", "ts")
 
 def new_folder(spark: SparkSession) -> str:
     """A folder of its own for one run of a stream."""
-    return f"{inputs.scratch(spark)}/stream-{uuid.uuid4()}"
+    shared = inputs.scratch(spark)
+    if shared is None:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    return f"{shared}/stream-{uuid.uuid4()}"
 
 
 def event_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:

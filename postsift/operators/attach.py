@@ -48,7 +48,7 @@ def attach_settled(
     Within the bound all of `values` is broadcast and `rows` is neither shuffled nor
     read twice; beyond it, `attach` takes over.
     """
-    if values.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if values.count() <= broadcast_rows:
         return rows.join(F.broadcast(values.drop(weight)), key, "left")
     return attach(rows, values, key, weight, hot_keys)
 

@@ -27,7 +27,7 @@ def registry_servers(domains: DataFrame, registry: DataFrame) -> DataFrame:
     hashed against the registry: it is broadcast after its size has been checked.
     """
     suffixes = domains.select("domain", F.posexplode(parent_suffixes(F.col("domain"))).alias("pos", "tld"))
-    if registry.limit(REGISTRY_BROADCAST_ROWS + 1).count() <= REGISTRY_BROADCAST_ROWS:
+    if registry.count() <= REGISTRY_BROADCAST_ROWS:
         matched = suffixes.join(F.broadcast(registry), "tld")
     else:
         matched = attach(suffixes, registry, "tld").where("base_url IS NOT NULL")
