@@ -128,6 +128,13 @@ def test_filler(spark):
     assert evaluate(spark, names, looks_like_filler) == expected
 
 
+def test_filler_is_quick_on_long_runs(spark):
+    long = ["a" * 60 + "bc", "a" * 5000 + "b", "ab" * 2500 + "c", "a" * 40 + "@" + "b" * 40 + "."]
+    assert evaluate(spark, long, looks_like_filler) == [True, True, False, True]
+    distinct = ["abcab", "ababa", "a-b.a_b+a", "aaaaa", "abcdo"]
+    assert evaluate(spark, distinct, looks_like_filler) == [False, True, True, True, False]
+
+
 KNOWN_DISTANCES = [
     ("gmial.com", "gmail.com", 1),
     ("hotmial.com", "hotmail.com", 1),
