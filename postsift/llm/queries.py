@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import curriculum, repetition
+from postsift.llm import curriculum, packing, repetition, transducer
 from postsift.llm.tables import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +81,28 @@ def op3_repetition_quality(spark, sf_dir):
     return repetition.with_repetition(documents).drop("text")
 
 
+# --- 7: sum-of-squares packing, 8: token counts -------------------------------------------
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def packed_digest(documents: DataFrame) -> DataFrame:
+    pieces = packing.pack(documents, path=public_tokenizers.path(TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query()
+def op7_sum_of_squares_packing(spark, sf_dir):
+    """No SQL: the ids come from a tokenizer, and packing is a running state."""
+    return packed_digest(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_token_counts(spark, sf_dir):
+    """No SQL: SQL has no tokenizer."""
+    return transducer.token_counts(table(spark, sf_dir, "documents"), path=public_tokenizers.path(TOKENIZER))
+
+
 # --- 9: mixing sources to target weights -------------------------------------------------
 
 CURRICULUM_SQL = f"""
