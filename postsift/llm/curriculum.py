@@ -151,4 +151,6 @@ def curriculum_mix(
             "mix_position": F.array_min(F.transform("mix_takes", lambda t: t["position"])),
         }
     )
-    return mixed.select(*[F.col(f"`{c}`") for c in payload], *COLUMNS).orderBy(F.col("mix_position").asc_nulls_last())
+    # The digest spreads documents that are never taken over many ranges.
+    ordered = mixed.orderBy(F.col("mix_position").asc_nulls_last(), "mix_digest", "mix_doc")
+    return ordered.select(*[F.col(f"`{c}`") for c in payload], *COLUMNS)
