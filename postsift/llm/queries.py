@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import curriculum, packing, repetition, transducer
+from postsift.llm import curriculum, licenses, packing, repetition, topk, transducer
 from postsift.llm.tables import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,45 @@ def query(sql: str | None = None):
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+# --- 2: license scans --------------------------------------------------------------------
+
+
+def _list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+TEMPLATE_ROWS = ", ".join(f"({i}, '{t.name}', {_list(t.bigrams)})" for i, t in enumerate(licenses.build_templates()))
+
+LICENSE_SQL = f"""
+    WITH templates AS (SELECT * FROM (VALUES {TEMPLATE_ROWS}) AS t(template, name, pairs)),
+    units AS (
+      SELECT doc_id, unnest(string_split(text, chr(10))) AS unit, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents
+      UNION ALL SELECT doc_id, text, 0 FROM documents WHERE contains(text, chr(10))
+    ),
+    worded AS (SELECT doc_id, line, string_split(trim(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g')), ' ') AS words FROM units),
+    paired AS (
+      SELECT doc_id, line, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS pairs
+      FROM worded WHERE len(words) > 1
+    ),
+    scored AS (
+      SELECT doc_id, line, template, name, 2.0::DOUBLE * len(list_intersect(p.pairs, t.pairs)) / (len(p.pairs) + len(t.pairs)) AS dice
+      FROM paired p JOIN templates t ON len(p.pairs) <= 3 * len(t.pairs) AND len(t.pairs) <= 3 * len(p.pairs)
+    ),
+    units_matched AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, template) AS n FROM scored WHERE dice >= 0.8),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, line, template) AS k, count(*) OVER (PARTITION BY doc_id) AS n_matches
+      FROM units_matched WHERE n = 1
+    )
+    SELECT d.doc_id, name AS license, round(dice, 6) AS dice, line, coalesce(n_matches, 0) AS n_matches
+    FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN (SELECT * FROM ranked WHERE k = 1) r ON d.doc_id = r.doc_id
+"""
+
+
+@query(LICENSE_SQL)
+def op2_license_scan(spark, sf_dir):
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 # --- 3: quality rules by repetition coverage ---------------------------------------------
 
 REPETITION_SQL = f"""
@@ -81,6 +120,28 @@ def op3_repetition_quality(spark, sf_dir):
     return repetition.with_repetition(documents).drop("text")
 
 
+# --- 4: exact top-k search ---------------------------------------------------------------
+
+TOP_K_SQL = """
+    WITH whole AS (
+      SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)) AS x FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    ),
+    scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+      FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+    )
+    SELECT * FROM (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM scored) r
+    WHERE rank <= 20
+"""
+
+
+@query(TOP_K_SQL)
+def op4_exact_top_k(spark, sf_dir):
+    embeddings = table(spark, sf_dir, "embeddings")
+    return topk.exact_top_k(embeddings, F.col("vec_id") % 20 == 0)
+
+
 # --- 7: sum-of-squares packing, 8: token counts -------------------------------------------
 
 TOKENIZER = "byte_bpe_50k.json"
