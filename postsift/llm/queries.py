@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import curriculum, licenses, packing, repetition, topk, transducer
+from postsift.llm import curriculum, licenses, packing, repetition, topk, transducer, urls
 from postsift.llm.tables import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +142,15 @@ def op4_exact_top_k(spark, sf_dir):
     return topk.exact_top_k(embeddings, F.col("vec_id") % 20 == 0)
 
 
+# --- 5: URL filters ----------------------------------------------------------------------
+
+
+@query()
+def op5_url_filter(spark, sf_dir):
+    """No SQL: the verdict without a rule is a trained model's."""
+    return urls.url_filter(table(spark, sf_dir, "pages"))
+
+
 # --- 7: sum-of-squares packing, 8: token counts -------------------------------------------
 
 TOKENIZER = "byte_bpe_50k.json"
