@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import curriculum, licenses, packing, repetition, topk, transducer, urls
+from postsift.llm import curriculum, licenses, maintext, packing, repetition, topk, transducer, urls
 from postsift.llm.tables import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,15 @@ def query(sql: str | None = None):
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+# --- 1: main text of pages ---------------------------------------------------------------
+
+
+@query()
+def op1_main_text(spark, sf_dir):
+    """No SQL: SQL has no reader for markup."""
+    return maintext.extract(table(spark, sf_dir, "pages"))
+
+
 # --- 2: license scans --------------------------------------------------------------------
 
 
