@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import curriculum, licenses, maintext, packing, repetition, topk, transducer, urls
+from postsift.llm import curriculum, jaccard, licenses, maintext, packing, repetition, topk, transducer, urls
 from postsift.llm.tables import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,6 +160,34 @@ def op5_url_filter(spark, sf_dir):
     return urls.url_filter(table(spark, sf_dir, "pages"))
 
 
+# --- 6: n-gram Jaccard join --------------------------------------------------------------
+
+JACCARD_SQL = f"""
+    WITH RECURSIVE listed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+    grams AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: hash(words[i:i + 4]))
+        WHEN len(words) > 0 THEN [hash(words)] ELSE [] END) AS gram FROM listed
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+    links AS (
+      SELECT a, b, n_both = x.n AND n_both = y.n AS equal FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+      WHERE 10 * n_both >= 8 * (x.n + y.n - n_both)
+    ),
+    reach(node, root) AS (
+      SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.root FROM reach r JOIN links l ON r.node = l.a WHERE l.b > r.root
+    )
+    SELECT d.doc_id, min(r.root) AS class_id, coalesce(max(l.n), 0) AS n_links, least(d.doc_id, coalesce(max(l.equal), d.doc_id)) AS set_id
+    FROM documents d JOIN reach r ON d.doc_id = r.node
+    LEFT JOIN (SELECT a, count(*) AS n, min(b) FILTER (WHERE equal) AS equal FROM links GROUP BY a) l ON d.doc_id = l.a GROUP BY d.doc_id
+"""
+
+
+@query(JACCARD_SQL)
+def op6_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 # --- 7: sum-of-squares packing, 8: token counts -------------------------------------------
 
 TOKENIZER = "byte_bpe_50k.json"

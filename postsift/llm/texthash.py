@@ -24,8 +24,9 @@ _powers: dict[int, np.ndarray] = {}
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection on 64 bits that spreads every input bit."""
     x = np.asarray(x, np.uint64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
