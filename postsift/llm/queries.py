@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import curriculum, jaccard, licenses, maintext, packing, repetition, topk, transducer, urls
+from postsift.llm import curriculum, jaccard, licenses, maintext, packing, repetition, suffixes, topk, transducer, urls
 from postsift.llm.tables import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,3 +265,13 @@ def op9_curriculum_mix(spark, sf_dir):
         F.col("mix_taken").alias("taken"),
         F.round("mix_position", 6).alias("position"),
     )
+
+
+# --- 10: suffix-array dedup --------------------------------------------------------------
+
+
+@query()
+def op10_suffix_dedup(spark, sf_dir):
+    """No SQL: one row per byte of every text is more than SQL can take on whole tables."""
+    found = suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
