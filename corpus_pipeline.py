@@ -1,41 +1,88 @@
-"""A pipeline over `documents`: quality rules, near duplicates, repeated passages, mix, packing."""
+"""A pipeline over `documents`: quality rules, near duplicates, repeated passages, mix, packing.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the stage before it kept.
+Stages but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from postsift.llm import curriculum, repetition
-from postsift.llm.tables import importable, table
+from postsift.llm import curriculum, jaccard, packing, repetition, suffixes
+from postsift.llm.tables import importable, stored, table
 
+#: Stages cut texts at bytes and token ids, which SQL cannot express.
 ORACLE_SQL = None
 
-#: Columns of `documents`; every stage but the last returns them.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules reject go."""
+    """Documents that the repetition rules reject go; null and empty texts among them."""
+    importable(spark)
+    return repetition.with_repetition(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest doc_id stays.
+
+    Of rows that repeat a doc_id the one with the smallest text stays; rows without a doc_id
+    cannot be told apart and stay as they are.
+    """
+    importable(spark)
+    docs = docs.select(*COLUMNS)
+    classes = jaccard.jaccard_join(docs)
+    others = classes.where("doc_id <> class_id").select("doc_id")
+    left = docs.join(others, "doc_id", "left_anti")
+    named = left.where("doc_id IS NOT NULL").withColumn("row", F.row_number().over(W.partitionBy("doc_id").orderBy("text")))
+    return named.where("row = 1").select(*COLUMNS).unionByName(left.where("doc_id IS NULL").select(*COLUMNS))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 100 bytes that occurred before are cut out; a document of which nothing is left goes."""
     importable(spark)
-    return repetition.with_repetition(docs).where("kept").select(*COLUMNS)
+    found = suffixes.repeated_passages(docs.select(*COLUMNS), keep=("lang", "source", "n_chars"), decoded=True)
+    left = found.where("n_bytes = 0 OR length(kept) > 0")
+    cut = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("bigint")).otherwise(F.col("n_chars"))
+    named = left.select("doc_id", cut.alias("text"), "lang", "source", chars.alias("n_chars"))
+    return named.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
 def curriculum_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each time the mix takes a document, with the words taken, in training order."""
-    mix = curriculum.curriculum_mix(docs.select(*COLUMNS), size=curriculum.word_count(F.col("text")))
-    takes = mix.select(*COLUMNS, "mix_size", F.explode("mix_takes").alias("take"))
+    importable(spark)
+    mix = curriculum.curriculum_mix(docs.select(*COLUMNS), size=curriculum.word_count(F.col("text")), ordered=False)
+    takes = mix.select("doc_id", "text", "lang", "source", "n_chars", "mix_size", F.explode("mix_takes").alias("take"))
     whole = F.col("take.words") == F.col("mix_size")
     text = F.when(whole, F.col("text")).otherwise(curriculum.first_words(F.col("text"), F.col("take.words")))
-    taken = takes.select("doc_id", text.alias("text"), "lang", "source", F.col("take.position").alias("position"))
-    counted = taken.select("doc_id", "text", "lang", "source", F.length("text").cast("bigint").alias("n_chars"), "position")
-    return counted.orderBy("position", "doc_id").select(*COLUMNS)
+    cut = takes.select("doc_id", text.alias("text"), "lang", "source", F.col("n_chars").alias("given"), whole.alias("whole"), "take.position")
+    chars = F.when(F.col("whole"), F.col("given")).otherwise(F.length("text").cast("bigint"))
+    return cut.orderBy("position", "doc_id").select("doc_id", "text", "lang", "source", chars.alias("n_chars"))
+
+
+def sum_of_squares_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the training sequences with their token ids."""
+    importable(spark)
+    pieces = packing.pack(docs, path=public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
-STAGES = [("quality rules", quality_rules), ("curriculum mix", curriculum_mix)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("mixing sources to target weights", curriculum_mix),
+    ("packing", sum_of_squares_packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; what a stage returns is written and read by the next."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -84,8 +84,9 @@ def curriculum_mix(
     share: float = 1.5,
     cap: float = 2.0,
     schedules: Sequence[tuple[float, float]] = SCHEDULES,
+    ordered: bool = True,
 ) -> DataFrame:
-    """`docs` with its mix, range-sorted by training position.
+    """`docs` with its mix, range-sorted by training position unless `ordered` is false.
 
     Adds mix_size, mix_source_size, mix_target, mix_taken, mix_takes (one struct of words,
     source_words before it and position for each time the document is taken) and
@@ -151,6 +152,7 @@ def curriculum_mix(
             "mix_position": F.array_min(F.transform("mix_takes", lambda t: t["position"])),
         }
     )
-    # The digest spreads documents that are never taken over many ranges.
-    ordered = mixed.orderBy(F.col("mix_position").asc_nulls_last(), "mix_digest", "mix_doc")
-    return ordered.select(*[F.col(f"`{c}`") for c in payload], *COLUMNS)
+    if ordered:
+        # The digest spreads documents that are never taken over many ranges.
+        mixed = mixed.orderBy(F.col("mix_position").asc_nulls_last(), "mix_digest", "mix_doc")
+    return mixed.select(*[F.col(f"`{c}`") for c in payload], *COLUMNS)

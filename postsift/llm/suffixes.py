@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postsift.llm.texthash import BYTE_VALUES, _BASE, _INVERSE, mixed, powers, text_slices
 
@@ -151,21 +152,25 @@ def anchors(buf: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[tuple[n
     yield row, grams[place].view(np.int64), around.view(np.int64), first - base, place - base, last - base
 
 
-def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 100) -> DataFrame:
+def repeated_passages(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 100, keep: tuple[str, ...] = (), decoded: bool = False
+) -> DataFrame:
     """doc_id, text, n_bytes, n_removed, n_spans, spans and kept for every document.
 
     Texts are UTF-8 bytes, null is empty. A byte is removed if it lies in a string of `width`
     bytes that also starts at a smaller doc_id, or earlier in the same document; all strings
     are judged on the input, and none crosses documents. `spans` lists the removed runs as
-    (start, end), `kept` is what remains, in bytes. A text shorter than `width` loses
+    (start, end), `kept` is what remains, in bytes; if `decoded`, it is a string without the
+    characters of which a part was removed. Columns in `keep` pass through; they must not
+    have the name of another one. A text shorter than `width` loses
     nothing. Of rows that repeat a doc_id the one with the smallest text counts; null ids
-    take no part. `width` is at least 25. Other columns are not read.
+    take no part. `width` is at least 25. Further columns are not read.
 
     Texts are dealt by doc_id once. What is then moved is one narrow row per run of strings
     with the same k-gram (about one for 39 bytes), the bytes around those k-grams only that
     occur in different surroundings, and the runs to remove.
     """
-    given = docs.select(docs[f"`{doc_id}`"].cast("bigint").alias("doc_id"), F.coalesce(docs[f"`{text}`"], F.lit("")).alias("text"))
+    given = docs.select(docs[f"`{doc_id}`"].cast("bigint").alias("doc_id"), F.coalesce(docs[f"`{text}`"], F.lit("")).alias("text"), *[docs[f"`{c}`"] for c in keep])
     dealt = given.where("doc_id IS NOT NULL").repartition("doc_id").sortWithinPartitions("doc_id", "text")
 
     def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +206,7 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     copies = unpacked.where("copy > 1").select("doc_id", "first", (F.col("first") + F.col("more")).alias("last"))
 
     compare = unpacked.where("copy = 1 AND kinds > 1").groupBy("doc_id").agg(F.collect_list(F.struct("fp", "kinds", "first", "more")).alias("marks"))
-    texts = dealt.mapInArrow(first_of_each, "doc_id bigint, text string")
+    texts = dealt.mapInArrow(first_of_each, dealt.schema)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,7 +229,7 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["fp", "string", "doc_id", "first", "bytes"])
                 out = []
 
-    around = texts.join(compare, "doc_id").mapInArrow(cut_out, "fp bigint, string bigint, doc_id bigint, first bigint, bytes binary")
+    around = texts.join(compare, "doc_id").select("doc_id", "text", "marks").mapInArrow(cut_out, "fp bigint, string bigint, doc_id bigint, first bigint, bytes binary")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def runs(rows: list[tuple]) -> pa.RecordBatch:
@@ -269,11 +274,10 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     per_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text", "n_bytes", "n_removed", "n_spans", "spans", "kept"]
         for batch in batches:
             n_bytes, n_removed, n_spans, spans, kept = [], [], [], [], []
             for i, j, buf, bounds in text_slices(batch.column(1)):
-                for k, runs in enumerate(batch.column(2).slice(i, j - i)):
+                for k, runs in enumerate(batch.column(len(passed)).slice(i, j - i)):
                     own = buf[bounds[k] : bounds[k + 1]]
                     steps = np.zeros(len(own) + 1, np.int32)
                     if runs.is_valid:
@@ -286,10 +290,13 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
                     n_removed.append(int(gone.sum()))
                     n_spans.append(len(edges) // 2)
                     spans.append([{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)])
-                    kept.append(own[~gone].tobytes())
-            longs = [pa.array(c, pa.int64()) for c in (n_bytes, n_removed, n_spans)]
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *longs, pa.array(spans, kind), pa.array(kept, pa.binary())], names)
-
-    schema = "doc_id bigint, text string, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start: bigint, end: bigint>>, kept binary"
-    return texts.join(per_doc, "doc_id", "left").mapInArrow(removed, schema)
+                    rest = own[~gone].tobytes()
+                    kept.append(rest.decode("utf-8", "ignore") if decoded else rest)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string() if decoded else pa.binary())
+            new = [pa.array(c, t) for c, t in zip((n_bytes, n_removed, n_spans, spans, kept), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed)], *new], schema.names)
+
+    passed = dealt.columns
+    added = f"n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start: bigint, end: bigint>>, kept {'string' if decoded else 'binary'}"
+    schema = T.StructType([*dealt.schema.fields, *T.StructType.fromDDL(added).fields])
+    return texts.join(per_doc, "doc_id", "left").select(*passed, "runs").mapInArrow(removed, schema)

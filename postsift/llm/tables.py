@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,13 +28,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settled(frame: DataFrame) -> DataFrame:
-    """`frame`, written once to the shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in `spark.checkpoint.dir`.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`; only a session in
-    local mode without one (a test) gets a temporary folder.
+    Only a session in local mode without one (a test) gets a temporary folder.
     """
-    spark = frame.sparkSession
     if checkpoint_folder(spark) is None and spark.sparkContext.master.startswith("local["):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
+    folder = checkpoint_folder(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    return folder
+
+
+def settled(frame: DataFrame) -> DataFrame:
+    """`frame`, written once to the shared folder; later steps do not repeat its computation."""
+    shared_folder(frame.sparkSession)
     return settle(frame)
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """`frame`, written to the shared folder as Parquet and read again."""
+    path = f"{shared_folder(frame.sparkSession)}/stored-{uuid.uuid4()}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
