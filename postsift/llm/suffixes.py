@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postsift.llm.tables import stored
 from postsift.llm.texthash import BYTE_VALUES, _BASE, _INVERSE, mixed, powers, text_slices
 
 #: Bytes of the k-gram that names a string.
@@ -166,47 +167,42 @@ def repeated_passages(
     nothing. Of rows that repeat a doc_id the one with the smallest text counts; null ids
     take no part. `width` is at least 25. Further columns are not read.
 
-    Texts are dealt by doc_id once. What is then moved is one narrow row per run of strings
+    Texts are dealt by doc_id once. What is moved besides is one narrow row per run of strings
     with the same k-gram (about one for 39 bytes), the bytes around those k-grams only that
     occur in different surroundings, and the runs to remove.
     """
     given = docs.select(docs[f"`{doc_id}`"].cast("bigint").alias("doc_id"), F.coalesce(docs[f"`{text}`"], F.lit("")).alias("text"), *[docs[f"`{c}`"] for c in keep])
-    dealt = given.where("doc_id IS NOT NULL").repartition("doc_id").sortWithinPartitions("doc_id", "text")
-
-    def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            if len(ids):
-                fresh = np.concatenate([[ids[0] != last], ids[1:] != ids[:-1]])
-                last = ids[-1]
-                yield batch.filter(pa.array(fresh))
+    texts = given.where("doc_id IS NOT NULL")
+    # Ids are counted first: where each is alone, texts need no sorting out.
+    if texts.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        texts = texts.withColumn("llm_row", F.row_number().over(W.partitionBy("doc_id").orderBy("text", *keep))).where("llm_row = 1").drop("llm_row")
 
     names = ["fp", "around", "doc_id", "first", "place", "last"]
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in first_of_each(batches):
+        for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j, buf, bounds in text_slices(batch.column(1)):
                 for row, *values in anchors(buf, bounds, width):
                     columns = [*values[:2], ids[i:j][row], *values[2:]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    marks = dealt.mapInArrow(marked, ", ".join(f"{n} bigint" for n in names))
+    marks = texts.select("doc_id", "text").mapInArrow(marked, ", ".join(f"{n} bigint" for n in names))
     # One narrow row: where the strings of a run start, relative to the first.
     packed = marks.select("fp", "around", "doc_id", (F.col("first") * 65536 + (F.col("place") - F.col("first")) * 256 + (F.col("last") - F.col("first"))).alias("at"))
     by_fp, by_both = W.partitionBy("fp"), W.partitionBy("fp", "around").orderBy("doc_id", "at")
     numbered = packed.withColumn("copy", F.row_number().over(by_both))
     told = numbered.withColumn("kinds", F.sum((F.col("copy") == 1).cast("int")).over(by_fp)).where("copy > 1 OR kinds > 1")
-    unpacked = told.select(
-        "fp", "doc_id", "copy", "kinds", F.shiftright("at", 16).alias("first"), (F.shiftright("at", 8) % 256).alias("ahead"), (F.col("at") % 256).alias("more")
+    # Settled, so that the marks of all texts are dealt once.
+    settled = stored(told.select("doc_id", "at", F.when(F.col("copy") == 1, F.col("fp")).alias("fp"), F.when(F.col("copy") == 1, F.col("kinds")).alias("kinds")))
+    unpacked = settled.select(
+        "fp", "doc_id", "kinds", F.shiftright("at", 16).alias("first"), (F.shiftright("at", 8) % 256).alias("ahead"), (F.col("at") % 256).alias("more")
     )
 
     # Equal surroundings: all but the first are repeats throughout.
-    copies = unpacked.where("copy > 1").select("doc_id", "first", (F.col("first") + F.col("more")).alias("last"))
+    copies = unpacked.where("fp IS NULL").select("doc_id", "first", (F.col("first") + F.col("more")).alias("last"))
 
-    compare = unpacked.where("copy = 1 AND kinds > 1").groupBy("doc_id").agg(F.collect_list(F.struct("fp", "kinds", "first", "more")).alias("marks"))
-    texts = dealt.mapInArrow(first_of_each, dealt.schema)
+    compare = unpacked.where("fp IS NOT NULL").groupBy("doc_id").agg(F.collect_list(F.struct("fp", "kinds", "first", "more")).alias("marks"))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,7 +292,7 @@ def repeated_passages(
             new = [pa.array(c, t) for c, t in zip((n_bytes, n_removed, n_spans, spans, kept), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed)], *new], schema.names)
 
-    passed = dealt.columns
+    passed = texts.columns
     added = f"n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start: bigint, end: bigint>>, kept {'string' if decoded else 'binary'}"
-    schema = T.StructType([*dealt.schema.fields, *T.StructType.fromDDL(added).fields])
+    schema = T.StructType([*texts.schema.fields, *T.StructType.fromDDL(added).fields])
     return texts.join(per_doc, "doc_id", "left").select(*passed, "runs").mapInArrow(removed, schema)
