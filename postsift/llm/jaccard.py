@@ -37,7 +37,7 @@ class JoinOptions:
     #: Children of a bucket that two sets at the threshold share on average.
     shared_children: float = 2.0
     levels: int = 4
-    small_bucket: int = 256
+    small_bucket: int = 2048
     #: Sets (in n-grams) that are compared in one task; larger groups go in blocks of so many.
     block_grams: int = 400_000
 
