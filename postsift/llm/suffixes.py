@@ -190,6 +190,8 @@ def repeated_passages(
     marks = texts.select("doc_id", "text").mapInArrow(marked, ", ".join(f"{n} bigint" for n in names))
     # One narrow row: where the strings of a run start, relative to the first.
     packed = marks.select("fp", "around", "doc_id", (F.col("first") * 65536 + (F.col("place") - F.col("first")) * 256 + (F.col("last") - F.col("first"))).alias("at"))
+    # Dealt by the fingerprint alone, which serves both windows.
+    packed = packed.repartition("fp")
     by_fp, by_both = W.partitionBy("fp"), W.partitionBy("fp", "around").orderBy("doc_id", "at")
     numbered = packed.withColumn("copy", F.row_number().over(by_both))
     told = numbered.withColumn("kinds", F.sum((F.col("copy") == 1).cast("int")).over(by_fp)).where("copy > 1 OR kinds > 1")
