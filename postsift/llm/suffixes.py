@@ -25,6 +25,8 @@ from postsift.llm.texthash import BYTE_VALUES, _BASE, _INVERSE, mixed, powers, t
 
 #: Bytes of the k-gram that names a string.
 GRAM = 24
+#: Texts are hashed in slices of about so many bytes; each takes about 60 times that.
+SLICE = 1 << 20
 #: Bytes put into one suffix array; three symbols of it fit into 63 bits.
 ARRAY_BYTES = 1 << 20
 #: Different surroundings of a fingerprint that are compared in one task; more are compared
@@ -182,7 +184,7 @@ def repeated_passages(
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for i, j, buf, bounds in text_slices(batch.column(1)):
+            for i, j, buf, bounds in text_slices(batch.column(1), SLICE):
                 for row, *values in anchors(buf, bounds, width):
                     columns = [*values[:2], ids[i:j][row], *values[2:]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
@@ -209,7 +211,7 @@ def repeated_passages(
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, out = batch.column(0).to_numpy(zero_copy_only=False), []
-            for i, j, buf, bounds in text_slices(batch.column(1)):
+            for i, j, buf, bounds in text_slices(batch.column(1), SLICE):
                 hashed = None
                 for k, list_ in enumerate(batch.column(2).slice(i, j - i)):
                     for mark in list_.values.to_pylist():
@@ -274,7 +276,7 @@ def repeated_passages(
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_bytes, n_removed, n_spans, spans, kept = [], [], [], [], []
-            for i, j, buf, bounds in text_slices(batch.column(1)):
+            for i, j, buf, bounds in text_slices(batch.column(1), SLICE):
                 for k, runs in enumerate(batch.column(len(passed)).slice(i, j - i)):
                     own = buf[bounds[k] : bounds[k + 1]]
                     steps = np.zeros(len(own) + 1, np.int32)
