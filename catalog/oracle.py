@@ -5,6 +5,7 @@ from __future__ import annotations
 from catalog.inputs import DNS_CTES
 from postsift.sources import lists
 
+# The accepted addresses and the rows of a keyboard.
 PATTERN = "[A-Za-z0-9!#$%&''*+/=?^_`{|}~.-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"
 ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890")
 RUNS = [r[i : i + 5] for row in ROWS for r in (row, row[::-1]) for i in range(len(r) - 4)]

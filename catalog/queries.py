@@ -23,6 +23,7 @@ from catalog.oracle import (
 )
 from postsift.functions import list_values, match_provider
 from postsift.functions.constants import text_array
+from postsift.functions.registration import registration_age_days
 from postsift.operators.membership import off_table, on_table
 from postsift.operators.once import computed_once
 from postsift.operators.registration import registry_servers
@@ -67,8 +68,8 @@ def fields(validated: DataFrame, *names: str) -> DataFrame:
 
 
 def validated(spark: SparkSession, sf_dir: str, **arguments) -> DataFrame:
-    inputs.scratch(spark)
     dns = inputs.dns_answers(spark, sf_dir)
+    arguments.setdefault("settled", checkpoint_folder(spark) is not None)
     return ps.validate(inputs.contacts(spark, sf_dir), dns=dns, as_of=AS_OF, order_by="input_seq", **arguments)
 
 
@@ -188,7 +189,7 @@ def typo_suggest(spark, sf_dir):
     return ps.find_typos(domains, ps.BASE_LISTS).select("domain", "typo.*")
 
 
-# A long list of common domains: the base list and the domain of every tenth customer.
+# A long list of common domains: the base list and the domains of all customers.
 # Look-alikes are the domains of all customers with two neighbouring letters swapped.
 LONG_LIST_SQL = "SELECT c_custkey, 'cliente' || CAST(c_custkey AS STRING) || '.com.co' AS domain FROM customer"
 LOOK_ALIKE_SQL = "SELECT DISTINCT 'cleinte' || CAST(c_custkey AS STRING) || '.com.co' AS domain FROM customer"
@@ -216,8 +217,7 @@ def typo_long_list(spark, sf_dir):
     return find_typos_in(domains, base.unionByName(grown)).select("domain", "typo.*")
 
 
-# Extensions from the tables: the words of part names as roles, the customers' domains
-# as common ones, in untidy text.
+# Extensions from the tables: the names of parts as roles, in untidy text.
 EXTENSION_SQL = """
     SELECT 'roles' AS list, ' ' || upper(p_name) || ' , ' || p_name || ',,info' AS entries, p_partkey AS seq FROM part
 """
@@ -343,7 +343,7 @@ STRICT_SQL = dict(
 
 @entry("verdicts_many_domains", check(*VERDICT, "mx_record", "cached"))
 def verdicts_many_domains(spark, sf_dir):
-    """The same with a settled domain table that counts as too large to broadcast."""
+    """The same, settled where the session can, with a domain table that counts as too large to broadcast."""
     rows = validated(spark, sf_dir, broadcast_rows=10, hot_keys=ps.HotKeys(min_rows=100, max_keys=5))
     return fields(rows, *VERDICT, "mx_record", "cached")
 
@@ -353,7 +353,7 @@ def verdicts_strict(spark, sf_dir):
     return fields(validated(spark, sf_dir, options=STRICT), *VERDICT, "role_based", "disposable")
 
 
-VETO = ps.Rule("veto", cuts=lambda v: [ps.review(F.length(v.account) > 11, "vetoed")])
+VETO = ps.Rule("veto", cuts=lambda v: [ps.Cut(F.length(v.account) > 11, "vetoed", "do_not_mail", "manual_review")])
 
 
 @entry("verdicts_custom_rule", check(*VERDICT, "cached", early_hook="WHEN length(account) > 11 THEN 'vetoed'"))
@@ -407,6 +407,120 @@ def field_not_found(spark, sf_dir):
     return rows.select("input_seq", "email", "validation.sub_status", "validation.field_searched")
 
 
+@entry(
+    "checked_at",
+    f"""SELECT input_seq, '2024-06-01T12:00:00.000Z' AS checked_at FROM ({CONTACTS_SQL}) c""",
+)
+def checked_at(spark, sf_dir):
+    return fields(validated(spark, sf_dir), "checked_at")
+
+
+@entry(
+    "payload_names",
+    f"""WITH {validation_ctes(CONTACTS_SQL)} SELECT v.input_seq, s.priority AS first, s.owner AS dns, s.priority AS typo,
+      s.owner AS rows, s.owner AS age_days, s.priority AS sendable, v.status, v.cached FROM validated v JOIN source s ON v.input_seq = s.input_seq""",
+)
+def payload_names(spark, sf_dir):
+    """Contact columns may have any name but those starting with ps_."""
+    named = {"first": "priority", "dns": "owner", "typo": "priority", "rows": "owner", "age_days": "owner", "sendable": "priority"}
+    contacts = inputs.contacts(spark, sf_dir).select("input_seq", F.col("email").alias("Email"), *[F.col(c).alias(n) for n, c in named.items()])
+    rows = ps.validate(contacts, "Email", dns=inputs.dns_answers(spark, sf_dir), as_of=AS_OF, order_by="input_seq")
+    return rows.select("input_seq", *named, "validation.status", "validation.cached")
+
+
+@entry("output_without_fields", f"WITH {validation_ctes(CONTACTS_SQL)} SELECT normalized AS email, status, sub_status FROM validated")
+def output_without_fields(spark, sf_dir):
+    return validated(spark, sf_dir, keep_fields=False).select("*").select("email", "validation.status", "validation.sub_status")
+
+
+@entry("literal_address", f"SELECT input_seq, 'ana@gmail.com' AS email, 'dns_unavailable' AS sub_status FROM ({CONTACTS_SQL}) c")
+def literal_address(spark, sf_dir):
+    """The address is the same text for every row."""
+    rows = ps.validate(inputs.contacts(spark, sf_dir).drop("email"), "Ana@Gmail.com", as_of=AS_OF)
+    return rows.select("input_seq", "email", "validation.sub_status")
+
+
+@entry(
+    "expression_address",
+    f"""WITH {validation_ctes(f"SELECT c_custkey AS input_seq, 'ana.' || lower(c_mktsegment) || '@cliente' || CAST(c_custkey AS STRING) || '.com.co' AS email FROM customer")}
+    SELECT input_seq, normalized AS email, status, sub_status FROM validated""",
+)
+def expression_address(spark, sf_dir):
+    """The address is an expression over other columns."""
+    customers = inputs.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("input_seq"), "c_mktsegment")
+    address = F.concat(F.lit("ana."), F.lower("c_mktsegment"), F.lit("@cliente"), F.col("input_seq").cast("string"), F.lit(".com.co"))
+    rows = ps.validate(customers, address, dns=inputs.dns_answers(spark, sf_dir), as_of=AS_OF)
+    return rows.select("input_seq", "email", "validation.status", "validation.sub_status")
+
+
+@entry(
+    "replaced_rules",
+    f"""WITH {parsed_ctes(CONTACTS_SQL)} SELECT input_seq,
+      CASE WHEN email IS NULL THEN 'field_not_found' WHEN f = '' THEN 'empty' WHEN NOT ok THEN 'failed_syntax_check'
+           WHEN length(domain) > 15 THEN 'long_domain' END AS sub_status,
+      CASE WHEN ok AND f <> '' AND length(domain) <= 15 THEN 'accept' WHEN ok AND f <> '' THEN 'manual_review' ELSE 'reject' END AS recommendation
+    FROM checked""",
+)
+def replaced_rules(spark, sf_dir):
+    """A rule list of one's own in place of the default."""
+    only = ps.Rule("length", cuts=lambda v: [ps.Cut(F.length(v.domain) > 15, "long_domain", "do_not_mail", "manual_review")])
+    return fields(validated(spark, sf_dir, rules=[only]), "sub_status", "recommendation")
+
+
+MIXED = ps.Rule(
+    "mixed",
+    cuts=lambda v: [ps.Cut(v.looked_up["typo.suggestion"].isNotNull() & (F.length(v.account) > 11), "mixed", "do_not_mail", "manual_review")],
+    lookups=frozenset({"typo"}),
+)
+
+
+@entry(
+    "verdicts_mixed_rule",
+    f"""WITH {validation_ctes(CONTACTS_SQL)} SELECT input_seq,
+      CASE WHEN early IS NULL AND NOT sure AND suggestion IS NOT NULL AND length(account) > 11 THEN 'mixed' ELSE sub_status END AS sub_status
+    FROM decided""",
+)
+def verdicts_mixed_rule(spark, sf_dir):
+    """A rule that reads account and typo together, between the typo and mail routing."""
+    return fields(validated(spark, sf_dir, rules=ps.insert_rule(MIXED, before="dns")), "sub_status")
+
+
+# Disposable domains and shared mailboxes from tables of their own: the domains of one
+# customer in three, and the names of all parts.
+LIST_SQL = "SELECT 'CLIENTE' || CAST(c_custkey AS STRING) || '.com.co ' AS value FROM customer WHERE c_custkey % 3 = 0"
+
+
+@entry(
+    "disposable_table",
+    f"""WITH {parsed_ctes(CONTACTS_SQL)} SELECT input_seq,
+      coalesce(ok AND (domain IN {in_list(lists.DISPOSABLE)} OR domain IN (SELECT lower(trim(value)) FROM ({LIST_SQL}) l)), FALSE) AS disposable
+    FROM checked""",
+)
+def disposable_table(spark, sf_dir):
+    table = inputs.run(spark, sf_dir, LIST_SQL, "customer")
+    return fields(validated(spark, sf_dir, options=ps.Options(extra_disposable=table)), "disposable")
+
+
+@entry(
+    "domain_table",
+    f"""WITH {parsed_ctes(CONTACTS_SQL)},
+    listed AS (SELECT ordinal, value FROM (VALUES {", ".join(f"({i}, '{v}')" for i, v in enumerate(COMMON))}) AS t(ordinal, value)
+      UNION ALL SELECT {len(COMMON)} + c_custkey, 'cliente' || CAST(c_custkey AS STRING) || '.com.co' FROM customer WHERE c_custkey % 2 = 0),
+    near AS (
+      SELECT d.domain, ordinal, value, damerau_levenshtein(d.domain, value) AS distance FROM ({SQL_DOMAINS}) d, listed
+      WHERE abs(length(d.domain) - length(value)) <= 2 AND levenshtein(d.domain, value) <= 4 AND d.domain NOT IN (SELECT value FROM listed))
+    SELECT d.domain, n.suggestion FROM ({SQL_DOMAINS}) d LEFT JOIN (
+      SELECT domain, arg_min(value, (distance, ordinal)) AS suggestion FROM near
+      WHERE distance <= CASE WHEN length(domain) <= 6 THEN 1 ELSE 2 END GROUP BY domain) n ON d.domain = n.domain""",
+)
+def domain_table(spark, sf_dir):
+    """Typos against common domains from a table, where also only distance 2 hits."""
+    customers = inputs.table(spark, sf_dir, "customer").where("c_custkey % 2 = 0")
+    extra = customers.select(F.concat(F.lit("cliente"), F.col("c_custkey").cast("string"), F.lit(".com.co")).alias("value"), F.col("c_custkey").alias("ordinal"))
+    domains = parsed(inputs.contacts(spark, sf_dir)).select("domain").distinct()
+    return ps.find_typos(domains, ps.BASE_LISTS, extra=extra).select("domain", F.col("typo.suggestion").alias("suggestion"))
+
+
 # One contact per customer with all addresses of the customer's orders as an array.
 @entry(
     "array_fanout",
@@ -415,7 +529,6 @@ def field_not_found(spark, sf_dir):
     FROM validated v JOIN source s ON v.input_seq = s.input_seq""",
 )
 def array_fanout(spark, sf_dir):
-    inputs.scratch(spark)
     # collect_list leaves nulls out; they are addresses that are missing, so keep them.
     grouped = inputs.contacts(spark, sf_dir).groupBy("owner").agg(F.collect_list(F.struct("email")).alias("items"))
     people = grouped.select("owner", F.transform("items", lambda i: i["email"]).alias("emails"))
@@ -462,12 +575,16 @@ FOUND_SQL = """
 @entry("extracted_contacts", f"WITH {validation_ctes(FOUND_SQL)} SELECT input_seq, normalized, status, sub_status, recommendation FROM validated")
 def extracted_contacts(spark, sf_dir):
     def found(name: str, key, text: str) -> DataFrame:
-        address = F.regexp_extract_all(text, F.lit("[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+"), F.lit(0))
-        return inputs.table(spark, sf_dir, name).select(key.alias("input_seq"), F.explode(address).alias("email"))
+        # Only pieces without white space that hold an `@` are searched: the pattern retries
+        # every start of a long run of letters.
+        texts = inputs.table(spark, sf_dir, name).where(F.contains(text, F.lit("@")))
+        pieces = F.filter(F.split(text, "[^A-Za-z0-9._%+@-]+"), lambda w: F.contains(w, F.lit("@")))
+        worded = texts.select(key.alias("input_seq"), F.explode(pieces).alias("piece"))
+        address = F.regexp_extract_all("piece", F.lit("[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+"), F.lit(0))
+        return worded.select("input_seq", F.explode(address).alias("email"))
 
     documents = found("documents", F.col("doc_id") * 2, "text")
     pages = found("pages", F.col("page_id") * 2 + 1, "html")
-    inputs.scratch(spark)
     found_once = documents.unionByName(pages).select("input_seq", F.lower("email").alias("email")).distinct()
     # Searching the texts is the costly part, and validate reads its contacts twice.
     contacts = settle(found_once) if checkpoint_folder(spark) else found_once
@@ -537,6 +654,34 @@ def domain_age(spark, sf_dir):
     return ages(spark, sf_dir)
 
 
+@entry(
+    "domain_age_no_registry",
+    f"WITH {REGISTRY_CTES} SELECT domain, CAST(NULL AS INT) AS age_days, FALSE AS cacheable FROM ages",
+)
+def domain_age_no_registry(spark, sf_dir):
+    """Without any registry document nothing is known, and nothing is final."""
+    registry = registry_from_bootstrap(inputs.bootstrap_documents(spark, sf_dir).where("seq < 0"), order="seq")
+    return ps.domain_ages(inputs.rdap_answers(spark, sf_dir), registry, instant(AS_OF))
+
+
+# Answers with two registration events: the first one counts.
+TWO_EVENTS_SQL = """
+    SELECT c_custkey AS seq, '{"events": [{"eventAction": "registration", "eventDate": "' || CAST(1990 + c_custkey % 30 AS STRING)
+      || '-03-04' || CASE WHEN c_custkey % 2 = 0 THEN '' ELSE 'T13:00:00Z' END
+      || '"}, {"eventAction": "registration", "eventDate": "2021-01-01T00:00:00Z"}]}' AS body FROM customer
+"""
+
+
+@entry(
+    "first_registration_event",
+    f"""SELECT seq, CAST(floor((epoch_ms({AS_OF_SQL}) - epoch_ms(CAST(json_extract_string(body, '$.events[0].eventDate') AS TIMESTAMP))) / 86400000.0) AS INT) AS age_days
+    FROM ({TWO_EVENTS_SQL}) t""",
+)
+def first_registration_event(spark, sf_dir):
+    bodies = inputs.run(spark, sf_dir, TWO_EVENTS_SQL, "customer")
+    return bodies.select("seq", registration_age_days(F.col("body"), instant(AS_OF)).alias("age_days"))
+
+
 # Contacts at the registered domains, which all have a mail server.
 OWNERS_SQL = f"SELECT 'ana.maria@' || domain AS email FROM ({inputs.RDAP_SQL}) r"
 
@@ -586,10 +731,7 @@ EVENT_CONTACTS_SQL = inputs.addresses_sql("events", "event_id", "user_id", "ts")
 
 def new_folder(spark: SparkSession) -> str:
     """A folder of its own for one run of a stream."""
-    shared = inputs.scratch(spark)
-    if shared is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return f"{shared}/stream-{uuid.uuid4()}"
+    return f"{inputs.warehouse_folder(spark)}/stream-{uuid.uuid4()}"
 
 
 def event_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -625,20 +767,23 @@ def stream_validate(spark, sf_dir):
     return fields(spark.read.parquet(f"{folder}/out"), *VERDICT, "sendable")
 
 
-@entry("stream_refresh_requests", None)
+@entry(
+    "stream_refresh_requests",
+    f"""WITH {validation_ctes(EVENT_SQL)}
+    SELECT DISTINCT domain FROM decided WHERE asks AND domain NOT IN (SELECT domain FROM usable WHERE kept)""",
+)
 def stream_refresh_requests(spark, sf_dir):
-    """Rows only: which contact of a domain comes first in a stream is a matter of timing."""
     folder = new_folder(spark)
     query = start_refresh_requests(
         event_contacts(spark, sf_dir),
-        "ts",
         lambda session: inputs.dns_answers(session, sf_dir),
         f"{folder}/out",
         checkpoint=f"{folder}/progress",
         available_now=True,
+        as_of=AS_OF,
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{folder}/out").select("domain", "seen_at")
+    return spark.read.parquet(f"{folder}/out").select("domain")
 
 
 # --- flagship -----------------------------------------------------------------------

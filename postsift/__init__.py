@@ -12,7 +12,7 @@ from postsift.operators.registration import domain_ages
 from postsift.operators.typo import find_typos, typo_match
 from postsift.plans.options import Options
 from postsift.plans.route import discarded, sendable, write_routed
-from postsift.plans.rules import DEFAULT_RULES, Cut, Rule, RuleView, insert_rule, reject, review
+from postsift.plans.rules import DEFAULT_RULES, Cut, Rule, RuleView, insert_rule
 from postsift.plans.validate import lookup_counts, lookup_worklist, registration_worklist, validate
 from postsift.sources.lists import BASE_LISTS, ReferenceLists, build_lists
 
@@ -37,8 +37,6 @@ __all__ = [
     "looks_like_filler",
     "normalize_email",
     "registration_worklist",
-    "reject",
-    "review",
     "sendable",
     "split_email",
     "typo_match",

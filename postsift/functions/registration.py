@@ -15,7 +15,10 @@ def registration_date(body: Column) -> Column:
     first = F.get(
         F.filter(events, lambda e: F.try_variant_get(e, "$.eventAction", "string") == "registration"), F.lit(0)
     )
-    return F.try_to_timestamp(F.try_variant_get(first, "$.eventDate", "string"))
+    text = F.try_variant_get(first, "$.eventDate", "string")
+    # A date alone means midnight in UTC, whatever the session zone.
+    bare = text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+    return F.try_to_timestamp(F.when(bare, F.concat(text, F.lit("T00:00:00Z"))).otherwise(text))
 
 
 def registration_age_days(body: Column, now: Column) -> Column:

@@ -84,13 +84,26 @@ def has_valid_syntax(address: Column, account: Column | None = None) -> Column:
     )
 
 
+def clean_value(text: Column) -> Column:
+    """A list value without the white space at its edges, in lower case."""
+    return F.lower(trim_edges(text))
+
+
 def list_values(text: Column) -> Column:
     """Comma-separated text -> array of trimmed, lower-case, non-empty values."""
-    folded = F.transform(F.split(text, ","), lambda v: F.lower(trim_edges(v)))
+    folded = F.transform(F.split(text, ","), clean_value)
     return F.filter(folded, lambda v: v != "")
 
 
 def iso_instant(ts: Column) -> Column:
     """Timestamp -> ISO-8601 text in UTC with milliseconds, whatever the session zone."""
-    utc = F.to_utc_timestamp(ts, F.current_timezone())
-    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    # Counted from the epoch in whole days and milliseconds, so no session zone can shift it.
+    millis, day = F.unix_millis(ts), F.lit(86_400_000)
+    rest = F.pmod(millis, day)
+    date = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(millis / day).cast("int"))
+
+    def digits(value: Column, width: int) -> Column:
+        return F.lpad(value.cast("bigint").cast("string"), width, "0")
+
+    time = F.concat_ws(":", digits(rest / 3_600_000, 2), digits(rest % 3_600_000 / 60_000, 2), digits(rest % 60_000 / 1000, 2))
+    return F.concat(date.cast("string"), F.lit("T"), time, F.lit("."), digits(rest % 1000, 3), F.lit("Z"))

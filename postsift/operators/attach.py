@@ -1,15 +1,15 @@
 """Left join that survives hot keys.
 
 A few mail providers hold most of a contact list, so hashing contacts on their domain
-would send a third of all rows to one task. `attach` treats the hot keys apart:
+would send a third of all rows to one task. `attach` reads the rows once:
 
-* keys with many rows are found with a partial aggregate and capped in number, so what
-  gets broadcast has a fixed bound (`hot_keys` rows) however large the data is;
-* rows with a hot key, or with no key at all, take their values from that broadcast and
-  are never shuffled;
-* the remaining keys are individually small and go through an ordinary shuffle join.
+* keys with many rows are marked by one broadcast of (key, number of shares);
+* a row with a hot key goes to the share of its own input task, and the values of such a
+  key are repeated for each share; rows without a key are dealt out the same way;
+* then one shuffle join on (key, share) serves all rows.
 
-No row is dropped: the cap only decides which way a row goes.
+The marks are bounded in number. Keys beyond that bound keep a single share and are left
+to the adaptive skew join, which splits their rows while the join runs.
 """
 
 from __future__ import annotations
@@ -22,17 +22,20 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class HotKeys:
-    """From how many rows on a key is hot, and how many hot keys are broadcast at most."""
+    """From how many rows on a key is shared out, and how many such keys are marked at most."""
 
     min_rows: int = 1_000_000
-    max_keys: int = 10_000
+    max_keys: int = 100_000
 
 
 DEFAULT_HOT_KEYS = HotKeys()
 
-# A settled table of up to this many rows is broadcast whole. Its rows are a domain and
-# what is known about it, at most about 1 KB each and usually a tenth of that.
+# A settled table within both bounds is broadcast whole.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+# Shares of rows without a key.
+KEYLESS_SHARES = 1024
 
 
 def attach_settled(
@@ -42,13 +45,16 @@ def attach_settled(
     weight: str,
     hot_keys: HotKeys = DEFAULT_HOT_KEYS,
     broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """`attach` for values that are computed already, so that their size can be checked.
 
-    Within the bound all of `values` is broadcast and `rows` is neither shuffled nor
-    read twice; beyond it, `attach` takes over.
+    Within the bounds on rows and on their size as text all of `values` is broadcast and
+    `rows` is not shuffled; beyond them, `attach` takes over.
     """
-    if values.count() <= broadcast_rows:
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in values.columns]))))
+    count, octets = values.agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    if count <= broadcast_rows and octets <= broadcast_bytes:
         return rows.join(F.broadcast(values.drop(weight)), key, "left")
     return attach(rows, values, key, weight, hot_keys)
 
@@ -63,24 +69,21 @@ def attach(
     """`rows` left join `values` on `key`; `values` holds each key once.
 
     `weight` names a column of `values` with the number of rows on each key (it is
-    dropped); without one the keys are counted first. `rows` is read once per branch,
-    so it has to be repeatable: files or tables, not a random sample taken on the fly.
+    dropped); without one the keys are counted first, which reads `rows` once more.
     """
-
-    def hottest(keys: DataFrame, count: str) -> DataFrame:
-        return keys.where(F.col(count) >= hot_keys.min_rows).orderBy(F.desc(count), key).limit(hot_keys.max_keys)
-
     if weight is None:
-        counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("ps_rows"))
-        hot = values.join(F.broadcast(hottest(counts, "ps_rows").select(key)), key, "left_semi")
-    else:
-        hot = hottest(values, weight).drop(weight)
-        # Always true, but it makes this side ask for the same columns of `values` as the
-        # hot side does, so that one shuffled aggregate serves both.
-        values = values.where(F.col(weight) > 0).drop(weight)
-
-    stay = rows.join(F.broadcast(hot.withColumn("ps_hot", F.lit(True))), key, "left").where(
-        F.col(key).isNull() | F.col("ps_hot")
+        weight, given = "ps_weight", values
+        counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(weight))
+        values = given.join(counts, key)
+    shares = F.ceil(F.col(weight) / hot_keys.min_rows).cast("int")
+    hottest = values.where(F.col(weight) >= hot_keys.min_rows).orderBy(F.desc(weight), key).limit(hot_keys.max_keys)
+    hot = hottest.select(key, (shares + 1).alias("ps_shares"))
+
+    marked = rows.join(F.broadcast(hot), key, "left")
+    parts = F.when(F.col(key).isNull(), F.lit(KEYLESS_SHARES)).otherwise(F.coalesce("ps_shares", F.lit(1)))
+    # The input task and not a random number: a repeated task deals its rows out alike.
+    dealt = marked.withColumn("ps_share", F.pmod(F.spark_partition_id(), parts)).drop("ps_shares")
+    repeated = values.join(F.broadcast(hot), key, "left").withColumn(
+        "ps_share", F.explode(F.sequence(F.lit(0), F.coalesce("ps_shares", F.lit(1)) - 1))
     )
-    move = rows.where(F.col(key).isNotNull()).join(F.broadcast(hot.select(key)), key, "left_anti")
-    return stay.drop("ps_hot").unionByName(move.join(values, key, "left"))
+    return dealt.join(repeated.drop("ps_shares", weight), [key, "ps_share"], "left").drop("ps_share")

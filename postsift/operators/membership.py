@@ -8,12 +8,13 @@ nothing that grows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postsift.operators.attach import attach
+from postsift.functions.text import clean_value
+from postsift.operators.attach import DEFAULT_HOT_KEYS, HotKeys, attach
 from postsift.sources.lists import ReferenceLists
 
 LITERAL_LIMIT = 1000
@@ -39,28 +40,38 @@ def flag_long_lists(
     lists: ReferenceLists,
     literal_limit: int = LITERAL_LIMIT,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    tables: Mapping[str, DataFrame] | None = None,
 ) -> tuple[DataFrame, dict[str, Column]]:
-    """Add one boolean column per list that is too long for literals."""
+    """Add one boolean column per list that is too long for literals or given as a table."""
     flags = {}
     for name, key in EXTENDABLE.items():
-        values = getattr(lists, name)
+        values, table = getattr(lists, name), (tables or {}).get(name)
+        listed = F.lit(False)
         if len(values) <= literal_limit:
-            continue
-        flag = f"ps_on_{name}"
-        table = contacts.sparkSession.createDataFrame([(v, True) for v in values], f"{key} string, {flag} boolean")
-        if sum(len(v.encode()) for v in values) <= broadcast_limit:
-            contacts = contacts.join(F.broadcast(table), key, "left")
+            if table is None:
+                continue
+            listed = F.col(key).isin(*values)
         else:
-            contacts = attach(contacts, table, key)
-        flags[name] = F.coalesce(F.col(flag), F.lit(False))
+            own = contacts.sparkSession.createDataFrame([(v,) for v in values], "value string")
+            table = own if table is None else own.unionByName(table.select("value"))
+        flag = f"ps_on_{name}"
+        cleaned = table.select(clean_value(F.col("value")).alias(key)).where(F.col(key) != "").distinct().withColumn(flag, F.lit(True))
+        size = cleaned.agg(F.coalesce(F.sum(F.octet_length(key)), F.lit(0))).first()[0]
+        contacts = contacts.join(F.broadcast(cleaned), key, "left") if size <= broadcast_limit else attach(contacts, cleaned, key)
+        flags[name] = F.coalesce(F.col(flag), F.lit(False)) | F.coalesce(listed, F.lit(False))
     return contacts, flags
 
 
-def on_table(rows: DataFrame, key: str, table: DataFrame, value: str = "value") -> DataFrame:
-    """Rows whose key is in a list table of any size."""
-    return rows.join(table.select(F.col(value).alias(key)), key, "left_semi")
+def on_table(rows: DataFrame, key: str, table: DataFrame, value: str = "value", hot_keys: HotKeys = DEFAULT_HOT_KEYS) -> DataFrame:
+    """Rows whose key is in a list table of any size; a key with many rows is shared out."""
+    return _listed(rows, key, table, value, hot_keys).where("ps_listed").drop("ps_listed")
+
+
+def off_table(rows: DataFrame, key: str, table: DataFrame, value: str = "value", hot_keys: HotKeys = DEFAULT_HOT_KEYS) -> DataFrame:
+    """Rows whose key is not in a list table of any size; rows without a key are among them."""
+    return _listed(rows, key, table, value, hot_keys).where("ps_listed IS NULL").drop("ps_listed")
 
 
-def off_table(rows: DataFrame, key: str, table: DataFrame, value: str = "value") -> DataFrame:
-    """Rows whose key is not in a list table of any size."""
-    return rows.join(table.select(F.col(value).alias(key)), key, "left_anti")
+def _listed(rows: DataFrame, key: str, table: DataFrame, value: str, hot_keys: HotKeys) -> DataFrame:
+    values = table.select(F.col(value).alias(key)).where(F.col(key).isNotNull()).distinct()
+    return attach(rows, values.withColumn("ps_listed", F.lit(True)), key, hot_keys=hot_keys)

@@ -40,9 +40,12 @@ def domain_ages(
 ) -> DataFrame:
     """(domain, age_days, cacheable), ready for `validate(..., ages=...)`.
 
-    A domain without a registry server has no age, and that is final (cacheable).
+    A domain without a registry server has no age, and that is final (cacheable). Without
+    any registry no age is known, and nothing of that is final.
     """
     ages = registration_ages(rdap, as_of, ttl_ms)
+    if registry.limit(1).count() == 0:
+        return ages.select("domain", F.lit(None).cast("int").alias("age_days"), F.lit(False).alias("cacheable"))
     served = registry_servers(ages.select("domain"), registry)
     known = F.col("base_url").isNotNull()
     return ages.join(served, "domain", "left").select(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from postsift.functions.constants import text_array
 from postsift.functions.distance import ROUGH_LIMIT, refine
 from postsift.operators.once import computed_once
+from postsift.functions.text import clean_value
 from postsift.sources.lists import ReferenceLists
 
 # Longest list that is written into the plan as literals.
@@ -71,53 +72,68 @@ def typo_match(domain: Column, lists: ReferenceLists) -> Column:
     return _as_typo(nearest_common(domain, lists))
 
 
-def find_typos(domains: DataFrame, lists: ReferenceLists, inline_limit: int = INLINE_LIMIT) -> DataFrame:
-    """Add `typo` = struct<suggestion, high_confidence> to a table of distinct domains."""
-    if len(lists.common) <= inline_limit:
+def find_typos(
+    domains: DataFrame, lists: ReferenceLists, inline_limit: int = INLINE_LIMIT, extra: DataFrame | None = None
+) -> DataFrame:
+    """Add `typo` = struct<suggestion, high_confidence> to a table of distinct domains.
+
+    `extra` is a table of further common domains (`value`, and `ordinal` if their order
+    matters); it never passes through the driver.
+    """
+    if extra is None and len(lists.common) <= inline_limit:
         found = computed_once(domains, nearest=nearest_common(F.col("domain"), lists))
         return found.withColumn("typo", _as_typo(F.col("nearest"))).drop("nearest")
     tier1 = set(lists.tier1)
     common = domains.sparkSession.createDataFrame(
         [(c, i, c in tier1) for i, c in enumerate(lists.common)],
-        "candidate string, ordinal int, tier1 boolean",
+        "candidate string, ordinal bigint, tier1 boolean",
     )
+    if extra is not None:
+        place = F.col("ordinal") if "ordinal" in extra.columns else F.lit(0)
+        added = extra.select(
+            clean_value(F.col("value")).alias("candidate"), (place + len(lists.common)).cast("bigint").alias("ordinal"), F.lit(False).alias("tier1")
+        )
+        everything = common.unionByName(added.where("candidate <> ''"))
+        common = everything.groupBy("candidate").agg(F.min("ordinal").alias("ordinal"), F.max("tier1").alias("tier1"))
     return find_typos_in(domains, common)
 
 
 def find_typos_in(domains: DataFrame, common: DataFrame) -> DataFrame:
-    """The same search against a list of any length (candidate, ordinal, tier1)."""
+    """The same search against a list of any length (candidate, ordinal, tier1).
+
+    First with one deletion on either side, which finds every pair one edit apart. Such a
+    hit beats any at two edits, so only domains without one, and long enough for two, go on
+    to two deletions, where keys are many.
+    """
     domain = F.col("domain")
     known = common.select(F.col("candidate").alias("domain"))
     unknown = domains.select("domain").join(known, "domain", "left_anti")
+    one = _nearest_within(unknown, common, 1)
+    rest = unknown.where(F.length(domain) > SHORT_DOMAIN).join(one, "domain", "left_anti")
+    nearest = one.unionByName(_nearest_within(rest, common, 2))
+    return domains.join(nearest, "domain", "left").withColumn("typo", _as_typo(F.col("nearest"))).drop("nearest")
+
 
-    def keys(text: Column, limit: Column) -> Column:
+def _nearest_within(unknown: DataFrame, common: DataFrame, limit: int) -> DataFrame:
+    """(domain, nearest) for domains at most `limit` edits from a candidate."""
+    domain, candidate = F.col("domain"), F.col("candidate")
+
+    def keys(text: Column) -> Column:
         # Hashes are short keys; a collision only adds a pair that the distance rejects.
-        hashes = F.transform(deletion_variants(text, limit), lambda v: F.xxhash64(v))
+        hashes = F.transform(deletion_variants(text, F.lit(limit)), lambda v: F.xxhash64(v))
         return F.explode(F.array_distinct(hashes)).alias("variant")
 
-    left = unknown.select("domain", keys(domain, edit_limit(domain)))
-    # A candidate may be met with either limit, so it offers both kinds of variants.
-    right = common.select(
-        "candidate",
-        "ordinal",
-        "tier1",
-        keys(F.col("candidate"), F.lit(2)),
-    )
+    left = unknown.select("domain", keys(domain))
+    right = common.select("candidate", "ordinal", "tier1", keys(candidate))
+    met = left.join(right, "variant").where(F.abs(F.length(domain) - F.length(candidate)) <= limit)
+    rough = computed_once(met.drop("variant"), rough=F.levenshtein(domain, candidate, ROUGH_LIMIT)).where("rough >= 0")
     # A pair shares many variants and is measured once.
-    pairs = left.join(right, "variant").select("domain", "candidate", "ordinal", "tier1").distinct()
-    candidate = F.col("candidate")
-    rough = computed_once(pairs, rough=F.levenshtein(domain, candidate, ROUGH_LIMIT)).where("rough >= 0")
-    measured = computed_once(rough, distance=refine(F.col("rough"), domain, candidate))
-    nearest = (
-        measured.where(F.col("distance") <= edit_limit(domain))
+    measured = computed_once(rough.distinct(), distance=refine(F.col("rough"), domain, candidate))
+    return (
+        measured.where(F.col("distance") <= limit)
         .groupBy("domain")
         .agg(F.min(F.struct("distance", "ordinal", "candidate", "tier1")).alias("nearest"))
     )
-    return (
-        domains.join(nearest, "domain", "left")
-        .withColumn("typo", _as_typo(F.col("nearest")))
-        .drop("nearest")
-    )
 
 
 def deletion_variants(text: Column, limit: Column) -> Column:

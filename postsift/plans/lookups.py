@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsift.functions.routing import match_provider
-from postsift.operators.typo import find_typos, typo_match
+from postsift.operators.attach import attach
+from postsift.operators.typo import find_typos
 from postsift.plans.parse import Parsed
 from postsift.plans.rules import any_cut
 from postsift.sources.mail_routing import usable_answers
@@ -21,54 +22,65 @@ def typo_columns(typo: Column) -> dict[str, Column]:
 def asked_domains(parsed: Parsed) -> DataFrame:
     """Distinct domains that reach the lookups.
 
-    Columns: `ps_key`, `rows` (contacts), `dns_rows` (those that reach mail routing),
-    `first` (the earliest of these in arrival order) and `typo`. A single aggregate
+    Columns: `ps_key`, `ps_rows` (contacts), `ps_dns_rows` (those that reach mail routing),
+    `ps_first` (the earliest of these in arrival order) and `ps_typo`. A single aggregate
     with map-side combine: a provider with a third of all contacts arrives as one row
     per map task, and "who came first" needs no window over its contacts.
     """
     cascade = parsed.cascade
     between = cascade.rules_before("dns")[len(cascade.address_rules) :]
-    typo_asked = "typo" in cascade.lookups
+    per_domain = all(rule.per_domain for rule in between)
     reached = parsed.frame.where(F.col("ps_key").isNotNull())
     order = F.lit(None).cast("bigint") if parsed.order is None else parsed.order
 
-    if all(rule.per_domain for rule in between):
-        counted = reached.groupBy("ps_key").agg(
-            F.count("*").alias("rows"), F.count("*").alias("dns_rows"), F.min(order).alias("first")
+    if per_domain:
+        domains = reached.groupBy("ps_key").agg(
+            F.count("*").alias("ps_rows"), F.count("*").alias("ps_dns_rows"), F.min(order).alias("ps_first")
         )
+        if "typo" in cascade.lookups:
+            domains = _with_typos(domains, parsed)
     else:
-        # A rule ahead of mail routing mixes account and typo: settle it per contact.
-        typo = typo_match(F.col("ps_domain"), cascade.options.lists)
-        view = replace(parsed.view, looked_up=typo_columns(typo), notes=_notes_so_far(parsed))
+        # A rule ahead of mail routing mixes account and typo: typos are still searched per
+        # domain, then brought to the contacts, and the rule decides for each of them.
+        typos = reached.groupBy("ps_key").agg(F.count("*").alias("ps_rows"))
+        if "typo" in cascade.lookups:
+            typos = _with_typos(typos, parsed)
+        else:
+            typos = typos.withColumn("ps_typo", F.lit(None).cast("struct<suggestion:string,high_confidence:boolean>"))
+        view = replace(parsed.view, looked_up=typo_columns(F.col("ps_typo")), notes=_notes_so_far(parsed))
         alive = ~any_cut([c for e in cascade.evaluate(view, between) for c in e.cuts])
-        counted = (
-            reached.withColumn("ps_alive", alive)
+        domains = (
+            attach(reached, typos, "ps_key", "ps_rows")
+            .withColumn("ps_alive", alive)
             .groupBy("ps_key")
             .agg(
-                F.count("*").alias("rows"),
-                F.count_if("ps_alive").alias("dns_rows"),
-                F.min(F.when(F.col("ps_alive"), order)).alias("first"),
+                F.count("*").alias("ps_rows"),
+                F.count_if("ps_alive").alias("ps_dns_rows"),
+                F.min(F.when(F.col("ps_alive"), order)).alias("ps_first"),
+                F.first("ps_typo").alias("ps_typo"),
             )
         )
+        return domains if "typo" in cascade.lookups else domains.drop("ps_typo")
 
-    domains = counted.withColumnRenamed("ps_key", "domain")
-    if not typo_asked:
-        return domains.withColumnRenamed("domain", "ps_key")
-    domains = find_typos(domains, cascade.options.lists).withColumnRenamed("domain", "ps_key")
-    if between and all(rule.per_domain for rule in between):
+    if between:
         view = replace(
             parsed.view,
             account=F.lit(None).cast("string"),
             domain=F.col("ps_key"),
-            looked_up=typo_columns(F.col("typo")),
+            looked_up=typo_columns(F.col("ps_typo")) if "typo" in cascade.lookups else {},
         )
         cut = any_cut([c for e in cascade.evaluate(view, between) for c in e.cuts])
-        domains = domains.withColumn("dns_rows", F.when(cut, F.lit(0)).otherwise(F.col("dns_rows")))
+        domains = domains.withColumn("ps_dns_rows", F.when(cut, F.lit(0)).otherwise(F.col("ps_dns_rows")))
     return domains
 
 
+def _with_typos(domains: DataFrame, parsed: Parsed) -> DataFrame:
+    found = find_typos(domains.withColumnRenamed("ps_key", "domain"), parsed.cascade.options.lists, extra=parsed.cascade.options.domain_table)
+    return found.withColumnRenamed("domain", "ps_key").withColumnRenamed("typo", "ps_typo")
+
+
 def with_mail_routing(domains: DataFrame, answers: DataFrame | None, parsed: Parsed) -> DataFrame:
-    """Add `dns`: the answer for each domain, or a failed lookup where there is none.
+    """Add `ps_dns`: the answer for each domain, or a failed lookup where there is none.
 
     Both sides are already hashed on the domain by their aggregates, so this join adds
     no shuffle of its own.
@@ -76,7 +88,7 @@ def with_mail_routing(domains: DataFrame, answers: DataFrame | None, parsed: Par
     if answers is None:
         known = F.lit(None)
         return domains.withColumn(
-            "dns",
+            "ps_dns",
             F.struct(
                 F.lit(False).alias("kept"),
                 F.lit(True).alias("resolver_failed"),
@@ -98,20 +110,20 @@ def with_mail_routing(domains: DataFrame, answers: DataFrame | None, parsed: Par
         provider["name"].alias("provider"),
         provider["catch_all"].alias("catch_all"),
     )
-    return joined.select(*domains.columns, answer.alias("dns"))
+    return joined.select(*domains.columns, answer.alias("ps_dns"))
 
 
 def with_domain_age(domains: DataFrame, ages: DataFrame | None) -> DataFrame:
-    """Add `age_days` from a table (domain, age_days) with one row per domain."""
+    """Add `ps_age_days` from a table (domain, age_days); of several rows the largest age counts."""
     if ages is None:
-        return domains.withColumn("age_days", F.lit(None).cast("int"))
-    aged = ages.select(F.col("domain").alias("ps_key"), F.col("age_days").cast("int").alias("age_days"))
+        return domains.withColumn("ps_age_days", F.lit(None).cast("int"))
+    aged = ages.groupBy(F.col("domain").alias("ps_key")).agg(F.max(F.col("age_days").cast("int")).alias("ps_age_days"))
     return domains.join(aged, "ps_key", "left")
 
 
 def missing_answers(domains: DataFrame, dns: DataFrame | None, as_of: Column, ttl_ms: int) -> DataFrame:
     """Domains to ask the resolver about: they reach mail routing and no kept answer is fresh."""
-    wanted = domains.where("dns_rows > 0").select(F.col("ps_key").alias("domain"), F.col("dns_rows").alias("contacts"))
+    wanted = domains.where("ps_dns_rows > 0").select(F.col("ps_key").alias("domain"), F.col("ps_dns_rows").alias("contacts"))
     if dns is None:
         return wanted
     kept = usable_answers(dns.where(F.col("fetched_at").isNotNull()), as_of, ttl_ms)

@@ -43,7 +43,7 @@ def parse_contacts(
     order_by: str | Sequence[str] = (),
     fan_out: bool = True,
 ) -> Parsed:
-    reserved = [c for c in contacts.columns if c.startswith("ps_")]
+    reserved = [c for c in contacts.columns if c.lower().startswith("ps_")]
     if reserved:
         raise ValueError(f"column names starting with ps_ are used internally: {reserved}")
 
@@ -62,7 +62,7 @@ def parse_contacts(
             "ps_changed": bare_account(F.col("ps_local")) != F.col("ps_local"),
         }
     ).drop("ps_local")
-    parts, flags = flag_long_lists(parts, cascade.options.lists)
+    parts, flags = flag_long_lists(parts, cascade.options.lists, tables=cascade.options.list_tables)
 
     view = address_view(cascade.options, flags)
     evaluated = cascade.evaluate(view, cascade.address_rules)

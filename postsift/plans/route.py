@@ -16,7 +16,14 @@ def discarded(validated: DataFrame) -> DataFrame:
     return validated.where(~F.col("validation.sendable"))
 
 
-def write_routed(validated: DataFrame, path: str, file_format: str = "parquet", mode: str = "error") -> None:
-    """Write both ways in one pass, as `sendable=true` and `sendable=false` below `path`."""
-    routed = validated.withColumn("sendable", F.col("validation.sendable"))
-    routed.write.format(file_format).mode(mode).partitionBy("sendable").save(path)
+def write_routed(
+    validated: DataFrame, path: str, file_format: str = "parquet", mode: str = "error", column: str = "sendable"
+) -> None:
+    """Write both ways in one pass, as `sendable=true` and `sendable=false` below `path`.
+
+    `column` names the folders; a contact column of that name would be lost, so it is refused.
+    """
+    if column.lower() in (c.lower() for c in validated.columns):
+        raise ValueError(f"the contacts have a column {column!r}; pass another name for the folders")
+    routed = validated.withColumn(column, F.col("validation.sendable"))
+    routed.write.format(file_format).mode(mode).partitionBy(column).save(path)

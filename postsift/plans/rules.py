@@ -26,19 +26,16 @@ from postsift.plans.options import Options
 
 @dataclass(frozen=True)
 class Cut:
+    """A condition and the verdict it passes; unless told otherwise the address is rejected."""
+
     when: Column
-    status: str
     sub_status: str | None
-    recommendation: str
-
-
-def reject(when: Column, sub_status: str, status: str = "invalid") -> Cut:
-    return Cut(when, status, sub_status, "reject")
-
+    status: str = "invalid"
+    recommendation: str = "reject"
 
-def review(when: Column, sub_status: str) -> Cut:
-    return Cut(when, "do_not_mail", sub_status, "manual_review")
 
+# Status and recommendation of what a person should look at.
+TO_REVIEW = ("do_not_mail", "manual_review")
 
 # Output fields a rule may fill, with type and value when nobody does.
 NOTE_DEFAULTS: dict[str, tuple[str, object]] = {
@@ -93,7 +90,7 @@ class Rule:
 
 # --- the default rules -------------------------------------------------------------
 
-# Only annotates, and comes first: the three flags show whichever rule cuts later.
+# No cuts: three flags in the output, reached by every address with valid syntax.
 classify = Rule(
     "classify",
     notes=lambda v: {
@@ -103,34 +100,34 @@ classify = Rule(
     },
 )
 
-# A fact about the domain is firmer than a guess about the account: before junk.
+# Cuts number 4 on start with the domain's list, then come those of the account.
 disposable = Rule(
-    "disposable", cuts=lambda v: [reject(v.on_list("disposable", v.domain), "disposable", "do_not_mail")]
+    "disposable", cuts=lambda v: [Cut(v.on_list("disposable", v.domain), "disposable", "do_not_mail")]
 )
 
-# Never sendable, whatever the options say.
+# Takes no option, unlike the shared mailboxes below.
 system_mailbox = Rule(
-    "system-mailbox", cuts=lambda v: [reject(v.on_list("system", v.account), "system_mailbox", "do_not_mail")]
+    "system-mailbox", cuts=lambda v: [Cut(v.on_list("system", v.account), "system_mailbox", "do_not_mail")]
 )
 
-junk_account = Rule("junk-local-part", cuts=lambda v: [reject(v.on_list("junk", v.account), "junk_local_part")])
+junk_account = Rule("junk-local-part", cuts=lambda v: [Cut(v.on_list("junk", v.account), "junk_local_part")])
 
 suspicious_pattern = Rule(
     "suspicious-pattern",
-    cuts=lambda v: [review(looks_like_filler(v.account), "suspicious_pattern")]
+    cuts=lambda v: [Cut(looks_like_filler(v.account), "suspicious_pattern", *TO_REVIEW)]
     if v.options.flag_suspicious_patterns
     else [],
 )
 
 role_account = Rule(
     "role-account",
-    cuts=lambda v: [] if v.options.role_is_sendable else [review(v.on_list("roles", v.account), "role_based")],
+    cuts=lambda v: [] if v.options.role_is_sendable else [Cut(v.on_list("roles", v.account), "role_based", *TO_REVIEW)],
 )
 
-# Cuts before mail routing on purpose: look-alike domains exist and answer.
+# Its cut depends on the domain alone, so whole domains are spared the lookup of mail routing.
 domain_typo = Rule(
     "domain-typo",
-    cuts=lambda v: [reject(v.looked_up["typo.high_confidence"], "possible_typo")],
+    cuts=lambda v: [Cut(v.looked_up["typo.high_confidence"], "possible_typo")],
     notes=lambda v: {"suggestion": F.concat(v.account, F.lit("@"), v.looked_up["typo.suggestion"])},
     lookups=frozenset({"typo"}),
     per_domain=True,
@@ -140,11 +137,11 @@ domain_typo = Rule(
 def _dns_cuts(v: RuleView) -> list[Cut]:
     no_mail = ~v.looked_up["dns.accepts_mail"]
     return [
-        # Not knowing is no reason to lose a contact.
-        Cut(v.looked_up["dns.resolver_failed"], "unknown", "dns_unavailable", "confirm"),
-        reject(v.looked_up["dns.null_mx"], "domain_does_not_accept_mail"),
-        reject(no_mail & v.notes["suggestion"].isNotNull(), "possible_typo"),
-        reject(no_mail, "no_dns_entries"),
+        # `confirm` counts as sendable.
+        Cut(v.looked_up["dns.resolver_failed"], "dns_unavailable", "unknown", "confirm"),
+        Cut(v.looked_up["dns.null_mx"], "domain_does_not_accept_mail"),
+        Cut(no_mail & v.notes["suggestion"].isNotNull(), "possible_typo"),
+        Cut(no_mail, "no_dns_entries"),
     ]
 
 
@@ -190,19 +187,19 @@ def final_cuts(notes: dict[str, Column], options: Options) -> list[Cut]:
     """The verdict when no rule cut; the last one always applies."""
     catch_all_advice = "confirm" if options.catch_all_is_sendable else "manual_review"
     return [
-        Cut(notes["catch_all"], "catch_all", None, catch_all_advice),
-        Cut(notes["suggestion"].isNotNull(), "valid", "possible_typo", "confirm"),
-        Cut(F.lit(True), "valid", None, "accept"),
+        Cut(notes["catch_all"], None, "catch_all", catch_all_advice),
+        Cut(notes["suggestion"].isNotNull(), "possible_typo", "valid", "confirm"),
+        Cut(F.lit(True), None, "valid", "accept"),
     ]
 
 
 def entry_cuts(email: Column, is_text: Column, is_blank: Column, syntax_ok: Column) -> list[Cut]:
     """What keeps an input from being an address at all."""
     return [
-        reject(email.isNull(), "field_not_found"),
-        reject(~is_text, "invalid_type"),
-        reject(is_blank, "empty"),
-        reject(~syntax_ok, "failed_syntax_check"),
+        Cut(email.isNull(), "field_not_found"),
+        Cut(~is_text, "invalid_type"),
+        Cut(is_blank, "empty"),
+        Cut(~syntax_ok, "failed_syntax_check"),
     ]
 
 

@@ -13,7 +13,7 @@ from postsift.functions.constants import at
 from postsift.functions.text import iso_instant
 from postsift.operators.attach import BROADCAST_ROWS, DEFAULT_HOT_KEYS, HotKeys, attach, attach_settled
 from postsift.operators.registration import registration_requests
-from postsift.operators.settle import checkpoint_folder, settle
+from postsift.operators.settle import settle
 from postsift.plans.lookups import (
     asked_domains,
     missing_answers,
@@ -61,7 +61,7 @@ def validate(
     rules: Sequence[Rule] = DEFAULT_RULES,
     fan_out: bool = True,
     keep_fields: bool = True,
-    settled: bool | None = None,
+    settled: bool = False,
     hot_keys: HotKeys = DEFAULT_HOT_KEYS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
@@ -78,11 +78,9 @@ def validate(
     `rules`     the cascade; the default can be extended with `insert_rule`
 
     `settled`   True: the table of domains is computed at once and kept in the checkpoint
-                folder, so its size is known and the contacts are joined to a broadcast
-                of it where that is within `broadcast_rows`. False: everything is lazy.
-                Default: settled where the session has a checkpoint folder
-
-    Whatever the size, contacts of hot domains are never shuffled (see `attach`).
+                folder (which must be set), so its size is known and the contacts are joined
+                to a broadcast of it within `broadcast_rows`, without a shuffle. False, the
+                default: everything is lazy, and contacts are shuffled once (see `attach`)
     """
     cascade = Cascade(tuple(rules), options)
     parsed = parse_contacts(contacts, email, cascade, order_by, fan_out)
@@ -95,13 +93,11 @@ def validate(
             facts = with_mail_routing(facts, answers, parsed)
         if "age" in cascade.lookups:
             facts = with_domain_age(facts, ages)
-        facts = facts.drop("dns_rows")
-        if settled is None:
-            settled = checkpoint_folder(contacts.sparkSession) is not None
+        facts = facts.drop("ps_dns_rows")
         if settled:
-            frame = attach_settled(frame, settle(facts), "ps_key", "rows", hot_keys, broadcast_rows)
+            frame = attach_settled(frame, settle(facts), "ps_key", "ps_rows", hot_keys, broadcast_rows)
         else:
-            frame = attach(frame, facts, "ps_key", "rows", hot_keys)
+            frame = attach(frame, facts, "ps_key", "ps_rows", hot_keys)
     return _assemble(frame, parsed, clock, keep_fields)
 
 
@@ -141,9 +137,9 @@ def lookup_counts(
     """
     parsed = parse_contacts(contacts, email, Cascade(tuple(rules), options), (), fan_out)
     answers = None if dns is None else usable_answers(dns, instant(as_of), options.cache_ttl_ms)
-    looked_up = with_mail_routing(asked_domains(parsed).where("dns_rows > 0"), answers, parsed)
-    failed, kept = F.col("dns.resolver_failed"), F.col("dns.kept")
-    asked = F.when(kept, 0).when(failed, F.col("dns_rows")).otherwise(1)
+    looked_up = with_mail_routing(asked_domains(parsed).where("ps_dns_rows > 0"), answers, parsed)
+    failed, kept = F.col("ps_dns.resolver_failed"), F.col("ps_dns.kept")
+    asked = F.when(kept, 0).when(failed, F.col("ps_dns_rows")).otherwise(1)
     return looked_up.agg(
         F.coalesce(F.sum(asked), F.lit(0)).alias("lookups"), F.count_if(~failed).alias("entries")
     )
@@ -165,8 +161,8 @@ def registration_worklist(
     parsed = parse_contacts(contacts, email, Cascade(tuple(rules), options), (), fan_out)
     clock = instant(as_of)
     answers = None if dns is None else usable_answers(dns, clock, options.cache_ttl_ms)
-    looked_up = with_mail_routing(asked_domains(parsed).where("dns_rows > 0"), answers, parsed)
-    accepting = looked_up.where(~F.col("dns.resolver_failed") & F.col("dns.accepts_mail"))
+    looked_up = with_mail_routing(asked_domains(parsed).where("ps_dns_rows > 0"), answers, parsed)
+    accepting = looked_up.where(~F.col("ps_dns.resolver_failed") & F.col("ps_dns.accepts_mail"))
     return registration_requests(
         accepting.select(F.col("ps_key").alias("domain")), registry, rdap, clock, options.registration_ttl_ms
     )
@@ -175,17 +171,17 @@ def registration_worklist(
 def _looked_up(parsed: Parsed) -> dict[str, Column]:
     lookups, found = parsed.cascade.lookups, {}
     if "typo" in lookups:
-        found.update(typo_columns(F.col("typo")))
+        found.update(typo_columns(F.col("ps_typo")))
     if "dns" in lookups:
-        dns = F.col("dns")
+        dns = F.col("ps_dns")
         again = F.lit(False)
         if parsed.order is not None:
-            again = ~parsed.order.eqNullSafe(F.col("first")) & ~dns["resolver_failed"]
+            again = ~parsed.order.eqNullSafe(F.col("ps_first")) & ~dns["resolver_failed"]
         found.update({f"dns.{name}": dns[name] for name in ("resolver_failed", "null_mx", "accepts_mail")})
         found.update({f"dns.{name}": dns[name] for name in ("mx", "provider", "catch_all")})
         found["dns.cached"] = dns["kept"] | again
     if "age" in lookups:
-        found["age.days"] = F.col("age_days")
+        found["age.days"] = F.col("ps_age_days")
     return found
 
 
@@ -224,7 +220,7 @@ def _assemble(frame: DataFrame, parsed: Parsed, clock: Column, keep_fields: bool
     }
     names = [part.split()[0] for part in VALIDATION_SCHEMA.split(", ")]
     validation = F.struct(*[fields[name].alias(name) for name in names])
-    kept = [quoted(c) for c in parsed.payload if c not in ("email", "validation")] if keep_fields else []
+    kept = [quoted(c) for c in parsed.payload if c.lower() not in ("email", "validation")] if keep_fields else []
     return frame.select(*kept, fields["normalized"].alias("email"), validation.alias("validation"))
 
 

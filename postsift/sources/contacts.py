@@ -33,8 +33,8 @@ def select_addresses(contacts: DataFrame, email: str | Column = "email", fan_out
     """Pick the address of each row; arrays become one row per address.
 
     `email` is a field name, an address (text with `@`), or a column expression. A
-    missing field gives null. A fanned-out array column is removed from the output;
-    an empty or null array keeps its row, without an address.
+    missing field gives null. A fanned-out column is removed from the output, also where a
+    JSON column holds arrays in some rows only; an empty or null array keeps its row, without an address.
     """
     field = email if isinstance(email, str) and "@" not in email else None
     if field is not None:
@@ -51,7 +51,7 @@ def select_addresses(contacts: DataFrame, email: str | Column = "email", fan_out
         items = F.col("ps_value")
         if isinstance(kind, T.VariantType):
             items = _variant_items(items)
-        elif present:
+        if present:
             staged = staged.drop(field)
         staged = staged.select(
             *[quoted(c) for c in staged.columns if c != "ps_value"],

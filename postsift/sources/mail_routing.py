@@ -26,9 +26,12 @@ STATUS_FIELDS = ("mx", "accepts_mail", "null_mx", "domain_exists", "resolver_fai
 
 
 def instant(as_of: str | datetime | Column | None) -> Column:
-    """The clock of a run. Text and naive datetimes are read as UTC."""
+    """The clock of a run. Text and naive datetimes are read as UTC.
+
+    Without one it is now, taken once: all actions of a run see the same time.
+    """
     if as_of is None:
-        return F.current_timestamp()
+        as_of = datetime.now(timezone.utc)
     if isinstance(as_of, Column):
         return as_of
     if isinstance(as_of, str):

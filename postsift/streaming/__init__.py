@@ -1,5 +1,5 @@
 """Structured Streaming: validation per micro-batch and refresh requests."""
 
-from postsift.streaming.jobs import domains_to_ask, start_refresh_requests, start_validation
+from postsift.streaming.jobs import start_refresh_requests, start_validation
 
-__all__ = ["domains_to_ask", "start_refresh_requests", "start_validation"]
+__all__ = ["start_refresh_requests", "start_validation"]

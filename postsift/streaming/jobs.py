@@ -9,139 +9,85 @@ once.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postsift.operators.once import computed_once
-from postsift.operators.settle import checkpoint_folder
-from postsift.operators.typo import typo_match
-from postsift.plans.lookups import typo_columns
 from postsift.plans.options import Options
-from postsift.plans.parse import parse_contacts
 from postsift.plans.route import write_routed
-from postsift.plans.rules import DEFAULT_RULES, Cascade, Rule, any_cut
-from postsift.plans.validate import validate
-from postsift.sources.contacts import quoted
-from postsift.sources.mail_routing import usable_answers
+from postsift.plans.rules import DEFAULT_RULES, Rule
+from postsift.plans.validate import lookup_worklist, validate
+from postsift.sources.mail_routing import instant, is_fresh
 
 Snapshot = Callable[[SparkSession], DataFrame]
 
 
-def progress_folder(spark: SparkSession, name: str, given: str | None = None) -> str:
-    """Where a stream keeps its progress: as given, else in the folder of the cluster."""
-    shared = given or checkpoint_folder(spark)
-    if shared is None:
-        raise ValueError("pass a checkpoint folder or set spark.checkpoint.dir to a shared one")
-    return given or f"{shared.rstrip('/')}/{name}"
-
-
 def start_validation(
     contacts: DataFrame,
     read_dns: Snapshot,
     path: str,
     *,
+    checkpoint: str,
     email: str = "email",
-    checkpoint: str | None = None,
     available_now: bool = False,
     file_format: str = "parquet",
     **validation,
 ) -> StreamingQuery:
     """Validate a stream and write both ways below `path`, as batch_id=…/sendable=….
 
-    `validation` takes the keyword arguments of `validate`. With `order_by`, `cached`
-    is decided within the micro-batch.
+    `checkpoint` is the folder of this stream's progress: the same one after a restart, and
+    its own for every stream. `validation` takes the keyword arguments of `validate`; it is
+    lazy unless told otherwise, so a batch leaves no checkpoint files behind. With
+    `order_by`, `cached` is decided within the micro-batch.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # read three times below
+        batch.persist()  # read more than once below
         try:
             validated = validate(batch, email, dns=read_dns(batch.sparkSession), **validation)
             write_routed(validated, f"{path}/batch_id={batch_id}", file_format, mode="overwrite")
         finally:
             batch.unpersist()
 
-    return _start(contacts, handle, progress_folder(contacts.sparkSession, "validation", checkpoint), available_now)
-
-
-def domains_to_ask(
-    contacts: DataFrame,
-    event_time: str,
-    *,
-    email: str = "email",
-    options: Options = Options(),
-    rules: Sequence[Rule] = DEFAULT_RULES,
-    spread: int = 32,
-) -> DataFrame:
-    """Stream of (domain, event time): a domain at most once per time to live.
-
-    State holds one entry per domain and is dropped when the watermark passes. The
-    first round works on (domain, slot) with a slot per map task, so a domain with a
-    third of all contacts is thinned out by many tasks before the second round sees it.
-    """
-    cascade = Cascade(tuple(rules), options)
-    parsed = parse_contacts(contacts, email, cascade)
-    ttl = f"{options.cache_ttl_ms} milliseconds"
-    asked = parsed.frame.where(F.col("ps_key").isNotNull()).select(
-        F.col("ps_key").alias("domain"),
-        quoted(event_time).cast("timestamp").alias(event_time),
-        (F.spark_partition_id() % spread).alias("slot"),
-    )
-    thinned = asked.withWatermark(event_time, ttl).dropDuplicatesWithinWatermark(["domain", "slot"])
-    once = thinned.dropDuplicatesWithinWatermark(["domain"]).drop("slot")
-
-    between = cascade.rules_before("dns")[len(cascade.address_rules) :]
-    if not between:
-        return once
-    if not all(rule.per_domain for rule in between):
-        raise ValueError("rules between the address rules and mail routing must be per_domain on a stream")
-    found = computed_once(once, typo=typo_match(F.col("domain"), options.lists))
-    view = replace(
-        parsed.view,
-        account=F.lit(None).cast("string"),
-        domain=F.col("domain"),
-        looked_up=typo_columns(F.col("typo")),
-    )
-    cut = any_cut([c for e in cascade.evaluate(view, between) for c in e.cuts])
-    return found.where(~cut).drop("typo")
+    return _start(contacts, handle, checkpoint, available_now)
 
 
 def start_refresh_requests(
     contacts: DataFrame,
-    event_time: str,
     read_dns: Snapshot,
     path: str,
     *,
-    checkpoint: str | None = None,
-    available_now: bool = False,
+    checkpoint: str,
     email: str = "email",
+    available_now: bool = False,
     options: Options = Options(),
     rules: Sequence[Rule] = DEFAULT_RULES,
+    as_of: Callable[[], str | datetime] | str | datetime | None = None,
 ) -> StreamingQuery:
-    """Write the domains that have no fresh answer, below `path` as batch_id=…."""
-    domains = domains_to_ask(contacts, event_time, email=email, options=options, rules=rules)
+    """Write the domains to ask the resolver about, below `path` as batch_id=….
+
+    Columns: domain, contacts (of the batch) and requested_at. A domain is asked when a
+    contact needs it, no fresh answer is kept, and no earlier batch has asked within the
+    time to live. The clock is that of the lookup (`as_of`: now, a fixed time, or a function
+    called per batch) and never a time inside a contact, so late contacts and replayed lists
+    are treated like any other. A repeated batch overwrites its own requests.
+    """
+    schema = "domain string, contacts bigint, requested_at timestamp, batch_id bigint"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        dns = read_dns(batch.sparkSession).where(F.col("fetched_at").isNotNull())
-        # The clock is the newest contact of the batch.
-        asked = batch.select("domain", quoted(event_time).alias("seen_at"))
-        kept = usable_answers_at(dns, asked, options.cache_ttl_ms)
-        asked.join(kept, "domain", "left_anti").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    spark = contacts.sparkSession
-    return _start(domains, handle, progress_folder(spark, "refresh-requests", checkpoint), available_now)
-
-
-def usable_answers_at(dns: DataFrame, asked: DataFrame, ttl_ms: int) -> DataFrame:
-    """Domains with an answer that is still fresh at the event time of their request."""
-    needed = asked.select("domain", F.col("seen_at").alias("clock"))
-    return (
-        usable_answers(dns.join(needed, "domain"), F.col("clock"), ttl_ms)
-        .where("kept")
-        .select("domain")
-    )
+        spark, clock = batch.sparkSession, instant(as_of() if callable(as_of) else as_of)
+        wanted = lookup_worklist(batch, email, options=options, dns=read_dns(spark), as_of=clock, rules=rules)
+        wanted = wanted.withColumn("requested_at", clock)
+        if batch_id > 0:
+            # The first batch has written the folder, if only with no rows.
+            earlier = spark.read.schema(schema).parquet(path).where(F.col("batch_id") < batch_id)
+            fresh = earlier.where(is_fresh(F.col("requested_at"), clock, options.cache_ttl_ms))
+            wanted = wanted.join(fresh.select("domain").distinct(), "domain", "left_anti")
+        wanted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return _start(contacts, handle, checkpoint, available_now)
 
 
 def _start(stream: DataFrame, handle, checkpoint: str, available_now: bool) -> StreamingQuery:

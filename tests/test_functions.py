@@ -111,7 +111,7 @@ def test_iso_instant_is_utc_in_any_zone(spark):
 
 # Names that must never be flagged, fillers that always must.
 REAL_NAMES = (
-    "juan.perez maria.gomez lafvg12 andresfernandez jmrodriguez c.martinez luisitog1228 ana_maria dcastano "
+    "juan.perez maria.gomez brgtk58 andresfernandez jmrodriguez c.martinez luisitog1228 ana_maria dcastano "
     "jgutierrez88 mvillegas sofia.ramirez kmontoya edwin.ospina yuli.zapata wbecerra nrestrepo jhon.jairo mgarcia "
     "pcardenas fsalazar cmvb jj ana lu contabilidad2024 jorge.andres.lopez maria-jose n.torres laura90 sebas pipe "
     "dahiana yeison brayan estiven deivid nikolle maryuri jsanchez rgiraldo licitaciones javiergarciay11 "

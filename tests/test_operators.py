@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import postsift as ps
 from fixtures import plain_distance
 from postsift.operators.attach import HotKeys, attach, attach_settled
+from postsift.operators.membership import off_table, on_table
 from postsift.operators.once import computed_once
 from postsift.operators.registration import (
     domain_ages,
@@ -57,11 +58,48 @@ def test_attach_settled(skewed, bound):
     assert [tuple(r) for r in got.select("id", "key", "value").orderBy("id").collect()] == want
 
 
-def test_hot_rows_are_not_shuffled(spark, skewed):
-    rows, values, _ = skewed
-    plan = attach(rows, values, "key", hot_keys=HotKeys(100, 5))._jdf.queryExecution().executedPlan().toString()
-    stay = plan[plan.index("Union") :].split("\n   +- ")[0]
-    assert "BroadcastHashJoin" in stay and "SortMergeJoin" not in stay
+def test_attach_reads_rows_once_and_shares_hot_keys(spark, tmp_path):
+    rows = spark.createDataFrame(SKEWED, "id int, key string").repartition(8)
+    rows.write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    values = spark.createDataFrame([("hot", 1, 300), ("k1", 2, 20)], "key string, value int, n int")
+    got = attach(rows, values, "key", "n", HotKeys(100, 5))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    joined = attach(rows.withColumn("task", F.spark_partition_id()), values, "key", "n", HotKeys(100, 5))
+    assert joined.where("key = 'hot' AND value = 1").count() == sum(k == "hot" for _, k in SKEWED)
+    assert joined.count() == len(SKEWED)
+
+
+def test_wide_values_are_not_broadcast(spark, skewed):
+    rows, values, want = skewed
+    weighed = rows.groupBy("key").agg(F.count("*").alias("n")).join(values, "key")
+    got = attach_settled(rows, weighed, "key", "n", HotKeys(100, 5), broadcast_bytes=50)
+    assert [tuple(r) for r in got.select("id", "key", "value").orderBy("id").collect()] == want
+    assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString() or "ShuffledHashJoin" in got._jdf.queryExecution().toString()
+
+
+def test_list_tables_of_any_size(spark, skewed):
+    rows, _, _ = skewed
+    table = spark.createDataFrame([("hot",), ("k1",), ("k1",), (None,)], "value string")
+    on = {r["id"] for r in on_table(rows, "key", table, hot_keys=HotKeys(100, 5)).collect()}
+    off = {r["id"] for r in off_table(rows, "key", table, hot_keys=HotKeys(100, 5)).collect()}
+    assert on == {i for i, k in SKEWED if k in ("hot", "k1")} and off == {i for i, _ in SKEWED} - on
+
+
+def test_common_domains_from_a_table(spark):
+    domains = spark.createDataFrame([(d,) for d in (*DOMAINS, "miempersa.com.co", "propia.org", "prop1a.org", "pr0p1a.org")], "domain string")
+    extra = spark.createDataFrame([(" MiEmpresa.com.co", 1), ("propia.org", 0), ("gmail.com", 2)], "value string, ordinal int")
+    common = (*BASE_LISTS.common, "propia.org", "miempresa.com.co")
+    want = {d: nearest(d, common, BASE_LISTS.tier1) for (d,) in domains.collect()}
+    assert suggestions(find_typos(domains, BASE_LISTS, extra=extra)) == want
+    assert want["pr0p1a.org"] == ("propia.org", False)
+
+
+def test_no_registry_is_not_final(spark):
+    rdap = spark.createDataFrame([("a.com", 404, None, None, None)], RDAP_SCHEMA)
+    empty = spark.createDataFrame([], "tld string, base_url string")
+    assert [tuple(r) for r in domain_ages(rdap, empty, instant("2026-01-11T00:00:00Z")).collect()] == [("a.com", None, False)]
 
 
 def test_computed_once_is_not_copied_into_filters(spark):

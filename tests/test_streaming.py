@@ -9,7 +9,6 @@ import pytest
 import postsift as ps
 from fixtures import ZONE, zone_frame
 from postsift.streaming import start_refresh_requests, start_validation
-from postsift.streaming.jobs import progress_folder
 
 START = datetime(2026, 8, 20, 0, 0, 0)
 SCHEMA = "input_seq long, ts timestamp, email string"
@@ -55,26 +54,59 @@ def test_snapshot_is_read_for_every_batch(spark, tmp_path):
     assert [r["validation"]["status"] for r in out.collect()] == ["unknown", "valid"]
 
 
-def test_refresh_requests(spark, tmp_path):
-    folder = str(tmp_path)
-    kept = {"ymail.com": ZONE["ymail.com"]}
-    feed(spark, folder, "one", ["a@gmail.com", "b@gmail.com", "c@soloa.com", "juan@gmial.com", "asdf@x.com", "a@ymail.com"])
-    feed(spark, folder, "two", ["d@gmail.com", "e@une.net.co"], hours=1)
+def ask(spark, folder, as_of, read=None, progress="progress"):
     query = start_refresh_requests(
         stream(spark, folder),
-        "ts",
-        lambda session: zone_frame(session, kept, START - timedelta(hours=1)),
+        read or (lambda session: zone_frame(session, {"ymail.com": ZONE["ymail.com"]}, START - timedelta(hours=1))),
         f"{folder}/out",
-        checkpoint=f"{folder}/progress",
+        checkpoint=f"{folder}/{progress}",
         available_now=True,
+        as_of=as_of,
     )
     query.awaitTermination()
-    got = sorted(r["domain"] for r in spark.read.parquet(f"{folder}/out").collect())
-    assert got == ["gmail.com", "soloa.com", "une.net.co"]
+    return sorted((r["domain"], r["contacts"]) for r in spark.read.parquet(f"{folder}/out").collect())
+
+
+def test_refresh_requests(spark, tmp_path):
+    folder = str(tmp_path)
+    feed(spark, folder, "one", ["a@gmail.com", "b@gmail.com", "c@soloa.com", "juan@gmial.com", "asdf@x.com", "a@ymail.com"])
+    feed(spark, folder, "two", ["d@gmail.com", "e@une.net.co"], hours=1)
+    assert ask(spark, folder, START) == [("gmail.com", 2), ("soloa.com", 1), ("une.net.co", 1)]
+
+
+def test_late_contacts_are_asked_and_replays_are_not(spark, tmp_path):
+    """The clock is that of the lookup, never a time inside a contact."""
+    folder = str(tmp_path)
+    feed(spark, folder, "one", ["a@gmail.com"], hours=96)
+    feed(spark, folder, "two", ["a@soloa.com"], hours=97)
+    ask(spark, folder, START)
+    feed(spark, folder, "three", ["late@une.net.co"], hours=-1000)
+    feed(spark, folder, "four", ["a@gmail.com", "late@une.net.co"], hours=-1000)
+    assert ask(spark, folder, START + timedelta(hours=1)) == [("gmail.com", 1), ("soloa.com", 1), ("une.net.co", 1)]
+    feed(spark, folder, "five", ["b@gmail.com"])
+    # Six hours later the request is no longer fresh, and no answer was kept.
+    assert ask(spark, folder, lambda: START + timedelta(hours=6, seconds=1)).count(("gmail.com", 1)) == 2
+
+
+def test_restart_writes_every_contact_once(spark, tmp_path):
+    """A new application has another checkpoint folder of its own; the stream's progress stays."""
+    folder = str(tmp_path)
+    feed(spark, folder, "one", ["a@gmail.com"])
+    feed(spark, folder, "two", ["b@gmail.com"])
+
+    def go():
+        start_validation(stream(spark, folder), zone_frame, f"{folder}/out", checkpoint=f"{folder}/progress", available_now=True).awaitTermination()
+
+    go()
+    spark.sparkContext.setCheckpointDir(f"{folder}/another")
+    feed(spark, folder, "three", ["c@gmail.com"])
+    go()
+    out = spark.read.parquet(f"{folder}/out").collect()
+    assert sorted(r["validation"]["email"] for r in out) == ["a@gmail.com", "b@gmail.com", "c@gmail.com"]
+    left = [f for d in (tmp_path / "another").rglob("*") for f in [d] if f.is_file()]
+    assert left == []
 
 
-def test_progress_folder(spark):
-    assert progress_folder(spark, "x", "/given") == "/given"
-    if spark.sparkContext.getCheckpointDir() is None and spark.conf.get("spark.checkpoint.dir", None) is None:
-        with pytest.raises(ValueError, match="checkpoint"):
-            progress_folder(spark, "x")
+def test_progress_is_asked_for(spark, tmp_path):
+    with pytest.raises(TypeError, match="checkpoint"):
+        start_validation(stream(spark, str(tmp_path)), zone_frame, str(tmp_path))
