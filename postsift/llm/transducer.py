@@ -85,6 +85,8 @@ class Transducer:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        #: Column of every byte in the tables, given out as bytes are met; most never are.
+        self.column, self.bytes, self.width = np.full(256, -1, np.int32), [], 128
         self.restart()
 
     def restart(self) -> None:
@@ -92,13 +94,24 @@ class Transducer:
         # one), or None where no token can begin.
         self.states = [(b"", ((b"", 0),)), None]
         self.numbers = {self.states[0]: ROOT}
-        self.next = np.full(4096 * 256, -1, np.int32)
-        self.emits = np.zeros(4096 * 256, np.int8)
-        self.next[WAITING * 256 : WAITING * 256 + 256] = WAITING
-
-    def compile(self, state: int, byte: int) -> None:
+        self.next = np.full(4096 * self.width, -1, np.int32)
+        self.emits = np.zeros(4096 * self.width, np.int8)
+        self.next[WAITING * self.width : (WAITING + 1) * self.width] = WAITING
+
+    def columns_of(self, buf: np.ndarray) -> np.ndarray:
+        """The buffer as columns of the tables."""
+        for byte in np.flatnonzero((np.bincount(buf, minlength=256) > 0) & (self.column < 0)):
+            if len(self.bytes) == self.width:
+                self.width = 256
+                self.restart()
+            self.column[byte] = len(self.bytes)
+            self.bytes.append(bytes([byte]))
+        return self.column.astype(np.uint8)[buf]
+
+    def compile(self, at: int) -> None:
+        state, column = divmod(at, self.width)
         suffix, ends = self.states[state]
-        grown = suffix + bytes([byte])
+        grown = suffix + self.bytes[column]
         vocabulary = self.vocabulary
         for size in range(len(grown), 0, -1):
             token, before = grown[len(grown) - size :], ends[size - 1]
@@ -116,19 +129,19 @@ class Transducer:
         if number is None:
             number = self.numbers[key] = len(self.states)
             self.states.append(key)
-            if number * 256 >= len(self.next):
+            if number * self.width >= len(self.next):
                 self.next = np.concatenate([self.next, np.full(len(self.next), -1, np.int32)])
                 self.emits = np.concatenate([self.emits, np.zeros(len(self.emits), np.int8)])
-        self.next[state * 256 + byte] = number
-        self.emits[state * 256 + byte] = change
+        self.next[at] = number
+        self.emits[at] = change
 
     def step(self, states: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Next states and emitted changes for one byte in every lane."""
-        at = states * 256 + column
+        """Next states and emitted changes for one byte (as a column of the tables) in every lane."""
+        at = states * self.width + column
         after = self.next[at]
         if after.min(initial=0) < 0:
             for key in np.unique(at[after < 0]):
-                self.compile(int(key) >> 8, int(key) & 255)
+                self.compile(int(key))
             after = self.next[at]
         return after, self.emits[at]
 
@@ -138,7 +151,7 @@ class Transducer:
             self.restart()
         lanes = -(-len(buf) // CHUNK)
         bytes_ = np.zeros((lanes, CHUNK), np.uint8)
-        bytes_.ravel()[: len(buf)] = buf
+        bytes_.ravel()[: len(buf)] = self.columns_of(buf)
         goes_on = np.zeros((lanes, CHUNK), bool)
         goes_on.ravel()[: len(buf)] = ~begins
         columns, runs_on = np.ascontiguousarray(bytes_.T), np.ascontiguousarray(goes_on.T)
