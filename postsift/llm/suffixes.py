@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postsift.llm.tables import stored
-from postsift.llm.texthash import BYTE_VALUES, _BASE, _INVERSE, mixed, powers, text_slices
+from postsift.llm.texthash import BYTE_VALUES, _BASE, _INVERSE, mixed, powers, repeated, text_slices
 
 #: Bytes of the k-gram that names a string.
 GRAM = 24
@@ -179,26 +179,36 @@ def repeated_passages(
     if texts.groupBy("doc_id").count().where("count > 1").limit(1).count():
         texts = texts.withColumn("llm_row", F.row_number().over(W.partitionBy("doc_id").orderBy("text", *keep))).where("llm_row = 1").drop("llm_row")
 
-    names = ["fp", "around", "doc_id", "first", "place", "last"]
-
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, parts = batch.column(0).to_numpy(zero_copy_only=False), []
             for i, j, buf, bounds in text_slices(batch.column(1), SLICE):
-                for row, *values in anchors(buf, bounds, width):
-                    columns = [*values[:2], ids[i:j][row], *values[2:]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
-
-    marks = texts.select("doc_id", "text").mapInArrow(marked, ", ".join(f"{n} bigint" for n in names))
-    # One narrow row: where the strings of a run start, relative to the first.
-    packed = marks.select("fp", "around", "doc_id", (F.col("first") * 65536 + (F.col("place") - F.col("first")) * 256 + (F.col("last") - F.col("first"))).alias("at"))
+                for row, fp, around, *at in anchors(buf, bounds, width):
+                    parts.append((fp, around, ids[i:j][row], *at))
+            if not parts:
+                continue
+            fp, around, doc, first, place, last = (np.concatenate(c) for c in zip(*parts, strict=True))
+            # Where the strings of a run start, relative to the first of them.
+            at = first << 16 | place - first << 8 | last - first
+            # What this batch has earlier is a repeat already; it is not dealt by its fingerprint.
+            key = mixed(fp.view(np.uint64) ^ mixed(around.view(np.uint64)))
+            told = np.flatnonzero(repeated(key))
+            told = told[np.lexsort((at[told], doc[told], key[told]))]
+            again = np.zeros(len(key), bool)
+            again[told[1:]] = key[told[1:]] == key[told[:-1]]
+            deal = np.where(again, mixed(doc.view(np.uint64) ^ mixed(at.view(np.uint64))).view(np.int64), fp)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (deal, around, doc, at, again)], names)
+
+    names = ["fp", "around", "doc_id", "at", "again"]
+    marks = texts.select("doc_id", "text").mapInArrow(marked, "fp bigint, around bigint, doc_id bigint, at bigint, again boolean")
     # Dealt by the fingerprint alone, which serves both windows.
-    packed = packed.repartition("fp")
+    packed = marks.repartition("fp")
     by_fp, by_both = W.partitionBy("fp"), W.partitionBy("fp", "around").orderBy("doc_id", "at")
     numbered = packed.withColumn("copy", F.row_number().over(by_both))
-    told = numbered.withColumn("kinds", F.sum((F.col("copy") == 1).cast("int")).over(by_fp)).where("copy > 1 OR kinds > 1")
+    told = numbered.withColumn("kinds", F.sum((F.col("copy") == 1).cast("int")).over(by_fp)).where("again OR copy > 1 OR kinds > 1")
     # Settled, so that the marks of all texts are dealt once.
-    settled = stored(told.select("doc_id", "at", F.when(F.col("copy") == 1, F.col("fp")).alias("fp"), F.when(F.col("copy") == 1, F.col("kinds")).alias("kinds")))
+    first = ~F.col("again") & (F.col("copy") == 1)
+    settled = stored(told.select("doc_id", "at", F.when(first, F.col("fp")).alias("fp"), F.when(first, F.col("kinds")).alias("kinds")))
     unpacked = settled.select(
         "fp", "doc_id", "kinds", F.shiftright("at", 16).alias("first"), (F.shiftright("at", 8) % 256).alias("ahead"), (F.col("at") % 256).alias("more")
     )
