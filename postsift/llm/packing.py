@@ -22,7 +22,7 @@ from postsift.llm.pretokens import pieces, segments
 from postsift.llm.texthash import span_hashes, text_slices
 
 #: Pieces whose ids a worker keeps; beyond it the memory starts anew, which costs time only.
-MOST_PIECES = 1_000_000
+MOST_PIECES = 500_000
 #: Partly filled sequences that are kept open; beyond it they are closed by cutting documents.
 MOST_OPEN = 4096
 
@@ -219,5 +219,7 @@ def pack(docs: DataFrame, *, path: str, capacity: int = 2048, end_id: int = 1, d
         done = packer.take()
         if done:
             yield rows(done, number, names, key)
+        # The worker goes on with other tasks, maybe of other stages.
+        encoder(path).restart()
 
     return chosen.mapInArrow(packed, schema)

@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Texts are taken in slices of about so many bytes, so that memory does not follow the batch.
-SLICE_BYTES = 4 << 20
+#: Texts are taken in slices of about so many bytes, so that memory does not follow the batch;
+#: arrays of 64-bit numbers per byte make it up to 60 times that.
+SLICE_BYTES = 1 << 20
 #: Prefix sums for hashes span about so many bytes at a time.
 HASH_BYTES = 1 << 20
 

@@ -26,7 +26,7 @@ from postsift.llm.pretokens import pieces, segments
 from postsift.llm.texthash import text_slices
 
 #: Bytes of a chunk.
-CHUNK = 512
+CHUNK = 256
 #: Compiled states kept at once; beyond it compilation starts anew, which costs time only.
 MOST_STATES = 250_000
 
