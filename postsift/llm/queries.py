@@ -89,10 +89,12 @@ REPETITION_SQL = f"""
       WHERE regexp_matches(line, '{WORD}')
     ),
     dup_lines AS (SELECT doc_id, count(*) AS n_dup_lines, sum(chars) AS dup_line_chars FROM lines WHERE n > 1 GROUP BY doc_id),
-    placed AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM listed),
-    grams AS (
-      SELECT doc_id, i, n, words[i:i + n - 1] AS gram FROM placed, (SELECT unnest(range(5, 11)) AS n) WHERE i + n - 1 <= len(words)
+    spoken AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM listed),
+    sizes AS (SELECT doc_id, i, length(word) AS chars FROM spoken),
+    ahead AS (
+      SELECT doc_id, i, word AS w0, {", ".join(f"lead(word, {k}) OVER (PARTITION BY doc_id ORDER BY i) AS w{k}" for k in range(1, 10))} FROM spoken
     ),
+    grams AS ({" UNION ALL ".join(f"SELECT doc_id, i, {n} AS n, concat_ws(' ', {', '.join(f'w{k}' for k in range(n))}) AS gram FROM ahead WHERE w{n - 1} IS NOT NULL" for n in range(5, 11))}),
     told AS (
       SELECT doc_id, i, n, count(*) OVER (PARTITION BY doc_id, n, gram) > 1 AS twice,
              row_number() OVER (PARTITION BY doc_id, n, gram ORDER BY i) > 1 AS again
@@ -100,7 +102,7 @@ REPETITION_SQL = f"""
     ),
     spread AS (SELECT DISTINCT doc_id, n, unnest(range(i, i + n)) AS i FROM told WHERE again),
     again AS (
-      SELECT s.doc_id, n, sum(length(words[i])) AS chars FROM spread s JOIN listed l ON s.doc_id = l.doc_id GROUP BY s.doc_id, n
+      SELECT s.doc_id, n, sum(chars) AS chars FROM spread s JOIN sizes z ON s.doc_id = z.doc_id AND s.i = z.i GROUP BY s.doc_id, n
     ),
     wide AS (
       SELECT doc_id, {", ".join(f"CAST(coalesce(max(chars) FILTER (WHERE n = {n}), 0) AS BIGINT) AS dup_{n}gram_chars" for n in range(5, 11))}

@@ -62,7 +62,7 @@ def measure(buf: np.ndarray, bounds: np.ndarray, limits: RepetitionLimits) -> di
     cuts = np.flatnonzero(buf == 0x0A)
     heads = np.union1d(bounds[:-1][bounds[:-1] < len(buf)], cuts + 1)
     heads = heads[heads < len(buf)]
-    tails = np.append(heads[1:], len(buf))
+    tails = np.append(heads[1:], len(buf)) if len(heads) else heads
     tails = np.where((tails > heads) & (buf[tails - 1] == 0x0A), tails - 1, tails)
     line_row = np.searchsorted(bounds, heads, "right") - 1
     line_chars = chars_before[tails] - chars_before[heads]

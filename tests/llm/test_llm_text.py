@@ -148,6 +148,21 @@ def test_repetition(spark, documents):
     assert repetition.with_repetition(documents([])).collect() == []
 
 
+@pytest.mark.parametrize("texts", [[None], [""], ["", None, ""], ["\n"], [" \n\t"]])
+def test_slices_without_words(spark, documents, tokenizer, texts):
+    """Whole batches of nothing, through every operator that reads texts."""
+    from postsift.llm import jaccard, suffixes
+
+    docs = documents(list(enumerate(texts))).coalesce(1)
+    assert [(r.n_words, r.kept) for r in repetition.with_repetition(docs).collect()] == [(0, False)] * len(texts)
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in jaccard.jaccard_join(docs).collect()) == [(i, i, 0) for i in range(len(texts))]
+    assert {r.doc_id: (r.n_bytes, r.n_removed) for r in suffixes.repeated_passages(docs).collect()} == {i: (len(t or ""), 0) for i, t in enumerate(texts)}
+    counts = {r.doc_id: r.n_tokens for r in transducer.token_counts(docs, path=PATH).collect()}
+    assert counts == {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    assert sum(r.length for r in packing.pack(docs, path=PATH).collect()) == sum(counts.values()) + len(texts)
+    assert [r.license for r in licenses.license_scan(docs).collect()] == [None] * len(texts)
+
+
 def test_method_rejects_beyond_the_base_rules(spark, documents):
     """Long n-grams told twice: under the base limit by words, over the limit by characters."""
     short = " ".join(f"w{i}" for i in range(100))
