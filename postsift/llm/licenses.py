@@ -8,7 +8,9 @@ units meet no template at all. DataFrame functions only.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +46,9 @@ class Template:
 
     def bounds(self, least: float) -> tuple[int, int]:
         """Smallest and largest number of bigrams of a unit that can reach `least`."""
-        a = len(self.bigrams)
-        return -int(-a * least // (2 - least)), int(a * (2 - least) // least)
+        # In fractions: a float quotient can come out below the whole number it stands for.
+        a, t = len(self.bigrams), Fraction(str(least))
+        return math.ceil(a * t / (2 - t)), math.floor(a * (2 - t) / t)
 
 
 def normalised(text: str) -> list[str]:
@@ -75,7 +78,7 @@ def license_scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     `license` is the template name with the highest coefficient of at least `least` in any
     unit (ties: the first line, then the earlier template), `dice` its value to six places,
     `line` the line it was found in from 1, or 0 for the whole text, and `n_matches` the
-    number of units that reach `least`. Without a match license, dice and line are null and
+    number of units (places: lines, and 0) that reach `least`. Without a match license, dice and line are null and
     n_matches is 0; so for null and empty texts. Units of one word have no bigram. Rows that
     repeat a doc_id give one row with what any of them holds. Other columns are not read.
 
@@ -105,7 +108,8 @@ def license_scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         return F.when(F.size("bigrams").between(lo, hi) & (dice >= least), found)
 
     best = F.array_min(F.array_compact(F.array(*[match(i, t) for i, t in enumerate(templates)])))
-    matched = near.select("doc_id", "line", best.alias("best")).where("best IS NOT NULL")
+    # Rows that repeat a doc_id are one place where their line numbers agree.
+    matched = near.select("doc_id", "line", best.alias("best")).where("best IS NOT NULL").groupBy("doc_id", "line").agg(F.min("best").alias("best"))
     per_doc = matched.groupBy("doc_id").agg(
         F.min(F.struct(F.col("best.minus"), F.col("line"), F.col("best.template"))).alias("top"), F.count("*").alias("n_matches")
     )

@@ -107,6 +107,23 @@ def test_license_scan(spark, documents):
     assert licenses.license_scan(documents([])).collect() == []
 
 
+def test_license_scan_at_the_threshold(spark, documents):
+    """Units of exactly 0.8, the smallest and the largest there are for every template."""
+    templates, texts = licenses.build_templates(), ["Code is released under the MIT License."]
+    for (_, text), template in zip(licenses.TEMPLATES, templates, strict=True):
+        a, words = len(template.bigrams), licenses.normalised(text)
+        sizes = [b for b in range(1, 3 * a) if (a + b) % 5 == 0 and 2 * (a + b) // 5 <= min(a, b)]
+        for b in (sizes[0], sizes[-1]):
+            shared = 2 * (a + b) // 5
+            n = next(n for n in range(len(words) + 1) if len(set(zip(words[:n], words[1:n], strict=False))) == shared)
+            texts.append(" ".join(words[:n] + [f"zz{i}" for i in range(b - shared)]))
+            assert dice(texts[-1], template) == 0.8
+    got = {r.doc_id: r for r in licenses.license_scan(documents(list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        best = min((-dice(text, t), k) for k, t in enumerate(templates))
+        assert (got[i].license, got[i].dice, got[i].line, got[i].n_matches) == (templates[best[1]].name, round(-best[0], 6), 1, 1)
+
+
 # --- repetition --------------------------------------------------------------------------
 
 
