@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -124,6 +125,41 @@ def test_license_scan_at_the_threshold(spark, documents):
         assert (got[i].license, got[i].dice, got[i].line, got[i].n_matches) == (templates[best[1]].name, round(-best[0], 6), 1, 1)
 
 
+def wrapped(text: str, width: int, before: str = "") -> str:
+    return "\n".join(before + line for line in textwrap.wrap(text, width - len(before)))
+
+
+@pytest.mark.parametrize("starts", [3, 64])
+def test_license_scan_over_lines(spark, documents, monkeypatch, starts):
+    """Runs of lines by brute force; whole licenses, headers and notices wrapped among other text."""
+    monkeypatch.setattr(licenses, "STARTS", starts)
+    templates = licenses.build_templates()
+    texts_of = [t for _, t in licenses.TEMPLATES]
+    prose = "\n".join(f"This line number {i} of the text is about the ship and its captain at sea." for i in range(12))
+    mit, gpl, bsd, isc = texts_of[17], texts_of[6], texts_of[10], texts_of[18]
+    texts = [
+        "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + wrapped(mit, 78), "# Notes\n" + wrapped(gpl, 72, " * ") + "\n\n" + prose, prose + "\n\n" + wrapped(bsd, 72, "// ") + "\n" + prose,
+        prose + "\n" + wrapped(gpl, 40) + "\n\n" + prose + "\n" + wrapped(bsd, 60) + "\n" + bsd + "\n" + prose, wrapped(isc, 50).replace("\n", "\n\n\n") + "\n" + prose,
+        prose + "\n" + wrapped(texts_of[19], 80) + "\n" + prose, prose + "\n" + wrapped(texts_of[20], 80) + "\n" + prose, prose, "word " * 500 + "\n" + wrapped(bsd, 50) + "\n" + "word " * 500,
+    ]
+    got = {r.doc_id: r for r in licenses.license_scan(documents(list(enumerate(texts)))).collect()}
+    names = ["MIT", "GPL-3.0", "BSD-3-Clause", "GPL-3.0", "ISC", "BSD-2-Clause", "BSD-3-Clause", None, "BSD-3-Clause"]
+    assert [got[i].license for i in range(len(texts))] == names
+    assert [got[i].n_matches for i in range(len(texts))] == [1, 1, 1, 3, 1, 1, 1, 0, 1]
+    most = max(t.bounds(0.8)[1] for t in templates) + 1
+    for i, text in enumerate(texts):
+        lines = [(k, line) for k, line in enumerate(text.split("\n"), 1) if licenses.normalised(line)]
+        units = [(0, text), *lines]
+        for k in range(len(lines)):
+            for j in range(k + 2, len(lines) + 1):
+                unit = "\n".join(line for _, line in lines[k:j])
+                if len(licenses.normalised(unit)) > most:
+                    break
+                units.append((lines[k][0], unit))
+        best = min(((-dice(u, t), line, k) for line, u in units for k, t in enumerate(templates) if dice(u, t) >= 0.8), default=None)
+        assert (best and (templates[best[2]].name, round(-best[0], 6), best[1])) == (best and (got[i].license, got[i].dice, got[i].line))
+
+
 # --- repetition --------------------------------------------------------------------------
 
 
