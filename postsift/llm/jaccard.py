@@ -40,6 +40,8 @@ class JoinOptions:
     small_bucket: int = 2048
     #: Sets (in n-grams) that are compared in one task; larger groups go in blocks of so many.
     block_grams: int = 400_000
+    #: Sets of a block at most, on average: a task has matrices over the sets of two blocks.
+    block_sets: int = 2_000
 
     @property
     def sampling(self) -> float:
@@ -262,6 +264,12 @@ def exact_links(groups: DataFrame, options: JoinOptions) -> DataFrame:
     return near.mapInArrow(compared, "rep bigint, other bigint, links bigint")
 
 
+def block_counts(sized: DataFrame, options: JoinOptions) -> DataFrame:
+    """(grp, n_blocks) of groups of sets (grp, grams): bounded by n-grams and by sets."""
+    needed = F.greatest(F.sum("grams") / options.block_grams, F.count("*") / options.block_sets)
+    return sized.groupBy("grp").agg(F.ceil(needed).cast("int").alias("n_blocks"))
+
+
 def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", options: JoinOptions = JoinOptions()) -> DataFrame:
     """doc_id, class_id, n_links and set_id for every document.
 
@@ -287,7 +295,7 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     groups = components(candidate_links(sets, options)).withColumnRenamed("node", "rep").withColumnRenamed("root", "grp")
     sized = groups.join(reps, "rep")
-    blocks = sized.groupBy("grp").agg(F.ceil(F.sum("grams") / options.block_grams).cast("int").alias("n_blocks"))
+    blocks = block_counts(sized, options)
     blocked = sized.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
     texts = given.withColumnRenamed("doc_id", "rep").join(blocked.select("rep", "grp", "copies", "block", "n_blocks"), "rep")
     every = F.sequence(F.lit(0), F.col("n_blocks") - 1)

@@ -157,6 +157,18 @@ def test_jaccard_join(spark, documents, options):
     assert got == join_by_hand(rows)
 
 
+def test_blocks_are_bounded_by_sets_too(spark, documents):
+    """Many different short texts in one group: few n-grams, many sets."""
+    sized = spark.range(44_000).select(F.lit(1).alias("grp"), F.lit(9).alias("grams"))
+    assert [tuple(r) for r in jaccard.block_counts(sized, jaccard.JoinOptions()).collect()] == [(1, 22)]
+    assert [tuple(r) for r in jaccard.block_counts(sized.withColumn("grams", F.lit(100)), jaccard.JoinOptions()).collect()] == [(1, 22)]
+    assert [tuple(r) for r in jaccard.block_counts(sized.withColumn("grams", F.lit(1000)), jaccard.JoinOptions()).collect()] == [(1, 110)]
+    words = " ".join(f"w{i}" for i in range(12))
+    rows = [(i, f"{words} v{i}") for i in range(300)]
+    got = jaccard.jaccard_join(documents(rows), options=jaccard.JoinOptions(block_sets=40)).collect()
+    assert sorted(map(tuple, got)) == [(i, 0, 299, i) for i in range(300)]
+
+
 def test_jaccard_join_odd_tables(spark, documents):
     assert jaccard.jaccard_join(documents([])).collect() == []
     text = " ".join(str(i) for i in range(30))
