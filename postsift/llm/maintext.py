@@ -32,6 +32,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: A new one of these ends an open one of the same group.
 CLOSES = {t: g for g in (("p",), ("li",), ("dt", "dd"), ("tr",), ("td", "th"), ("option",)) for t in g}
 
+#: What stands inside head; anything else ends it, also without its closing tag.
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head html".split())
+
 #: Kinds of surroundings, by element name or by words of class, id and role.
 BY_ELEMENT = {
     "nav": "boiler", "menu": "boiler", "aside": "boiler", "footer": "boiler", "header": "header", "form": "boiler", "dialog": "boiler",
@@ -96,13 +99,23 @@ class Reader:
             self.blocks.append(Block(text, share, *kinds, heading, paragraph))
         self.parts, self.linked = [], []
 
+    def end_head(self) -> None:
+        while self.stack and self.stack[-1].name == "head":
+            self.stack.pop()
+
     def text(self, text: str) -> None:
+        if text.strip(" \t\n\f\r"):
+            self.end_head()
         if text and not any(o.name in SILENT for o in self.stack):
             self.parts.append(text)
             if any(o.name == "a" for o in self.stack):
                 self.linked.append(text)
 
     def start(self, name: str, attributes: str) -> None:
+        if name not in IN_HEAD:
+            self.end_head()
+        elif name in ("head", "html") and self.stack and self.stack[-1].name == "head":
+            return
         if name not in INLINE:
             self.end_block()
         elif name == "br":

@@ -69,6 +69,16 @@ def test_main_text(page, text):
     assert maintext.main_text(page, maintext.trained()) == text
 
 
+@pytest.mark.parametrize("head", ["<head><title>t</title><meta charset=utf-8>", "<head><head>\n<script>x<p></script><template><p>y</p></template>", "<head><link rel=x><base href=y/>\n<html lang=en>"])
+@pytest.mark.parametrize("body", ["<body>", "", "<body class=x>\n"])
+def test_head_without_its_end_tag(head, body):
+    """A head that is not closed ends where something begins that cannot be in it."""
+    page, text = "<article><h1>T</h1><p>One two three four five six seven eight nine ten</p></article>", "T\n\nOne two three four five six seven eight nine ten"
+    assert maintext.main_text(f"<html>{head}</head>{body}{page}</body></html>", maintext.trained()) == text
+    assert maintext.main_text(f"<html>{head}{body}{page}</body></html>", maintext.trained()) == text
+    assert [b.text for b in maintext.read_blocks(f"<html>{head}{body}Some words<p>more</html>")] == ["Some words", "more"]
+
+
 def test_main_text_rows(spark):
     page = "<article><p>" + "word " * 50_000 + "</p></article>"
     rows = [(1, "u", page), (1, "u", page), (2, None, None), (None, "v", "<p>x</p>")]
