@@ -165,12 +165,14 @@ def repeated_passages(
     characters of which a part was removed. Columns in `keep` pass through; they must not
     have the name of another one. A text shorter than `width` loses
     nothing. Of rows that repeat a doc_id the one with the smallest text counts; null ids
-    take no part. `width` is at least 25. Further columns are not read.
+    take no part. `width` is from 25 to 65,559. Further columns are not read.
 
     Texts are dealt by doc_id once. What is moved besides is one narrow row per run of strings
     with the same k-gram (about one for 39 bytes), the bytes around those k-grams only that
     occur in different surroundings, and the runs to remove.
     """
+    if not GRAM < width < GRAM + (1 << 16):
+        raise ValueError(f"width must be from {GRAM + 1} to {GRAM + (1 << 16) - 1}")
     given = docs.select(docs[f"`{doc_id}`"].cast("bigint").alias("doc_id"), F.coalesce(docs[f"`{text}`"], F.lit("")).alias("text"), *[docs[f"`{c}`"] for c in keep])
     texts = given.where("doc_id IS NOT NULL")
     # Ids are counted first: where each is alone, texts need no sorting out.
@@ -187,7 +189,7 @@ def repeated_passages(
                 continue
             fp, around, doc, first, place, last = (np.concatenate(c) for c in zip(*parts, strict=True))
             # Where the strings of a run start, relative to the first of them.
-            at = first << 16 | place - first << 8 | last - first
+            at = first << 32 | place - first << 16 | last - first
             # What this batch has earlier is a repeat already; it is not dealt by its fingerprint.
             key = mixed(fp.view(np.uint64) ^ mixed(around.view(np.uint64)))
             told = np.flatnonzero(repeated(key))
@@ -208,7 +210,7 @@ def repeated_passages(
     first = ~F.col("again") & (F.col("copy") == 1)
     settled = stored(told.select("doc_id", "at", F.when(first, F.col("fp")).alias("fp"), F.when(first, F.col("kinds")).alias("kinds")))
     unpacked = settled.select(
-        "fp", "doc_id", "kinds", F.shiftright("at", 16).alias("first"), (F.shiftright("at", 8) % 256).alias("ahead"), (F.col("at") % 256).alias("more")
+        "fp", "doc_id", "kinds", F.shiftright("at", 32).alias("first"), (F.shiftright("at", 16) % 65536).alias("ahead"), (F.col("at") % 65536).alias("more")
     )
 
     # Equal surroundings: all but the first are repeats throughout.

@@ -292,6 +292,19 @@ def test_repeated_passages(spark, documents, monkeypatch, most):
     assert len(found) == len(want)
 
 
+def test_wide_passages(spark, documents):
+    """Offsets of 256 and more: two k-grams of a string, far apart."""
+    rng = random.Random(8)
+    say = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passages = [say(1500) for _ in range(3)]
+    rows = [(i, say(rng.randrange(400)) + rng.choice(passages)[rng.randrange(300) :] + say(rng.randrange(400))) for i in range(20)]
+    found = suffixes.repeated_passages(documents(rows), width=700).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, hashlib.sha256(r.kept).hexdigest()) for r in found} == passages_by_hand(rows, 700)
+    for width in (24, 65_560):
+        with pytest.raises(ValueError, match="width"):
+            suffixes.repeated_passages(documents(rows), width=width)
+
+
 def test_no_passages(spark, documents):
     assert suffixes.repeated_passages(documents([])).collect() == []
 
