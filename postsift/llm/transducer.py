@@ -6,9 +6,9 @@ token of the encoding that ends there with its count. A byte moves it to the nex
 and emits the change of the token count. States are compiled when first met.
 
 A buffer is cut into chunks of equal length that are run side by side, one numpy step per
-byte column. A chunk maps the state before it to the state after it; where a piece begins
-inside the chunk that map is constant, so only the bytes ahead of the first beginning wait
-for the chunk before. Composing the maps from left to right settles them.
+byte column. Where a piece begins inside a chunk, its end state does not depend on the state
+before it, so only the bytes ahead of the first beginning wait for the chunk before. They
+are rerun from its end state, from left to right; no maps of chunks are built.
 """
 
 from __future__ import annotations
