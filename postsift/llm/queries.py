@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsift.llm import curriculum, jaccard, licenses, maintext, packing, repetition, suffixes, topk, transducer, urls
+from postsift.llm import curriculum, jaccard, licenses, maintext, packing, piecewise, prefixtrie, repetition, spellings, suffixes, topk, transducer, urls
 from postsift.llm.tables import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -277,3 +277,102 @@ def op10_suffix_dedup(spark, sf_dir):
     """No SQL: one row per byte of every text is more than SQL can take on whole tables."""
     found = suffixes.repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# --- 11: SentencePiece encoding and decoding ---------------------------------------------
+
+
+@query()
+def op11_sentencepiece(spark, sf_dir):
+    """No SQL: the ids come from a tokenizer."""
+    coded = piecewise.with_pieces(table(spark, sf_dir, "documents"), path=public_tokenizers.path("piece_bpe_32k.model"))
+    written = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(written, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "library_agrees",
+    )
+
+
+# --- 12: conversation prefix trie --------------------------------------------------------
+
+
+def _crc32(data: str) -> str:
+    """CRC-32 of a blob, bit by bit: a byte enters with the first of its eight steps."""
+    digits = f"hex({data})"
+    steps = f"flatten(list_transform(range(0, CAST(len({digits}) / 2 AS BIGINT)), lambda i: [CAST(('0x' || substr({digits}, 2 * i + 1, 2)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    return f"xor(list_reduce({steps}, lambda a, e: (xor(a, e) >> 1) + 0, CAST(4294967295 AS BIGINT)), 4294967295)".replace(
+        "(xor(a, e) >> 1) + 0", "xor(xor(a, e) >> 1, (xor(a, e) & 1) * 3988292384)"
+    )
+
+
+TRIE_SQL = f"""
+    WITH turns AS (
+      SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL) g
+    ),
+    convs AS (SELECT conv_id, {_crc32("encode(CAST(conv_id AS VARCHAR))")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns) d),
+    rebuilt AS (
+      SELECT conv_id, length(text) AS chars, sha256(concat(length(role), ':', role, text)) AS said, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS pos FROM (
+        SELECT c.conv_id, t.role, t.text, t.pos, 0 AS own FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.pos <= c.h
+        UNION ALL SELECT c.conv_id, t.role, t.text, t.pos, 1 FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h) u
+    ),
+    members AS (
+      SELECT conv_id, 0 AS depth, '' AS node, 0 AS chars FROM convs
+      UNION ALL SELECT conv_id, pos, string_agg(said, '') OVER (PARTITION BY conv_id ORDER BY pos), chars FROM rebuilt
+    ),
+    ending AS (SELECT conv_id, max(depth) AS depth FROM members GROUP BY conv_id),
+    nodes AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved FROM members GROUP BY node, depth),
+    children AS (SELECT left(node, 64 * (depth - 1)) AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+    below AS (
+      SELECT left(n.node, 64 * a.depth) AS node, CAST(count(*) FILTER (WHERE c.n IS NULL) AS BIGINT) AS leaves, CAST(sum(n.saved) AS BIGINT) AS saved
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM nodes) n LEFT JOIN children c ON n.node = c.node, LATERAL (SELECT n.up AS depth) a GROUP BY 1
+    ),
+    ends AS (SELECT m.node, sha256(string_agg(CAST(m.conv_id AS VARCHAR), ',' ORDER BY m.conv_id)) AS list FROM members m JOIN ending USING (conv_id, depth) GROUP BY m.node)
+    SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, b.leaves AS n_leaves,
+      b.saved AS saved_tokens, coalesce(e.list, sha256('')) AS ends_sha256
+    FROM nodes n JOIN below b ON n.node = b.node LEFT JOIN children c ON n.node = c.node LEFT JOIN ends e ON n.node = e.node
+    LEFT JOIN nodes p ON n.depth > 0 AND p.node = left(n.node, 64 * (n.depth - 1))
+"""
+
+
+@query(TRIE_SQL)
+def op12_prefix_trie(spark, sf_dir):
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
+# --- 13: spelling variant grouping -------------------------------------------------------
+
+SPELLINGS_SQL = f"""
+    WITH RECURSIVE runs AS (
+      SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+    ),
+    counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY doc_id, run),
+    hashed AS (SELECT run, n, {_crc32("encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h FROM counted),
+    slipped AS (
+      SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, CAST(h % length(run) AS BIGINT)) || substring(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, n FROM hashed
+    ),
+    words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS cut FROM words),
+    shorter AS (SELECT word, n, cut, substring(word, 1, cut - 1) || substring(word, cut + 1) AS rest FROM places),
+    near AS MATERIALIZED (
+      SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.cut = b.cut AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+      UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word
+    ),
+    best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+    formed AS MATERIALIZED (
+      SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= 2 * w.n THEN b.other END AS form, CASE WHEN b.other_n >= 2 * w.n THEN b.other_n END AS form_n
+      FROM words w LEFT JOIN best b ON w.word = b.word AND b.place = 1
+    ),
+    walk(word, root) AS (SELECT word, word FROM formed UNION ALL SELECT k.word, f.form FROM walk k JOIN formed f ON k.root = f.word WHERE f.form IS NOT NULL)
+    SELECT f.word, f.form, k.root, f.n, f.n_near, f.form_n
+    FROM formed f JOIN walk k ON f.word = k.word JOIN formed e ON k.root = e.word WHERE e.form IS NULL
+"""
+
+
+@query(SPELLINGS_SQL)
+def op13_spelling_variants(spark, sf_dir):
+    return spellings.spelling_variants(table(spark, sf_dir, "documents"))
