@@ -737,6 +737,10 @@ def new_folder(spark: SparkSession) -> str:
 def event_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = inputs.table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return event_addresses(events)
+
+
+def event_addresses(events: DataFrame) -> DataFrame:
     domain = F.get(text_array(inputs.DOMAINS), (F.col("event_id") % len(inputs.DOMAINS)).cast("int"))
     owner = F.concat(F.lit("cliente"), F.col("user_id").cast("string"), F.lit(".com.co"))
     account = F.get(text_array([a.replace("''", "'") for a in inputs.ACCOUNTS]), (F.col("event_id") % len(inputs.ACCOUNTS)).cast("int"))
@@ -786,6 +790,55 @@ def stream_refresh_requests(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out").select("domain")
 
 
+def event_batches(spark: SparkSession, sf_dir: str, folder: str, batches: int = 3) -> DataFrame:
+    """The events as a stream of several micro-batches, in the order of their ids."""
+    events = inputs.table(spark, sf_dir, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    step = (high - low) // batches + 1
+    for k in range(batches):
+        part = events.where((F.col("event_id") >= low + k * step) & (F.col("event_id") < low + (k + 1) * step))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    return event_addresses(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in"))
+
+
+@entry("stream_cached", f"WITH {validation_ctes(EVENT_SQL)} SELECT input_seq, domain, status, cached FROM validated")
+def stream_cached(spark, sf_dir):
+    """`cached` over three micro-batches is that of one batch over all events."""
+    folder = new_folder(spark)
+    query = start_validation(
+        event_batches(spark, sf_dir, folder),
+        lambda session: inputs.dns_answers(session, sf_dir),
+        f"{folder}/out",
+        checkpoint=f"{folder}/progress",
+        available_now=True,
+        remember=True,
+        order_by="input_seq",
+        as_of=AS_OF,
+    )
+    query.awaitTermination()
+    return fields(spark.read.parquet(f"{folder}/out"), "domain", "status", "cached")
+
+
+@entry(
+    "stream_requests_in_batches",
+    f"""WITH {validation_ctes(EVENT_SQL)}
+    SELECT DISTINCT domain FROM decided WHERE asks AND domain NOT IN (SELECT domain FROM usable WHERE kept)""",
+)
+def stream_requests_in_batches(spark, sf_dir):
+    """Over three micro-batches within the time to live every domain is asked once."""
+    folder = new_folder(spark)
+    query = start_refresh_requests(
+        event_batches(spark, sf_dir, folder),
+        lambda session: inputs.dns_answers(session, sf_dir),
+        f"{folder}/out",
+        checkpoint=f"{folder}/progress",
+        available_now=True,
+        as_of=AS_OF,
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("domain")
+
+
 # --- flagship -----------------------------------------------------------------------
 
 

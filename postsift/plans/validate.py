@@ -64,6 +64,7 @@ def validate(
     settled: bool = False,
     hot_keys: HotKeys = DEFAULT_HOT_KEYS,
     broadcast_rows: int = BROADCAST_ROWS,
+    answered: DataFrame | None = None,
 ) -> DataFrame:
     """Decide for every address whether to send to it.
 
@@ -76,6 +77,8 @@ def validate(
                 first contact of a domain from later ones. Without it `cached` reports
                 only whether the answer was kept from an earlier run
     `rules`     the cascade; the default can be extended with `insert_rule`
+    `answered`  table (domain) whose answers an earlier batch of the same run has used; every
+                contact of such a domain comes later than its first one, as `cached` tells
 
     `settled`   True: the table of domains is computed at once and kept in the checkpoint
                 folder (which must be set), so its size is known and the contacts are joined
@@ -91,6 +94,9 @@ def validate(
         if "dns" in cascade.lookups:
             answers = None if dns is None else usable_answers(dns, clock, options.cache_ttl_ms)
             facts = with_mail_routing(facts, answers, parsed)
+            if answered is not None:
+                used = answered.select(F.col("domain").alias("ps_key")).distinct().withColumn("ps_seen", F.lit(True))
+                facts = facts.join(used, "ps_key", "left").withColumn("ps_seen", F.coalesce("ps_seen", F.lit(False)))
         if "age" in cascade.lookups:
             facts = with_domain_age(facts, ages)
         facts = facts.drop("ps_dns_rows")
@@ -120,6 +126,23 @@ def lookup_worklist(
     return missing_answers(asked_domains(parsed), dns, instant(as_of), options.cache_ttl_ms)
 
 
+def answered_domains(
+    contacts: DataFrame,
+    email: str | Column = "email",
+    *,
+    options: Options = Options(),
+    dns: DataFrame | None = None,
+    as_of: str | datetime | Column | None = None,
+    rules: Sequence[Rule] = DEFAULT_RULES,
+    fan_out: bool = True,
+) -> DataFrame:
+    """Domains of which `validate` uses an answer: (domain). Failed lookups give none."""
+    parsed = parse_contacts(contacts, email, Cascade(tuple(rules), options), (), fan_out)
+    answers = None if dns is None else usable_answers(dns, instant(as_of), options.cache_ttl_ms)
+    looked_up = with_mail_routing(asked_domains(parsed).where("ps_dns_rows > 0"), answers, parsed)
+    return looked_up.where(~F.col("ps_dns.resolver_failed")).select(F.col("ps_key").alias("domain"))
+
+
 def lookup_counts(
     contacts: DataFrame,
     email: str | Column = "email",
@@ -168,7 +191,7 @@ def registration_worklist(
     )
 
 
-def _looked_up(parsed: Parsed) -> dict[str, Column]:
+def _looked_up(parsed: Parsed, answered: bool) -> dict[str, Column]:
     lookups, found = parsed.cascade.lookups, {}
     if "typo" in lookups:
         found.update(typo_columns(F.col("ps_typo")))
@@ -177,6 +200,8 @@ def _looked_up(parsed: Parsed) -> dict[str, Column]:
         again = F.lit(False)
         if parsed.order is not None:
             again = ~parsed.order.eqNullSafe(F.col("ps_first")) & ~dns["resolver_failed"]
+        if answered:
+            again = again | (F.col("ps_seen") & ~dns["resolver_failed"])
         found.update({f"dns.{name}": dns[name] for name in ("resolver_failed", "null_mx", "accepts_mail")})
         found.update({f"dns.{name}": dns[name] for name in ("mx", "provider", "catch_all")})
         found["dns.cached"] = dns["kept"] | again
@@ -189,7 +214,7 @@ def _assemble(frame: DataFrame, parsed: Parsed, clock: Column, keep_fields: bool
     cascade, options = parsed.cascade, parsed.cascade.options
     later_rules = cascade.rules[len(cascade.address_rules) :]
     notes_so_far = parsed.evaluated[-1].notes if parsed.evaluated else default_notes()
-    view = replace(parsed.view, looked_up=_looked_up(parsed), notes=notes_so_far)
+    view = replace(parsed.view, looked_up=_looked_up(parsed, "ps_seen" in frame.columns), notes=notes_so_far)
     later = cascade.evaluate(view, later_rules)
     notes = later[-1].notes if later else notes_so_far
 

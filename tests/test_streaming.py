@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 
 import postsift as ps
 from fixtures import ZONE, zone_frame
 from postsift.streaming import start_refresh_requests, start_validation
+from postsift.streaming.asked import asked_within, batch_clock, hour_name, moment, write_asked
 
 START = datetime(2026, 8, 20, 0, 0, 0)
 SCHEMA = "input_seq long, ts timestamp, email string"
@@ -110,3 +111,68 @@ def test_restart_writes_every_contact_once(spark, tmp_path):
 def test_progress_is_asked_for(spark, tmp_path):
     with pytest.raises(TypeError, match="checkpoint"):
         start_validation(stream(spark, str(tmp_path)), zone_frame, str(tmp_path))
+
+
+def test_a_batch_reads_only_the_hours_within_the_time_to_live(spark, tmp_path):
+    """Two hundred earlier batches, one an hour: seven hours are listed and read."""
+    folder, clock = str(tmp_path / "asked"), datetime(2026, 8, 20, 12, 30, tzinfo=timezone.utc)
+    columns = "domain string, requested_at timestamp"
+    template = spark.createDataFrame([("a.com", clock)], columns).coalesce(1)
+    write_asked(template, folder, 0, clock)
+    first = next((tmp_path / "asked").rglob("part-*.parquet"))
+    for k in range(1, 200):
+        at = tmp_path / "asked" / f"hour={hour_name(clock - timedelta(hours=200 - k))}" / f"batch_id={k}"
+        at.mkdir(parents=True)
+        (at / "part-0.parquet").write_bytes(first.read_bytes())
+    earlier = asked_within(spark, folder, columns, 200, clock, 6 * 3_600_000)
+    named = {f.split("hour=")[1][:10] for f in earlier.inputFiles()}
+    assert named == {hour_name(clock - timedelta(hours=k)) for k in range(7)}
+    assert asked_within(spark, folder, columns, 200, clock + timedelta(days=30), 6 * 3_600_000) is None
+
+
+def test_a_repeated_batch_keeps_its_clock(spark, tmp_path):
+    folder = str(tmp_path / "asked")
+    first = batch_clock(spark, folder, 4, moment(START))
+    assert batch_clock(spark, folder, 4, moment(START + timedelta(hours=9))) == first
+    assert batch_clock(spark, folder, 5, moment(START - timedelta(hours=9))) == first
+    assert batch_clock(spark, folder, 6, moment("2026-08-20T02:00:00+02:00")) == first
+    assert batch_clock(spark, folder, 7, moment(START + timedelta(hours=1))) == first + timedelta(hours=1)
+
+
+def test_requests_after_a_restart(spark, tmp_path):
+    """A batch that is repeated after its requests were written writes them once, at its first clock."""
+    folder = str(tmp_path)
+    feed(spark, folder, "one", ["a@gmail.com"])
+    feed(spark, folder, "two", ["a@soloa.com", "b@gmail.com"])
+    assert ask(spark, folder, START) == [("gmail.com", 1), ("soloa.com", 1)]
+    for commit in (tmp_path / "progress" / "commits").glob("*1*"):
+        commit.unlink()  # the second batch was not committed
+    assert ask(spark, folder, START + timedelta(hours=3)) == [("gmail.com", 1), ("soloa.com", 1)]
+
+
+def flags(spark, folder):
+    rows = spark.read.parquet(f"{folder}/out").collect()
+    return {r["input_seq"]: r["validation"]["cached"] for r in rows}
+
+
+def test_cached_over_the_whole_stream(spark, tmp_path):
+    folder, addresses = str(tmp_path), ["a@gmail.com", "b@caido.com", "b@gmail.com", "c@soloa.com", "c@caido.com", "d@gmail.com", "juan@gmial.com", "e@soloa.com"]
+    for k in range(4):
+        rows = [(i, START, addresses[i]) for i in (2 * k, 2 * k + 1)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{folder}/in/{k}")
+
+    def go(as_of, out="out", progress="progress"):
+        start_validation(
+            stream(spark, folder), zone_frame, f"{folder}/{out}", checkpoint=f"{folder}/{progress}", available_now=True, remember=True, order_by="input_seq", as_of=as_of
+        ).awaitTermination()
+
+    go(START)
+    people = spark.createDataFrame([(i, a) for i, a in enumerate(addresses)], "input_seq long, email string")
+    whole = {r["input_seq"]: r["validation"]["cached"] for r in ps.validate(people, dns=zone_frame(spark), order_by="input_seq", as_of=START).collect()}
+    assert flags(spark, folder) == whole
+    assert whole[5] and whole[7] and not whole[4]
+    # Six hours on the answer is no longer good: asked again, then used again.
+    for k, address in enumerate(["x@gmail.com", "y@gmail.com"]):
+        spark.createDataFrame([(100 + k, START, address)], SCHEMA).coalesce(1).write.parquet(f"{folder}/in/later{k}")
+    go(START + timedelta(hours=6))
+    assert {k: v for k, v in flags(spark, folder).items() if k >= 100} == {100: False, 101: True}
