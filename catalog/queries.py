@@ -24,6 +24,7 @@ from catalog.oracle import (
 from postsift.functions import list_values, match_provider
 from postsift.functions.constants import text_array
 from postsift.functions.registration import registration_age_days
+from postsift.operators.counters import relative_error
 from postsift.operators.membership import off_table, on_table
 from postsift.operators.once import computed_once
 from postsift.operators.registration import registry_servers
@@ -261,13 +262,9 @@ def provider_match(spark, sf_dir):
     f"WITH {DNS_CTES} SELECT domain, fetched_at, {provider_sql('mx', 'name')} AS provider FROM statuses WHERE {provider_sql('mx', 'name')} IS NOT NULL",
 )
 def provider_join(spark, sf_dir):
-    """The same match against the provider table: equi-join on the host's own suffixes."""
+    """The same match against the provider table: equi-join on the ends of the host."""
     status = domain_mail_status(inputs.dns_answers(spark, sf_dir)).where("mx IS NOT NULL")
-    starts = F.sequence(F.lit(1), F.length("mx"))
-    tails = status.select("domain", "fetched_at", F.explode(F.transform(starts, lambda i: F.substring(F.col("mx"), i, F.length("mx")))).alias("mx_suffix"))
-    # Eleven providers.
-    matched = tails.join(F.broadcast(provider_dimension(spark)), "mx_suffix")
-    return matched.groupBy("domain", "fetched_at").agg(F.min(F.struct("ordinal", "name"))["name"].alias("provider"))
+    return status.join(ps.provider_matches(status, provider_dimension(spark)), "mx").select("domain", "fetched_at", "provider")
 
 
 @entry(
@@ -280,6 +277,32 @@ def snapshot_latest(spark, sf_dir):
     return latest_kept(inputs.dns_answers(spark, sf_dir))
 
 
+def kept_snapshot(spark: SparkSession, sf_dir: str, merges: int = 2) -> DataFrame:
+    """The answers of the tables, merged into a new snapshot in several steps; by hash, so old ones come late too."""
+    name = f"kept_{uuid.uuid4().hex}"
+    ps.create_snapshot(spark, name, 8, f"{new_folder(spark)}/{name}")
+    answers = inputs.dns_answers(spark, sf_dir)
+    for k in range(merges):
+        ps.merge_answers(spark, name, answers.where(F.pmod(F.xxhash64("domain", "fetched_at"), F.lit(merges)) == k))
+    return ps.snapshot_answers(spark, name)
+
+
+@entry("snapshot_merged", CATALOG["snapshot_latest"].sql)
+def snapshot_merged(spark, sf_dir):
+    """A snapshot that was merged twice holds the latest answers of all."""
+    return latest_kept(kept_snapshot(spark, sf_dir))
+
+
+KEPT_ONLY = DNS_CTES.replace("WHERE fetched_at IS NULL\n           OR (", "WHERE (")
+
+
+@entry("verdicts_from_snapshot", f"WITH {validation_ctes(CONTACTS_SQL, dns_ctes=KEPT_ONLY)} SELECT input_seq, status, sub_status, recommendation, cached FROM validated")
+def verdicts_from_snapshot(spark, sf_dir):
+    """Contacts decided by the kept answers alone."""
+    rows = ps.validate(inputs.contacts(spark, sf_dir), dns=kept_snapshot(spark, sf_dir), as_of=AS_OF, order_by="input_seq")
+    return fields(rows, "status", "sub_status", "recommendation", "cached")
+
+
 ASKING = f"""{validation_ctes(CONTACTS_SQL)},
     asking AS (SELECT domain, count(*) AS contacts FROM decided WHERE asks GROUP BY domain)"""
 
@@ -839,6 +862,41 @@ def stream_requests_in_batches(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out").select("domain")
 
 
+# --- counters and SQL text ------------------------------------------------------------
+
+
+@entry(
+    "domains_per_day",
+    f"""SELECT CAST(e.ts AS DATE) AS day, count(*) AS requests, count(DISTINCT split_part(a.email, '@', 2)) AS domains, TRUE AS within
+    FROM ({EVENT_SQL}) a JOIN events e ON e.event_id = a.input_seq GROUP BY 1""",
+)
+def domains_per_day(spark, sf_dir):
+    """Sketches per hour, merged to days; the estimate is checked against the exact count."""
+    asked = event_addresses(inputs.table(spark, sf_dir, "events")).select("ts", F.substring_index("email", "@", -1).alias("domain"))
+    hourly = ps.domain_sketches(asked, [F.date_trunc("hour", "ts").alias("hour")])
+    daily = ps.merged_counts(hourly, [F.to_date("hour").alias("day")])
+    exact = asked.groupBy(F.to_date("ts").alias("day")).agg(F.count_distinct("domain").alias("exact"))
+    within = F.abs(F.col("domains") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * relative_error())
+    return daily.join(exact, "day").select("day", "requests", F.col("exact").alias("domains"), within.alias("within"))
+
+
+@entry(
+    "sql_functions",
+    f"""WITH {parsed_ctes(CONTACTS_SQL)} SELECT input_seq, normalized, changed, loc AS account, domain, ok, {filler_sql("loc")} AS filler
+    FROM checked WHERE email IS NOT NULL""",
+)
+def sql_functions(spark, sf_dir):
+    """The same functions, called from SQL text."""
+    ps.register_sql_functions(spark)
+    return spark.sql(
+        """SELECT input_seq, email_normalized(email) AS normalized, email_changed(email) AS changed, email_account(email_folded(email)) AS account,
+          email_domain(email_folded(email)) AS domain, email_has_valid_syntax(email_normalized(email)) AS ok,
+          account_is_filler(email_account(email_folded(email))) AS filler
+        FROM {contacts} WHERE email IS NOT NULL""",
+        contacts=inputs.contacts(spark, sf_dir),
+    )
+
+
 # --- flagship -----------------------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from postsift.functions.constants import at
@@ -38,6 +38,9 @@ from postsift.sources.mail_routing import instant, usable_answers
 # Recommendations that mean "send".
 SENDABLE = ("accept", "confirm")
 
+# Between the parts of a verdict in the name of its counter.
+VERDICT_MARK = "/"
+
 # Output struct, in order. `field_searched` is only set with `field_not_found`;
 # `duration_ms` is kept for the schema's sake and is always null in a batch.
 VALIDATION_SCHEMA = (
@@ -65,6 +68,7 @@ def validate(
     hot_keys: HotKeys = DEFAULT_HOT_KEYS,
     broadcast_rows: int = BROADCAST_ROWS,
     answered: DataFrame | None = None,
+    observe: Observation | None = None,
 ) -> DataFrame:
     """Decide for every address whether to send to it.
 
@@ -79,6 +83,8 @@ def validate(
     `rules`     the cascade; the default can be extended with `insert_rule`
     `answered`  table (domain) whose answers an earlier batch of the same run has used; every
                 contact of such a domain comes later than its first one, as `cached` tells
+    `observe`   counts contacts per verdict while the first action on the result runs, without
+                one of its own; read them with `verdict_counts`
 
     `settled`   True: the table of domains is computed at once and kept in the checkpoint
                 folder (which must be set), so its size is known and the contacts are joined
@@ -104,7 +110,7 @@ def validate(
             frame = attach_settled(frame, settle(facts), "ps_key", "ps_rows", hot_keys, broadcast_rows)
         else:
             frame = attach(frame, facts, "ps_key", "ps_rows", hot_keys)
-    return _assemble(frame, parsed, clock, keep_fields)
+    return _assemble(frame, parsed, clock, keep_fields, observe)
 
 
 def lookup_worklist(
@@ -210,7 +216,7 @@ def _looked_up(parsed: Parsed, answered: bool) -> dict[str, Column]:
     return found
 
 
-def _assemble(frame: DataFrame, parsed: Parsed, clock: Column, keep_fields: bool) -> DataFrame:
+def _assemble(frame: DataFrame, parsed: Parsed, clock: Column, keep_fields: bool, observe: Observation | None) -> DataFrame:
     cascade, options = parsed.cascade, parsed.cascade.options
     later_rules = cascade.rules[len(cascade.address_rules) :]
     notes_so_far = parsed.evaluated[-1].notes if parsed.evaluated else default_notes()
@@ -246,7 +252,24 @@ def _assemble(frame: DataFrame, parsed: Parsed, clock: Column, keep_fields: bool
     names = [part.split()[0] for part in VALIDATION_SCHEMA.split(", ")]
     validation = F.struct(*[fields[name].alias(name) for name in names])
     kept = [quoted(c) for c in parsed.payload if c.lower() not in ("email", "validation")] if keep_fields else []
-    return frame.select(*kept, fields["normalized"].alias("email"), validation.alias("validation"))
+    validated = frame.select(*kept, fields["normalized"].alias("email"), validation.alias("validation"))
+    if observe is None:
+        return validated
+    verdicts = {(c.status, c.sub_status, c.recommendation) for c in cuts}
+    told = [F.col(f"validation.{name}") for name in ("status", "sub_status", "recommendation")]
+    return validated.observe(
+        observe,
+        *[
+            F.count_if(told[0].eqNullSafe(v[0]) & told[1].eqNullSafe(v[1]) & told[2].eqNullSafe(v[2])).alias(VERDICT_MARK.join(x or "" for x in v))
+            for v in sorted(verdicts, key=str)
+        ],
+    )
+
+
+def verdict_counts(observe: Observation) -> dict[tuple[str, str | None, str], int]:
+    """(status, sub_status, recommendation) -> contacts, of an observed `validate`; waits for its first action."""
+    split = ((tuple(x or None for x in name.split(VERDICT_MARK)), n) for name, n in observe.get.items())
+    return {verdict: n for verdict, n in split if n}
 
 
 def _visible_notes(parsed: Parsed, later: list, stop: Column) -> dict[str, Column]:

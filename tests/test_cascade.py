@@ -330,3 +330,20 @@ def test_session_zone_has_no_say(spark, zone):
         assert spark.range(1).select(registration_age_days(F.lit(body), instant("2026-01-11T00:00:00Z"))).first()[0] == 10
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_verdicts_are_counted_in_the_same_pass(spark):
+    """The counters of one run are the report over its rows."""
+    from pyspark.sql import Observation
+
+    from catalog import inputs
+
+    folder = "/root/testdata/sf0.001"
+    seen = Observation("verdicts")
+    rows = ps.validate(inputs.contacts(spark, folder), dns=inputs.dns_answers(spark, folder), as_of=inputs.AS_OF, observe=seen)
+    kept = rows.select("validation.status", "validation.sub_status", "validation.recommendation").collect()
+    report: dict = {}
+    for row in kept:
+        report[tuple(row)] = report.get(tuple(row), 0) + 1
+    assert ps.verdict_counts(seen) == report
+    assert len(report) > 5

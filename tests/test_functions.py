@@ -8,6 +8,7 @@ import string
 import pytest
 from pyspark.sql import functions as F
 
+import postsift as ps
 from fixtures import plain_distance
 from postsift.functions import (
     edit_distance,
@@ -246,3 +247,18 @@ def test_syntax_alphabet_matches_ascii_classes(spark):
     letters = [chr(c) for c in range(33, 127) if chr(c) != "@"]
     got = evaluate(spark, [f"{c}x@b.co" for c in letters], has_valid_syntax)
     assert [c for c, ok in zip(letters, got) if ok] == [c for c in letters if c in accepted]
+
+
+def test_sql_functions_are_the_columns(spark):
+    ps.register_sql_functions(spark)
+    texts = [None, "", " ", "  A.B@C.com\t", ".x.@y.org", "no at", "a@b@c.de", "a..b@c.de", "o'brien@x.com", "\u00a0\ufeffZ@z.io", "x" * 70 + "@y.com", "a@b.c\n"]
+    accounts = ["asdfg", "aaaa1", "xkcdqwrt", "ok", "abab.ab", "brgtk58", "qwerty", "a\\1111", None, "12345", "anna"]
+    frame = spark.createDataFrame([(t, a) for t in texts for a in accounts], "raw string, account string")
+    normal = ps.normalize_email(F.col("raw"))
+    columns = [normal["email"], normal["changed"], ps.has_valid_syntax(F.col("raw")), ps.split_email(F.col("raw"))["account"], ps.split_email(F.col("raw"))["domain"], ps.looks_like_filler(F.col("account"))]
+    want = [tuple(r) for r in frame.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).collect()]
+    got = spark.sql(
+        "SELECT email_normalized(raw), email_changed(raw), email_has_valid_syntax(raw), email_account(raw), email_domain(raw), account_is_filler(account) FROM {t}", t=frame
+    ).collect()
+    assert [tuple(r) for r in got] == want
+    assert spark.sql("SELECT recommendation_is_sendable('confirm'), recommendation_is_sendable('reject')").first() == (True, False)

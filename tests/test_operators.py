@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import postsift as ps
 from fixtures import plain_distance
 from postsift.operators.attach import HotKeys, attach, attach_settled
+from postsift.operators.counters import relative_error
 from postsift.operators.membership import off_table, on_table
 from postsift.operators.once import computed_once
 from postsift.operators.registration import (
@@ -18,6 +19,7 @@ from postsift.operators.registration import (
     registration_requests,
     registry_servers,
 )
+from postsift.operators.snapshot import create_snapshot, merge_answers, open_snapshot, snapshot_answers
 from postsift.operators.typo import deletion_variants, find_typos, find_typos_in
 from postsift.sources.lists import (
     BASE_LISTS,
@@ -26,7 +28,7 @@ from postsift.sources.lists import (
     extend_dimension,
     list_dimension,
 )
-from postsift.sources.mail_routing import instant
+from postsift.sources.mail_routing import DNS_SCHEMA, instant, latest_kept, usable_answers
 from postsift.sources.registry import RDAP_SCHEMA, registration_ages, registry_from_bootstrap
 
 # A third of all rows on one key, some rows without a key, some keys without a value.
@@ -284,3 +286,106 @@ def test_registration_worklist_asks_for_domains_that_take_mail(spark):
     people = spark.createDataFrame([("a@gmail.com",), ("b@gmail.com",), ("a@sincorreo.com",), ("a@une.net.co",)], "email string")
     got = ps.registration_worklist(people, registry=registry(spark), dns=zone_frame(spark))
     assert {tuple(r) for r in got.collect()} == {("gmail.com", "https://rdap.com.example/domain/gmail.com")}
+
+
+# --- snapshot upkeep ---------------------------------------------------------------------
+
+
+def answers_frame(spark, rows):
+    """(domain, exchange, code, time) as answers."""
+    return spark.createDataFrame([(d, [(x, 1)] if x else [], c, None, "ENODATA", t) for d, x, c, t in rows], DNS_SCHEMA)
+
+
+@pytest.fixture
+def snapshot(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "checkpoints"))
+    create_snapshot(spark, "kept_answers", 8, str(tmp_path / "kept"))
+    yield "kept_answers"
+    spark.sql("DROP TABLE kept_answers")
+
+
+def test_merged_snapshot_holds_the_newest_answers(spark, snapshot):
+    day = lambda n: datetime(2026, 8, n)
+    first = [("a.com", "mx1.a.com", None, day(1)), ("b.com", "mx.b.com", None, day(3)), ("c.com", None, "ESERVFAIL", day(3)), (None, "x.com", None, day(1)), ("now.com", "m.com", None, None)]
+    second = [("a.com", "mx2.a.com", None, day(2)), ("b.com", "old.b.com", None, day(2)), ("b.com", None, "ESERVFAIL", day(9)), ("d.com", None, "NXDOMAIN", day(4))]
+    assert merge_answers(spark, snapshot, answers_frame(spark, first)) == 2
+    for _ in range(2):  # a merge that is repeated changes nothing
+        merge_answers(spark, snapshot, answers_frame(spark, second))
+        got = {(r["domain"], r["mx"][0]["exchange"] if r["mx"] else r["mx_code"]) for r in snapshot_answers(spark, snapshot).collect()}
+        assert got == {("a.com", "mx2.a.com"), ("b.com", "mx.b.com"), ("d.com", "NXDOMAIN")}
+    union = latest_kept(answers_frame(spark, first + second).where("domain IS NOT NULL"))
+    assert {tuple(r) for r in latest_kept(snapshot_answers(spark, snapshot)).collect()} == {tuple(r) for r in union.collect()}
+    assert merge_answers(spark, snapshot, answers_frame(spark, [("e.com", None, "ETIMEOUT", day(1))])) == 0
+
+
+def test_a_merge_rewrites_touched_buckets_only(spark, snapshot, tmp_path):
+    rows = [(f"d{i}.com", f"mx{i}.com", None, datetime(2026, 8, 1)) for i in range(200)]
+    assert merge_answers(spark, snapshot, answers_frame(spark, rows)) == 8
+    files = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "kept").rglob("*.parquet")}
+    before = files()
+    assert merge_answers(spark, snapshot, answers_frame(spark, [("d7.com", "new.com", None, datetime(2026, 8, 2))])) == 1
+    changed = {f.rsplit("/", 2)[1] for f in files().items() ^ before.items() for f in [f[0]]}
+    assert len(changed) == 1
+    # A new session finds it where it lies.
+    open_snapshot(spark, "kept_again", 8, str(tmp_path / "kept"))
+    assert spark.table("kept_again").count() == 200
+    spark.sql("DROP TABLE kept_again")
+
+
+def test_a_join_reads_the_snapshot_without_an_exchange(spark, snapshot):
+    rows = [(f"d{i}.com", f"mx{i}.com", None, datetime(2026, 8, 1)) for i in range(50)]
+    merge_answers(spark, snapshot, answers_frame(spark, rows))
+    usable = usable_answers(snapshot_answers(spark, snapshot), instant("2026-08-01T01:00:00Z"))
+    assert "Exchange" not in plan_of(usable)
+    domains = spark.range(1000).select(F.concat(F.lit("d"), F.col("id") % 60, F.lit(".com")).alias("domain")).groupBy("domain").count()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")  # as many as buckets, so the domains are hashed once
+    try:
+        joined = domains.join(usable, "domain", "left")
+        plan = plan_of(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert joined.where("kept").count() == 50
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+# --- providers, counters -----------------------------------------------------------------
+
+
+def test_providers_of_hosts(spark):
+    table = spark.createDataFrame([(0, "google.com", "G", None), (1, ".com", "dot", True), (2, "mx.google.com", "late", False), (3, "google.com", "twice", True), (4, None, "none", None), (5, "x" * 300, "long", None)], "ordinal int, mx_suffix string, name string, catch_all boolean")
+    hosts = ["mx.google.com", "google.com", "a.com", "com", ".com", "", None, "a.com", "x.org"]
+    frame = spark.createDataFrame([(h, 1) for h in hosts], "mx string, provider int")
+    got = {tuple(r) for r in ps.provider_matches(frame, table).collect()}
+    assert got == {("mx.google.com", "G", None), ("google.com", "G", None), ("a.com", "dot", True), (".com", "dot", True)}
+    assert ps.provider_matches(frame, table.limit(0)).count() == 0
+    # One row per host and length that occurs: 4, 10 and 13 characters.
+    plan = ps.provider_matches(frame, table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "[4,10,13]" in plan
+
+
+def test_a_long_provider_table_is_not_broadcast(spark, monkeypatch):
+    from postsift.operators import providers
+
+    monkeypatch.setattr(providers, "PROVIDER_BROADCAST_ROWS", 1)
+    table = spark.createDataFrame([(0, "google.com", "G", None), (1, ".com", "dot", True)], "ordinal int, mx_suffix string, name string, catch_all boolean")
+    frame = spark.createDataFrame([("mx.google.com",), ("a.com",), ("b.org",)], "mx string")
+    assert {r[:2] for r in map(tuple, ps.provider_matches(frame, table).collect())} == {("mx.google.com", "G"), ("a.com", "dot")}
+
+
+def test_merged_sketches_count_like_one(spark):
+    rows = spark.range(30_000).select((F.col("id") % 30).cast("int").alias("day"), F.concat(F.lit("d"), F.col("id") % 7000).alias("domain"))
+    rows = rows.unionByName(spark.createDataFrame([(0, None)], "day int, domain string"))
+    sketches = ps.domain_sketches(rows, ["day"])
+    whole = ps.merged_counts(sketches).first()
+    assert whole["requests"] == 30_000
+    assert abs(whole["domains"] - 7000) <= 7000 * relative_error()
+    assert 0.02 < relative_error() < 0.03
+    weekly = ps.merged_counts(sketches, [F.floor(F.col("day") / 7).alias("week")])
+    assert weekly.count() == 5 and weekly.agg(F.sum("requests")).first()[0] == 30_000
