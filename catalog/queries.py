@@ -215,7 +215,7 @@ def typo_long_list(spark, sf_dir):
         F.col("domain").alias("candidate"), (F.col("c_custkey") + 1000).alias("ordinal"), F.lit(False).alias("tier1")
     )
     domains = inputs.run(spark, sf_dir, LOOK_ALIKE_SQL, "customer")
-    return find_typos_in(domains, base.unionByName(grown)).select("domain", "typo.*")
+    return find_typos_in(domains, base.unionByName(grown), settled=checkpoint_folder(spark) is not None).select("domain", "typo.*")
 
 
 # Extensions from the tables: the names of parts as roles, in untidy text.
@@ -541,7 +541,7 @@ def domain_table(spark, sf_dir):
     customers = inputs.table(spark, sf_dir, "customer").where("c_custkey % 2 = 0")
     extra = customers.select(F.concat(F.lit("cliente"), F.col("c_custkey").cast("string"), F.lit(".com.co")).alias("value"), F.col("c_custkey").alias("ordinal"))
     domains = parsed(inputs.contacts(spark, sf_dir)).select("domain").distinct()
-    return ps.find_typos(domains, ps.BASE_LISTS, extra=extra).select("domain", F.col("typo.suggestion").alias("suggestion"))
+    return ps.find_typos(domains, ps.BASE_LISTS, extra=extra, settled=checkpoint_folder(spark) is not None).select("domain", F.col("typo.suggestion").alias("suggestion"))
 
 
 # One contact per customer with all addresses of the customer's orders as an array.

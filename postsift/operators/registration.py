@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsift.operators.attach import attach
+from postsift.operators.settle import checkpoint_folder, settle
 from postsift.sources.registry import REGISTRATION_TTL_MS, registration_ages
 
 # The registry of top-level domains is a small public document (about 1,500 labels).
@@ -20,14 +21,25 @@ def parent_suffixes(domain: Column) -> Column:
     return F.transform(later, lambda i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
 
 
-def registry_servers(domains: DataFrame, registry: DataFrame) -> DataFrame:
+def _sized(registry: DataFrame) -> tuple[DataFrame, int]:
+    """The registry and its number of rows."""
+    if checkpoint_folder(registry.sparkSession) is not None:
+        registry = settle(registry)
+    return registry, registry.count()
+
+
+def registry_servers(domains: DataFrame, registry: DataFrame, rows: int | None = None) -> DataFrame:
     """(domain, base_url) for the distinct domains whose longest listed parent has a server.
 
     The suffix `com` is shared by a large part of all domains, so the suffixes are not
-    hashed against the registry: it is broadcast after its size has been checked.
+    hashed against the registry: it is broadcast after its size has been checked. `rows` is
+    that size, where it is known; else the registry is counted, and settled for that if the
+    session has a checkpoint folder, so that its documents are parsed once.
     """
+    if rows is None:
+        registry, rows = _sized(registry)
     suffixes = domains.select("domain", F.posexplode(parent_suffixes(F.col("domain"))).alias("pos", "tld"))
-    if registry.count() <= REGISTRY_BROADCAST_ROWS:
+    if rows <= REGISTRY_BROADCAST_ROWS:
         matched = suffixes.join(F.broadcast(registry), "tld")
     else:
         matched = attach(suffixes, registry, "tld").where("base_url IS NOT NULL")
@@ -44,9 +56,10 @@ def domain_ages(
     any registry no age is known, and nothing of that is final.
     """
     ages = registration_ages(rdap, as_of, ttl_ms)
-    if registry.limit(1).count() == 0:
+    registry, rows = _sized(registry)
+    if rows == 0:
         return ages.select("domain", F.lit(None).cast("int").alias("age_days"), F.lit(False).alias("cacheable"))
-    served = registry_servers(ages.select("domain"), registry)
+    served = registry_servers(ages.select("domain"), registry, rows)
     known = F.col("base_url").isNotNull()
     return ages.join(served, "domain", "left").select(
         "domain",

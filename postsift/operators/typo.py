@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from postsift.functions.constants import text_array
 from postsift.functions.distance import ROUGH_LIMIT, refine
 from postsift.operators.once import computed_once
+from postsift.operators.settle import settle
 from postsift.functions.text import clean_value
 from postsift.sources.lists import ReferenceLists
 
@@ -73,12 +74,12 @@ def typo_match(domain: Column, lists: ReferenceLists) -> Column:
 
 
 def find_typos(
-    domains: DataFrame, lists: ReferenceLists, inline_limit: int = INLINE_LIMIT, extra: DataFrame | None = None
+    domains: DataFrame, lists: ReferenceLists, inline_limit: int = INLINE_LIMIT, extra: DataFrame | None = None, settled: bool = False
 ) -> DataFrame:
     """Add `typo` = struct<suggestion, high_confidence> to a table of distinct domains.
 
     `extra` is a table of further common domains (`value`, and `ordinal` if their order
-    matters); it never passes through the driver.
+    matters); it never passes through the driver. `settled`: see `find_typos_in`.
     """
     if extra is None and len(lists.common) <= inline_limit:
         found = computed_once(domains, nearest=nearest_common(F.col("domain"), lists))
@@ -95,23 +96,28 @@ def find_typos(
         )
         everything = common.unionByName(added.where("candidate <> ''"))
         common = everything.groupBy("candidate").agg(F.min("ordinal").alias("ordinal"), F.max("tier1").alias("tier1"))
-    return find_typos_in(domains, common)
+    return find_typos_in(domains, common, settled)
 
 
-def find_typos_in(domains: DataFrame, common: DataFrame) -> DataFrame:
+def find_typos_in(domains: DataFrame, common: DataFrame, settled: bool = False) -> DataFrame:
     """The same search against a list of any length (candidate, ordinal, tier1).
 
     First with one deletion on either side, which finds every pair one edit apart. Such a
     hit beats any at two edits, so only domains without one, and long enough for two, go on
-    to two deletions, where keys are many.
+    to two deletions, where keys are many. The domains are needed by both searches and by the
+    result; `settled` writes them, and what the first search found, to the checkpoint folder, so
+    that where they come from is read once.
     """
     domain = F.col("domain")
-    known = common.select(F.col("candidate").alias("domain"))
-    unknown = domains.select("domain").join(known, "domain", "left_anti")
-    one = _nearest_within(unknown, common, 1)
-    rest = unknown.where(F.length(domain) > SHORT_DOMAIN).join(one, "domain", "left_anti")
-    nearest = one.unionByName(_nearest_within(rest, common, 2))
-    return domains.join(nearest, "domain", "left").withColumn("typo", _as_typo(F.col("nearest"))).drop("nearest")
+    kept = settle if settled else lambda frame: frame
+    known = common.select(F.col("candidate").alias("domain"), F.lit(True).alias("ps_known"))
+    told = kept(domains.join(known, "domain", "left").withColumn("ps_known", F.col("ps_known").isNotNull()))
+    one = _nearest_within(told.where("NOT ps_known").select("domain"), common, 1)
+    searched = kept(told.join(one, "domain", "left"))
+    rest = searched.where(~F.col("ps_known") & F.col("nearest").isNull() & (F.length(domain) > SHORT_DOMAIN)).select("domain")
+    two = _nearest_within(rest, common, 2).withColumnRenamed("nearest", "ps_two")
+    found = searched.join(two, "domain", "left").withColumn("typo", _as_typo(F.coalesce("nearest", "ps_two")))
+    return found.drop("nearest", "ps_two", "ps_known")
 
 
 def _nearest_within(unknown: DataFrame, common: DataFrame, limit: int) -> DataFrame:

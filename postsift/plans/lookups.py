@@ -19,13 +19,14 @@ def typo_columns(typo: Column) -> dict[str, Column]:
     return {"typo.suggestion": typo["suggestion"], "typo.high_confidence": typo["high_confidence"]}
 
 
-def asked_domains(parsed: Parsed) -> DataFrame:
+def asked_domains(parsed: Parsed, settled: bool = False) -> DataFrame:
     """Distinct domains that reach the lookups.
 
     Columns: `ps_key`, `ps_rows` (contacts), `ps_dns_rows` (those that reach mail routing),
     `ps_first` (the earliest of these in arrival order) and `ps_typo`. A single aggregate
     with map-side combine: a provider with a third of all contacts arrives as one row
-    per map task, and "who came first" needs no window over its contacts.
+    per map task, and "who came first" needs no window over its contacts. `settled`: a long
+    list of common domains is searched over a settled table of the distinct domains.
     """
     cascade = parsed.cascade
     between = cascade.rules_before("dns")[len(cascade.address_rules) :]
@@ -38,19 +39,19 @@ def asked_domains(parsed: Parsed) -> DataFrame:
             F.count("*").alias("ps_rows"), F.count("*").alias("ps_dns_rows"), F.min(order).alias("ps_first")
         )
         if "typo" in cascade.lookups:
-            domains = _with_typos(domains, parsed)
+            domains = _with_typos(domains, parsed, settled)
     else:
         # A rule ahead of mail routing mixes account and typo: typos are still searched per
         # domain, then brought to the contacts, and the rule decides for each of them.
         typos = reached.groupBy("ps_key").agg(F.count("*").alias("ps_rows"))
         if "typo" in cascade.lookups:
-            typos = _with_typos(typos, parsed)
+            typos = _with_typos(typos, parsed, settled)
         else:
             typos = typos.withColumn("ps_typo", F.lit(None).cast("struct<suggestion:string,high_confidence:boolean>"))
         view = replace(parsed.view, looked_up=typo_columns(F.col("ps_typo")), notes=_notes_so_far(parsed))
         alive = ~any_cut([c for e in cascade.evaluate(view, between) for c in e.cuts])
         domains = (
-            attach(reached, typos, "ps_key", "ps_rows")
+            attach(reached, typos.drop("ps_rows"), "ps_key")
             .withColumn("ps_alive", alive)
             .groupBy("ps_key")
             .agg(
@@ -74,8 +75,9 @@ def asked_domains(parsed: Parsed) -> DataFrame:
     return domains
 
 
-def _with_typos(domains: DataFrame, parsed: Parsed) -> DataFrame:
-    found = find_typos(domains.withColumnRenamed("ps_key", "domain"), parsed.cascade.options.lists, extra=parsed.cascade.options.domain_table)
+def _with_typos(domains: DataFrame, parsed: Parsed, settled: bool) -> DataFrame:
+    options = parsed.cascade.options
+    found = find_typos(domains.withColumnRenamed("ps_key", "domain"), options.lists, extra=options.domain_table, settled=settled)
     return found.withColumnRenamed("domain", "ps_key").withColumnRenamed("typo", "ps_typo")
 
 

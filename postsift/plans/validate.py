@@ -65,7 +65,7 @@ def validate(
     fan_out: bool = True,
     keep_fields: bool = True,
     settled: bool = False,
-    hot_keys: HotKeys = DEFAULT_HOT_KEYS,
+    hot_keys: HotKeys | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     answered: DataFrame | None = None,
     observe: Observation | None = None,
@@ -90,13 +90,15 @@ def validate(
                 folder (which must be set), so its size is known and the contacts are joined
                 to a broadcast of it within `broadcast_rows`, without a shuffle. False, the
                 default: everything is lazy, and contacts are shuffled once (see `attach`)
+    `hot_keys`  marks hot domains ahead of that shuffle; without it the adaptive skew join
+                splits them, and contacts are read one time less
     """
     cascade = Cascade(tuple(rules), options)
     parsed = parse_contacts(contacts, email, cascade, order_by, fan_out)
     clock = instant(as_of)
     frame = parsed.frame
     if cascade.lookups:
-        facts = asked_domains(parsed)
+        facts = asked_domains(parsed, settled)
         if "dns" in cascade.lookups:
             answers = None if dns is None else usable_answers(dns, clock, options.cache_ttl_ms)
             facts = with_mail_routing(facts, answers, parsed)
@@ -107,9 +109,10 @@ def validate(
             facts = with_domain_age(facts, ages)
         facts = facts.drop("ps_dns_rows")
         if settled:
-            frame = attach_settled(frame, settle(facts), "ps_key", "ps_rows", hot_keys, broadcast_rows)
+            frame = attach_settled(frame, settle(facts), "ps_key", "ps_rows", hot_keys or DEFAULT_HOT_KEYS, broadcast_rows)
         else:
-            frame = attach(frame, facts, "ps_key", "ps_rows", hot_keys)
+            # The facts are costly, so the marks are not taken from their row counts.
+            frame = attach(frame, facts.drop("ps_rows"), "ps_key", hot_keys=hot_keys)
     return _assemble(frame, parsed, clock, keep_fields, observe)
 
 

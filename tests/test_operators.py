@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 import postsift as ps
 from fixtures import plain_distance
-from postsift.operators.attach import HotKeys, attach, attach_settled
+from postsift.operators.attach import HotKeys, _marks, attach, attach_settled
 from postsift.operators.counters import relative_error
-from postsift.operators.membership import off_table, on_table
+from postsift.operators.membership import attach_listed, off_table, on_table, with_hint
 from postsift.operators.once import computed_once
 from postsift.operators.registration import (
     domain_ages,
@@ -389,3 +389,53 @@ def test_merged_sketches_count_like_one(spark):
     assert 0.02 < relative_error() < 0.03
     weekly = ps.merged_counts(sketches, [F.floor(F.col("day") / 7).alias("week")])
     assert weekly.count() == 5 and weekly.agg(F.sum("requests")).first()[0] == 30_000
+
+
+# --- hot keys by a sketch, long lists by a map of bits -----------------------------------
+
+
+def test_sketch_marks_every_hot_key(spark):
+    rows = spark.range(60_000).select(F.concat(F.lit("k"), F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 10 == 1, 1).otherwise(F.col("id"))).alias("key"))
+    counts = {r["key"]: r["count"] for r in rows.groupBy("key").count().where("count >= 1000").collect()}
+    marks = _marks(rows, rows, "key", None, HotKeys(1000, 50))
+    got = {r["key"]: r["ps_shares"] for r in marks.collect()}
+    assert got.keys() == counts.keys() == {"k0", "k1"}
+    assert all(got[k] >= counts[k] // 1000 for k in counts)
+
+
+def test_left_to_itself_attach_reads_both_sides_once(spark, tmp_path):
+    for name, data in (("rows", SKEWED), ("values", [(f"k{i}", i) for i in range(30)])):
+        spark.createDataFrame(data, "id int, key string" if name == "rows" else "key string, value int").write.parquet(f"{tmp_path}/{name}")
+    rows, values = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("rows", "values"))
+    joined = attach(rows, values, "key")
+    assert plan_of(joined).count("FileScan parquet") == 2
+    known = {f"k{i}": i for i in range(30)}
+    assert sorted(map(tuple, joined.select("id", "value").collect()), key=lambda r: r[0]) == [(i, known.get(k)) for i, k in SKEWED]
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        assert "approx_top_k" in attach(rows, values, "key")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+
+
+def test_hints_miss_no_value(spark):
+    values = spark.range(0, 3000, 3).select(F.concat(F.lit("v"), F.col("id")).alias("key"))
+    rows = spark.range(3000).select(F.concat(F.lit("v"), F.col("id")).alias("key"), "id").unionByName(spark.createDataFrame([(None, -1)], "key string, id bigint"))
+    hinted = {r["id"]: r["ps_maybe"] for r in with_hint(rows, "key", values).collect()}
+    assert all(hinted[i] for i in range(0, 3000, 3)) and hinted[-1] is False
+    assert sum(hinted.values()) < 1010
+
+
+def test_only_hits_are_shuffled(spark, tmp_path):
+    """A list beyond the broadcast bound: rows without a hit reach the result without an exchange."""
+    listed = spark.range(1000).select(F.concat(F.lit("d"), F.col("id"), F.lit(".com")).alias("value"))
+    rows = spark.range(20_000).select(F.concat(F.lit("d"), F.col("id"), F.lit(".com")).alias("key"), "id")
+    flagged = attach_listed(rows, listed.select(F.col("value").alias("key"), F.lit(True).alias("on")), "key", "on")
+    assert flagged.where("on").count() == 1000 and flagged.count() == 20_000
+    executed = flagged.where("id >= 0")
+    executed.collect()
+    text = executed._jdf.queryExecution().executedPlan().toString()
+    second = text[text.rindex("BroadcastHashJoin") :]
+    assert "SortMergeJoin" not in second and "ShuffledHashJoin" not in second
+    assert {r["id"] for r in on_table(rows, "key", listed).collect()} == set(range(1000))
+    assert off_table(rows, "key", listed).count() == 19_000
