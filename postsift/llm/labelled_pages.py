@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 
 def keep(text: str) -> tuple[str]:
     """A block that belongs to the article."""
@@ -62,3 +65,78 @@ PAGES = (
     page(NAV, "<article><div><a href='/r'>", keep("Read the first part"), "</a></div><div>", keep("Here is the second."), "</div><table><tr><td>", keep("May"), "</td><td>", keep("June"), "</td></tr></table><figure><figcaption>", keep("The well in June"), "</figcaption></figure></article>", FOOTER),
     page(HEADER, "<main><section><h3>", keep("Bees"), "</h3><div>", keep("They slept."), "</div></section><section><h3>", keep("Wasps"), "</h3><div>", keep("They did not."), "</div></section></main>", SIDEBAR),
 )
+
+#: Elements whose names tell what they hold, as plain ones.
+TELLING = re.compile(r"<(/?)(?:nav|menu|aside|footer|header|form|dialog|article|main|section)\b")
+ATTRIBUTES = re.compile(r"\s(?:class|id|role)='[^']*'")
+
+
+def unnamed(html: str) -> str:
+    """The page without any name that tells what a part of it is."""
+    return TELLING.sub(r"<\1div", ATTRIBUTES.sub("", html))
+
+
+#: The same pages without telling names: here words, links and neighbours must decide.
+UNNAMED_PAGES = tuple((unnamed(html), wanted) for html, wanted in PAGES)
+
+# --- pages made by rule --------------------------------------------------------------------
+
+WORDS = f"{LONG} {LONGER} {THIRD} {MIDDLE}".replace(",", "").replace(".", "").lower().split()
+
+#: What is not the article: (element with a telling name, classes that tell, content by `says` and `links`).
+BOILER = {
+    "header": ("header", ("header", "masthead"), "<h1>{t3}</h1><p>{t9}</p>"),
+    "nav": ("nav", ("menu", "navbar"), "<ul>{links}</ul>"),
+    "inline nav": ("nav", ("menu", "breadcrumb"), "{inline}"),
+    "ad": ("div", ("ad", "promo"), "{t9}"),
+    "long ad": ("div", ("advert", "sponsored"), "<p>{t25}</p>"),
+    "notice": ("div", ("cookie-banner", "notice"), "{t25}"),
+    "sidebar": ("aside", ("sidebar", "widget"), "<h3>{t3}</h3><p>{t25}</p>{inline}"),
+    "share": ("div", ("share", "social"), "{inline}"),
+    "related": ("aside", ("related", "recommended"), "<h3>{t3}</h3><ul>{links}</ul>"),
+    "form": ("form", ("search", "newsletter"), "<label>{t3}</label><input name='q'><p>{t9}</p>"),
+    "comments": ("section", ("comments", "replies"), "<h3>{t3}</h3><div><p>{t25}</p></div><div><p>{t9}</p></div>"),
+    "footer": ("footer", ("footer", "legal"), "&copy; {t9}"),
+    "long footer": ("footer", ("footer", "copyright"), "<p>{t25}</p>{inline}"),
+}
+BEFORE, BETWEEN, AFTER = ("header", "nav", "inline nav", "ad", "notice"), ("ad", "long ad", "share", "notice"), ("sidebar", "related", "form", "comments", "share")
+#: What an article is made of, the longest of its texts in words; a part that stands twice is met twice as often.
+ARTICLE = (
+    ("<p>", "</p>", 60), ("<p>", "</p>", 60), ("<p>", "</p>", 30), ("<p>", "</p>", 5), ("<p><b>", "</b></p>", 12), ("<h2>", "</h2>", 6),
+    ("<ul><li>", "</li></ul>", 8), ("<div>", "</div>", 40), ("<blockquote>", "</blockquote>", 25), ("<table><tr><td>", "</td></tr></table>", 3), ("<p><a href='/s'>", "</a></p>", 6),
+    ("<pre>", "</pre>", 10), ("<figure><figcaption>", "</figcaption></figure>", 8),
+)
+
+
+def made_page(seed: int) -> tuple[str, frozenset[str]]:
+    """An invented page: names tell by element, by class, or not at all (every third page each)."""
+    rng, style = random.Random(seed), seed % 3
+
+    def says(n: int) -> str:
+        return " ".join(rng.choice(WORDS) for _ in range(rng.randint(max(1, n // 2), n))).capitalize() + rng.choice(("", "."))
+
+    def boiler(kind: str) -> str:
+        element, classes, content = BOILER[kind]
+        links = [f"<a href='/{k}'>{says(2)}</a>" for k in range(rng.randint(2, 7))]
+        inside = content.format(t3=says(3), t9=says(9), t25=says(25), links="".join(f"<li>{x}</li>" for x in links), inline=rng.choice((" ", " | ")).join(links))
+        if style == 2:
+            return f"<div>{inside}</div>"
+        return f"<{element}>{inside}</{element}>" if style == 0 and element != "div" else f"<div class='{rng.choice(classes)}'>{inside}</div>"
+
+    parts: list[str | tuple[str]] = [boiler(k) for k in BEFORE if rng.random() < 0.6]
+    parts.append(("<article>", "<div class='content'>", "<div>")[style])
+    if rng.random() < 0.8:
+        parts += ["<h1>", keep(says(8)), "</h1>"]
+    for _ in range(rng.randint(1, 9)):
+        begin, end, longest = rng.choice(ARTICLE)
+        parts += [begin, keep(says(longest)), end]
+        if rng.random() < 0.15:
+            parts.append(boiler(rng.choice(BETWEEN)))
+    parts.append("</article>" if style == 0 else "</div>")
+    parts += [boiler(k) for k in AFTER if rng.random() < 0.4]
+    parts.append(boiler(rng.choice(("footer", "long footer"))))
+    return page(*parts)
+
+
+#: The labelled table: pages by hand, the same without names, and pages made by rule.
+LABELLED = (*PAGES, *UNNAMED_PAGES, *(made_page(seed) for seed in range(180)))

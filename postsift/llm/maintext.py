@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from postsift.llm.labelled_pages import PAGES
+from postsift.llm.labelled_pages import LABELLED
 
 #: Elements whose content is no text of the page.
 SILENT = frozenset("script style noscript template svg math iframe object canvas audio video textarea select option datalist button head title".split())
@@ -47,13 +48,30 @@ BOILER_WORDS = frozenset(
     recommended widget toolbar pagination pager copyright legal disclaimer dialog complementary contentinfo form""".split()
 )
 MAIN_WORDS = frozenset("article content post entry story main body text".split())
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "boiler", "header", "main", "page_has_main", "heading", "paragraph")
-
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+#: What a block and its neighbours are like: words, link density, kind of line, place on the page.
+AROUND = tuple(f"{what}{where}" for where in ("", "_before", "_after") for what in ("words", "links", "heading", "paragraph", "item")) + ("from_start", "from_end", "long_before", "long_after")
+#: What names say about a block.
+NAMED = ("boiler", "header", "main", "page_has_main")
+FEATURES = AROUND + NAMED
+#: Names may split only below so many splits by what is around.
+NAMES_BELOW = 2
+#: Words of a block that counts as long.
+LONG_BLOCK = 15
+#: Nesting that is followed; elements below it are read, but their ends and kinds are not kept.
+DEEPEST = 256
+
+TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)", re.S)
+STOPS = re.compile("[>\"']")
+#: A last attribute value without quotes, to which a slash at its end belongs.
+BARE_VALUE = re.compile(r"=\s*[^\s\"'>]+\Z")
 NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S | re.I)
 WORD_PARTS = re.compile(r"[a-z]+")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+GROUPS = {
+    **{name: ("any silent",) for name in SILENT},
+    **{name: ("any heading",) for name in HEADINGS},
+    **{name: ("any item",) for name in ("li", "dt", "dd", "td", "th")},
+}
 
 
 @dataclass
@@ -65,6 +83,7 @@ class Block:
     main: int
     heading: int
     paragraph: int
+    item: int
 
     @property
     def words(self) -> int:
@@ -85,30 +104,37 @@ class Reader:
     stack: list[Open] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
+    inside: Counter = field(default_factory=Counter)
+
+    def push(self, name: str, kinds: tuple[str, ...]) -> None:
+        if len(self.stack) < DEEPEST:
+            self.stack.append(Open(name, kinds))
+            self.inside.update((name, *kinds, *GROUPS.get(name, ())))
 
-    def kind(self, name: str) -> int:
-        return sum(name in o.kinds for o in self.stack)
+    def pop(self, k: int) -> None:
+        """Close the elements from place k on."""
+        for o in self.stack[k:]:
+            self.inside.subtract((o.name, *o.kinds, *GROUPS.get(o.name, ())))
+        del self.stack[k:]
 
     def end_block(self) -> None:
         text = " ".join(html.unescape("".join(self.parts)).split())
         if text:
             linked = len("".join(html.unescape("".join(self.linked)).split()))
             share = min(1.0, linked / max(1, len(text.replace(" ", ""))))
-            heading, paragraph = (int(any(o.name in names for o in self.stack)) for names in (HEADINGS, ("p",)))
-            kinds = (int(self.kind(k) > 0) for k in ("boiler", "header", "main"))
-            self.blocks.append(Block(text, share, *kinds, heading, paragraph))
+            self.blocks.append(Block(text, share, *(int(self.inside[k] > 0) for k in ("boiler", "header", "main", "any heading", "p", "any item"))))
         self.parts, self.linked = [], []
 
     def end_head(self) -> None:
         while self.stack and self.stack[-1].name == "head":
-            self.stack.pop()
+            self.pop(len(self.stack) - 1)
 
     def text(self, text: str) -> None:
         if text.strip(" \t\n\f\r"):
             self.end_head()
-        if text and not any(o.name in SILENT for o in self.stack):
+        if text and self.inside["any silent"] <= 0:
             self.parts.append(text)
-            if any(o.name == "a" for o in self.stack):
+            if self.inside["a"] > 0:
                 self.linked.append(text)
 
     def start(self, name: str, attributes: str) -> None:
@@ -126,12 +152,13 @@ class Reader:
             for k in range(len(self.stack) - 1, -1, -1):
                 own = self.stack[k].name
                 if own == "p" or (group and own in group):
-                    del self.stack[k:]
+                    self.pop(k)
                     break
                 if own not in INLINE:
                     break
-        if name in VOID or attributes.rstrip().endswith("/"):
-            return
+        foreign = self.inside["svg"] > 0 or self.inside["math"] > 0 or name in ("svg", "math")
+        if name in VOID or (foreign and attributes.rstrip().endswith("/") and not BARE_VALUE.search(attributes)):
+            return  # only foreign elements close themselves; elsewhere the slash says nothing
         kinds = []
         if name in BY_ELEMENT:
             kinds.append(BY_ELEMENT[name])
@@ -141,45 +168,98 @@ class Reader:
                 kinds.append("boiler")
             elif named & MAIN_WORDS:
                 kinds.append("main")
-        self.stack.append(Open(name, tuple(kinds)))
+        self.push(name, tuple(kinds))
 
     def end(self, name: str) -> None:
         if name not in INLINE:
             self.end_block()
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k].name == name:
-                del self.stack[k:]
+                self.pop(k)
                 return
             if name in INLINE and self.stack[k].name not in INLINE:
                 return
 
 
+@dataclass
+class Scanner:
+    """Finds the tags of a page from left to right, every character a bounded number of times."""
+
+    page: str
+    last: int = 0
+    #: Quotes ahead of this place are not looked at: one of them is never closed.
+    plain_until: int = 0
+
+    def __post_init__(self) -> None:
+        self.last = self.page.rfind(">")
+
+    def end_of_tag(self, at: int) -> int:
+        """The place of the `>` that ends the tag at `at`: the first one outside quotes."""
+        page, k = self.page, at
+        while at >= self.plain_until:
+            stop = STOPS.search(page, k)
+            if stop is None:
+                break
+            if stop[0] == ">":
+                return stop.start()
+            k = page.find(stop[0], stop.end()) + 1
+            if not k:
+                self.plain_until = stop.start() + 1
+        return page.find(">", at)
+
+    def tags(self) -> Iterator[tuple[int, int]]:
+        """(begin, end) of everything between angle brackets; the caller may skip ahead by `send`."""
+        page, at = self.page, 0
+        while True:
+            begin = page.find("<", at)
+            if begin < 0 or begin > self.last:
+                break
+            mark = page[begin + 1 : begin + 9]
+            if mark.startswith("!--"):
+                end = page.find("-->", begin + 4)
+                end = len(page) if end < 0 else end + 3
+            elif mark == "![CDATA[":
+                end = page.find("]]>", begin)
+                end = len(page) if end < 0 else end + 3
+            elif mark[:1] in ("!", "?"):
+                end = page.find(">", begin) + 1
+            elif TAG.match(page, begin + 1):
+                end = self.end_of_tag(begin) + 1
+            else:
+                at = begin + 1
+                continue
+            moved = yield begin, end
+            at = end if moved is None else moved
+            if moved is not None:
+                yield begin, end
+
+
+def end_of_raw(page: str, name: str, at: int) -> int:
+    """Behind the closing tag of an element whose content is no markup; the end of the page without one."""
+    closing = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
+    end = page.find(">", closing.end()) if closing else -1
+    return end + 1 if end >= 0 else len(page)
+
+
 def read_blocks(page: str) -> list[Block]:
-    """The text blocks of a page, in page order."""
+    """The text blocks of a page, in page order, in time linear in its length."""
     reader, at = Reader(), 0
-    while True:
-        found = TAG.search(page, at)
+    tags = Scanner(page).tags()
+    for begin, end in tags:
+        reader.text(page[at:begin])
+        at = end
+        found = TAG.match(page, begin + 1)
         if found is None:
-            break
-        begin = page.find("<", at)
-        if begin < found.start():
-            # A tag with an open quote: it ends at the next `>`.
-            plain = PLAIN_TAG.match(page, begin)
-            if plain is not None:
-                found = plain
-        reader.text(page[at : found.start()])
-        at = found.end()
-        name = found[2].lower() if found.lastindex and found[2] else None
-        if name is None:
             continue
+        name = found[2].lower()
         if found[1]:
             reader.end(name)
             continue
-        reader.start(name, found[3] or "")
+        reader.start(name, page[found.end() : end - 1])
         if name in RAW and reader.stack and reader.stack[-1].name == name:
-            closing = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            reader.stack.pop()
-            at = closing.end() if closing else len(page)
+            reader.pop(len(reader.stack) - 1)
+            at = end_of_raw(page, name, end)
+            tags.send(at)
     reader.text(page[at:])
     reader.end_block()
     return reader.blocks
@@ -190,13 +270,15 @@ def features(blocks: list[Block]) -> np.ndarray:
     n = len(blocks)
     out = np.zeros((n, len(FEATURES)))
     if n:
-        words, links = np.array([b.words for b in blocks]), np.array([b.links for b in blocks])
-        out[:, 0], out[:, 1] = words, links
-        out[1:, 2], out[1:, 3] = words[:-1], links[:-1]
-        out[:-1, 4], out[:-1, 5] = words[1:], links[1:]
-        out[:, 6:9] = [(b.boiler, b.header, b.main) for b in blocks]
-        out[:, 9] = any(b.main for b in blocks)
-        out[:, 10:12] = [(b.heading, b.paragraph) for b in blocks]
+        own = np.array([(b.words, b.links, b.heading, b.paragraph, b.item) for b in blocks], float)
+        out[:, :5] = own
+        out[1:, 5:10] = own[:-1]
+        out[:-1, 10:15] = own[1:]
+        out[:, 15], out[:, 16] = np.arange(n), np.arange(n)[::-1]
+        long = (own[:, 0] >= LONG_BLOCK) & (own[:, 1] < 0.5)
+        out[:, 17], out[:, 18] = np.cumsum(long) - long, np.cumsum(long[::-1])[::-1] - long
+        out[:, 19:22] = [(b.boiler, b.header, b.main) for b in blocks]
+        out[:, 22] = any(b.main for b in blocks)
     return out
 
 
@@ -210,17 +292,21 @@ class Tree:
     right: list[int] = field(default_factory=list)
     value: list[bool] = field(default_factory=list)
 
-    def grow(self, x: np.ndarray, y: np.ndarray, depth: int, least: int) -> int:
+    def grow(self, x: np.ndarray, y: np.ndarray, depth: int, least: int, level: int = 0) -> int:
+        """Splits by what is around; names come in below NAMES_BELOW, where that leaves a doubt."""
         node = len(self.value)
         for column, empty in ((self.feature, -1), (self.threshold, 0.0), (self.left, -1), (self.right, -1), (self.value, bool(2 * y.sum() >= len(y)))):
             column.append(empty)
-        split = best_split(x, y, least) if depth and 0 < y.sum() < len(y) else None
+        split = None
+        if depth and 0 < y.sum() < len(y):
+            split = best_split(x[:, : len(AROUND)], y, least) if level < NAMES_BELOW else None
+            split = split or best_split(x, y, least)
         if split is not None:
             k, cut = split
             low = x[:, k] <= cut
             self.feature[node], self.threshold[node] = k, cut
-            self.left[node] = self.grow(x[low], y[low], depth - 1, least)
-            self.right[node] = self.grow(x[~low], y[~low], depth - 1, least)
+            self.left[node] = self.grow(x[low], y[low], depth - 1, least, level + 1)
+            self.right[node] = self.grow(x[~low], y[~low], depth - 1, least, level + 1)
         return node
 
     def predict(self, x: np.ndarray) -> np.ndarray:
@@ -265,10 +351,10 @@ def labelled_blocks(pages) -> tuple[np.ndarray, np.ndarray]:
 
 
 @cache
-def trained(depth: int = 8, least: int = 2) -> Tree:
+def trained(depth: int = 12, least: int = 2) -> Tree:
     """The tree of the labelled table; training takes milliseconds and is the same everywhere."""
     tree = Tree()
-    tree.grow(*labelled_blocks(PAGES), depth, least)
+    tree.grow(*labelled_blocks(LABELLED), depth, least)
     return tree
 
 
