@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Relative weight of a source at the start and at the end of training, linear between.
 SCHEDULES = ((1.5, 0.5), (0.5, 1.5), (1.0, 1.0))
@@ -97,7 +98,8 @@ def curriculum_mix(
     A null source is a source of its own. Null and empty texts have no words and are never
     taken; if no document has words every target is 0. Rows that repeat a doc_id are mixed
     each for itself. Columns of the input named like the added ones give way to them. The
-    order inside a source is that of md5(doc_id), then doc_id and size, so reruns agree.
+    order inside a source is that of md5(doc_id), then doc_id and size; rows without an id follow,
+    by a hash of what they hold. So reruns agree.
 
     Words before a document: a sum over 4,096 ranges of the order per source, then a window
     inside each range, so that a source with a third of all rows is spread over as many tasks.
@@ -105,9 +107,13 @@ def curriculum_mix(
     size = size.cast("bigint")
     taken_names = {c.lower() for c in COLUMNS}
     payload = [c for c in docs.columns if c.lower() not in taken_names]
-    digest = F.coalesce(F.md5(docs[f"`{doc_id}`"].cast("string")), F.lit("none"))
+    # Rows without an id are spread by what they hold.
+    held = [docs[f"`{f.name}`"] for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    unnamed = F.concat(F.lit("n"), F.md5(F.xxhash64(*held).cast("string")))
+    digest = F.coalesce(F.md5(docs[f"`{doc_id}`"].cast("string")), unnamed)
+    # One struct, so that no name of the input meets a name used here.
     rows = docs.select(
-        *[docs[f"`{c}`"] for c in payload],
+        F.struct(F.lit(None).alias("none"), *[docs[f"`{c}`"].alias(f"c{k}") for k, c in enumerate(payload)]).alias("mix_payload"),
         size.alias("mix_size"),
         F.coalesce(F.concat(F.lit("s"), docs[f"`{source}`"]), F.lit("n")).alias("mix_key"),
         F.substring(digest, 1, 3).alias("mix_range"),
@@ -155,4 +161,4 @@ def curriculum_mix(
     if ordered:
         # The digest spreads documents that are never taken over many ranges.
         mixed = mixed.orderBy(F.col("mix_position").asc_nulls_last(), "mix_digest", "mix_doc")
-    return mixed.select(*[F.col(f"`{c}`") for c in payload], *COLUMNS)
+    return mixed.select(*[F.col("mix_payload")[f"c{k}"].alias(c) for k, c in enumerate(payload)], *COLUMNS)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsift.llm.components import components
-from postsift.llm.tables import settled
+from postsift.llm.tables import settled, with_row_key
 from postsift.llm.texthash import mixed, ngram_hashes, span_hashes, text_slices, words_of
 
 
@@ -280,18 +280,31 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     Words are runs of characters other than 0x20 and 0x09 to 0x0D. A text with fewer words
     than n is one n-gram by itself, so it is linked to texts of the same words only. Null
-    and wordless texts are in no link and each a class of its own. Of rows that repeat a
-    doc_id one counts, that with the smallest set name. Null ids take no part.
+    and wordless texts are in no link and each a class of its own. Rows that repeat a doc_id
+    are documents of their own, with a row each in the result. Null ids take no part.
 
     Copies are counted by an aggregate and never paired; large groups are compared in blocks.
     """
-    given = docs.select(docs[f"`{doc_id}`"].cast("bigint").alias("doc_id"), docs[f"`{text}`"].alias("text")).where("doc_id IS NOT NULL")
+    chosen = docs.select(docs[f"`{doc_id}`"].cast("bigint").alias("llm_id"), docs[f"`{text}`"].alias("text"))
+    rows, unique = with_row_key(chosen, "llm_id", "text", "doc_id")
+    found = _joined(rows.select("doc_id", "text"), options)
+    if unique:
+        return found
+    # The keys follow the ids, so the smallest key of a class has its smallest id.
+    for name in ("doc_id", "class_id", "set_id"):
+        ids = rows.select(F.col("doc_id").alias("llm_key"), "llm_id")
+        found = found.withColumnRenamed(name, "llm_key").join(ids, "llm_key").drop("llm_key").withColumnRenamed("llm_id", name)
+    return found.select("doc_id", "class_id", "n_links", "set_id")
+
+
+def _joined(given: DataFrame, options: JoinOptions) -> DataFrame:
+    """`jaccard_join` of rows (doc_id, text) whose ids are unique."""
     named = settled(sketched(given, options))
-    one = named.groupBy("doc_id").agg(F.min(F.struct("set_a", "set_b", "grams")).alias("s")).select("doc_id", "s.*")
+    one = named.select("doc_id", "set_a", "set_b", "grams")
     worded = one.where("grams > 0")
     reps = settled(worded.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("grams").alias("grams")))
-    marks = named.select(F.col("doc_id").alias("rep"), "set_a", "set_b", "sketch").dropDuplicates(["rep", "set_a", "set_b"])
-    sets = settled(reps.join(marks, ["rep", "set_a", "set_b"]).select("rep", "sketch"))
+    marks = named.select(F.col("doc_id").alias("rep"), "sketch")
+    sets = settled(reps.join(marks, "rep").select("rep", "sketch"))
 
     groups = components(candidate_links(sets, options)).withColumnRenamed("node", "rep").withColumnRenamed("root", "grp")
     sized = groups.join(reps, "rep")

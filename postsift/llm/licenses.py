@@ -16,6 +16,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postsift.llm.tables import settled
 from postsift.operators.once import computed_once
 
 #: The parts that short licenses share.
@@ -164,7 +165,8 @@ def license_scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     hinted = computed_once(worded, known=F.array_intersect(bigrams_of(F.col("words")), F.array(*map(F.lit, known)))).where(F.size("known") >= lowest)
     hopeful = F.array_contains(F.array(*[shared("known", t) >= lo for t, (lo, _) in zip(templates, bounds, strict=True)]), True)
     # Few texts are left; they are dealt anew, as cutting them is the work.
-    chosen = hinted.where(hopeful).select("doc_id", "text", "known").repartition("doc_id", "text")
+    # Both kinds of units are cut from them, so they are written down and searched for once.
+    chosen = settled(hinted.where(hopeful).select("doc_id", "text", "known")).repartition("doc_id", "text")
 
     units = single_units(chosen).unionByName(run_units(chosen, highest + 1))
     # A unit has fewer bigrams than words, and at least as many as different words less one.

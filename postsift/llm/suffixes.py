@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postsift.llm.tables import stored
+from postsift.llm.tables import stored, with_row_key
 from postsift.llm.texthash import BYTE_VALUES, _BASE, _INVERSE, mixed, powers, repeated, text_slices
 
 #: Bytes of the k-gram that names a string.
@@ -30,11 +30,16 @@ ARRAY_BYTES = 1 << 20
 #: Different surroundings of a fingerprint that are compared in one task; more are compared
 #: string by string, by a sort on their hashes.
 MOST_CONTEXTS = 4096
+#: Symbols of one suffix array: the names of two thirds of them must fit into 21 bits. A group
+#: that would not fit beside ARRAY_BYTES is compared string by string too.
+MOST_SYMBOLS = 3_000_000
 
 
 def suffix_order(symbols: np.ndarray, width: int) -> np.ndarray:
     """Places of `symbols` (from 1 on) ordered by at least the next `width` symbols."""
     n = len(symbols)
+    if n > MOST_SYMBOLS:
+        raise ValueError(f"a suffix array takes at most {MOST_SYMBOLS} symbols")
     size = -(-n // 3) * 3 + 3
     s = np.zeros(size + 3, np.int64)
     s[:n] = symbols
@@ -164,8 +169,9 @@ def repeated_passages(
     (start, end), `kept` is what remains, in bytes; if `decoded`, it is a string without the
     characters of which a part was removed. Columns in `keep` pass through; they must not
     have the name of another one. A text shorter than `width` loses
-    nothing. Of rows that repeat a doc_id the one with the smallest text counts; null ids
-    take no part. `width` is from 25 to 65,559. Further columns are not read.
+    nothing. Rows that repeat a doc_id are documents of their own, in the order of the digests
+    of their texts, with a row each in the result; null ids take no part. `width` is from 25 to
+    65,559. Further columns are not read.
 
     Texts are dealt by doc_id once. What is moved besides is one narrow row per run of strings
     with the same k-gram (about one for 39 bytes), the bytes around those k-grams only that
@@ -173,11 +179,11 @@ def repeated_passages(
     """
     if not GRAM < width < GRAM + (1 << 16):
         raise ValueError(f"width must be from {GRAM + 1} to {GRAM + (1 << 16) - 1}")
-    given = docs.select(docs[f"`{doc_id}`"].cast("bigint").alias("doc_id"), F.coalesce(docs[f"`{text}`"], F.lit("")).alias("text"), *[docs[f"`{c}`"] for c in keep])
-    texts = given.where("doc_id IS NOT NULL")
+    given = docs.select(docs[f"`{doc_id}`"].cast("bigint").alias("llm_id"), F.coalesce(docs[f"`{text}`"], F.lit("")).alias("text"), *[docs[f"`{c}`"] for c in keep])
     # Ids are counted first: where each is alone, texts need no sorting out.
-    if texts.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        texts = texts.withColumn("llm_row", F.row_number().over(W.partitionBy("doc_id").orderBy("text", *keep))).where("llm_row = 1").drop("llm_row")
+    texts, unique = with_row_key(given, "llm_id", "text", "doc_id")
+    texts = texts.select("doc_id", "text", *keep, *([] if unique else ["llm_id"]))
+    most_contexts = min(MOST_CONTEXTS, (MOST_SYMBOLS - ARRAY_BYTES) // (2 * width))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,7 +232,7 @@ def repeated_passages(
                 for k, list_ in enumerate(batch.column(2).slice(i, j - i)):
                     for mark in list_.values.to_pylist():
                         begin = int(bounds[k]) + mark["first"]
-                        if mark["kinds"] <= MOST_CONTEXTS:
+                        if mark["kinds"] <= most_contexts:
                             out.append((mark["fp"], 0, ids[i + k], mark["first"], buf[begin : begin + mark["more"] + width].tobytes()))
                             continue
                         hashed = hashed or Hashed(buf)
@@ -309,4 +315,5 @@ def repeated_passages(
     passed = texts.columns
     added = f"n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start: bigint, end: bigint>>, kept {'string' if decoded else 'binary'}"
     schema = T.StructType([*texts.schema.fields, *T.StructType.fromDDL(added).fields])
-    return texts.join(per_doc, "doc_id", "left").select(*passed, "runs").mapInArrow(removed, schema)
+    found = texts.join(per_doc, "doc_id", "left").select(*passed, "runs").mapInArrow(removed, schema)
+    return found if unique else found.drop("doc_id").select(F.col("llm_id").alias("doc_id"), *[c for c in found.columns if c not in ("doc_id", "llm_id")])

@@ -8,6 +8,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postsift.operators.settle import checkpoint_folder, settle
 
@@ -47,6 +48,21 @@ def settled(frame: DataFrame) -> DataFrame:
     return settle(frame)
 
 
+def with_row_key(docs: DataFrame, doc_id: str, text: str, key: str) -> tuple[DataFrame, bool]:
+    """The rows with an id, and `key` (bigint): one of its own for every row, in the order of the ids.
+
+    Where ids are unique (the second result) they are the keys. Else rows are sorted by id and
+    digest of the text, written down, and numbered in that order; equal rows get a number each.
+    """
+    named = docs.where(F.col(f"`{doc_id}`").isNotNull())
+    ids = F.col(f"`{doc_id}`")
+    if not named.groupBy(ids).count().where("count > 1").limit(1).count():
+        return named.withColumn(key, ids.cast("bigint")), True
+    order = (ids, F.md5(F.col(f"`{text}`")))
+    sorted_rows = settled(named.repartitionByRange(*order).sortWithinPartitions(*order))
+    return sorted_rows.withColumn(key, F.monotonically_increasing_id()), False
+
+
 def stored(frame: DataFrame) -> DataFrame:
     """`frame`, written to the shared folder as Parquet and read again."""
     path = f"{shared_folder(frame.sparkSession)}/stored-{uuid.uuid4()}"

@@ -173,12 +173,65 @@ def test_jaccard_join_odd_tables(spark, documents):
     assert jaccard.jaccard_join(documents([])).collect() == []
     text = " ".join(str(i) for i in range(30))
     got = jaccard.jaccard_join(documents([(1, text), (1, text), (2, text), (3, None), (None, text)])).collect()
-    assert sorted(map(tuple, got)) == [(1, 1, 1, 1), (2, 1, 1, 1), (3, 3, 0, 3)]
+    assert sorted(map(tuple, got)) == [(1, 1, 2, 1), (1, 1, 2, 1), (2, 1, 2, 1), (3, 3, 0, 3)]
 
 
 # --- mix ---------------------------------------------------------------------------------
 
 
+def test_rows_with_one_id_are_documents_of_their_own(spark, documents):
+    """Whatever the order of the rows, no link is lost and no row either."""
+    w, a = " ".join(f"w{k}" for k in range(40)), " ".join(f"a{k}" for k in range(40))
+    rows = [(1, w), (1, a), (2, w + " x"), (3, a + " y"), (4, "alone here"), (4, "alone here"), (None, w)]
+    for order in (rows, rows[::-1]):
+        got = sorted((r.doc_id, r.class_id, r.n_links) for r in jaccard.jaccard_join(documents(order)).collect())
+        assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 4, 1), (4, 4, 1)]
+
+
+def test_passages_of_rows_with_one_id(spark, documents):
+    rng = random.Random(2)
+    passage = "".join(rng.choice("abcdefghij") for _ in range(150))
+    rows = [(1, "x" + passage), (1, "other " * 30), (2, passage + "y"), (2, passage + "z"), (3, "short")]
+    for order in (rows, rows[::-1]):
+        got = sorted((r.doc_id, r.n_bytes, r.n_removed) for r in suffixes.repeated_passages(documents(order)).collect())
+        assert [g[:2] for g in got] == sorted((i, len(t)) for i, t in rows)
+        assert [g[2] for g in got if g[0] == 2] == [150, 150] and [g[2] for g in got if g[1] == 151 and g[0] == 1] == [0]
+
+
+@pytest.mark.parametrize("contexts", [700, 4000])
+def test_wide_passages_with_many_surroundings(spark, documents, contexts):
+    """More surroundings of one fingerprint than an array holds at this width."""
+    rng, width = random.Random(contexts), 700
+    core = "".join(rng.choice("abcdefgh") for _ in range(suffixes.GRAM + 8))
+    texts = []
+    for k in range(contexts):
+        r = random.Random(k % (contexts - 60))  # the last sixty repeat the first
+        side = lambda n, r=r: "".join(r.choice("qrstuvwxyz") for _ in range(n))
+        texts.append(side(680) + core + side(680))
+    rows = [(k, t) for k, t in enumerate(texts)]
+    got = {r.doc_id: r.n_removed for r in suffixes.repeated_passages(documents(rows), width=width).collect()}
+    assert all((n == len(texts[k])) == (k >= contexts - 60) and (n == 0) == (k < contexts - 60) for k, n in got.items())
+
+
+def test_suffix_arrays_have_a_limit():
+    with pytest.raises(ValueError, match="at most"):
+        suffixes.suffix_order(np.zeros(suffixes.MOST_SYMBOLS + 1, np.int64), 100)
+
+
+def test_mix_with_clashing_names(spark):
+    """Every name used inside, as a column of the input."""
+    names = "mix_key mix_range mix_digest mix_doc mix_begun mix_earlier mix_rank mix_payload words source_size target rank none c0 fills_at".split()
+    rows = [(i, f"s{i % 3}" if i % 7 else None, *[f"{n}{i}" for n in names]) for i in [*range(60), 5]] + [(None, "s1", *[f"{n}None" for n in names])] * 2
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, " + ", ".join(f"{n} string" for n in names)).withColumn("a.b", F.lit(1))
+    mixed = curriculum.curriculum_mix(frame, size=F.lit(7))
+    assert mixed.columns[: len(names) + 3] == ["doc_id", "source", *names, "a.b"]
+    got = mixed.collect()
+    assert len(got) == len(rows)
+    assert all(r["mix_key"] == f"mix_key{r['doc_id']}" for r in got)
+    plain = curriculum.curriculum_mix(frame.select("doc_id", "source"), size=F.lit(7)).collect()
+    assert sorted((str(r.doc_id), str(r.source), r.mix_taken) for r in got if r.doc_id is not None) == sorted((str(r.doc_id), str(r.source), r.mix_taken) for r in plain if r.doc_id is not None)
+
+
 def targets_by_hand(sizes):
     """Share by weight, cap, share the excess anew, until none is above."""
     order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
@@ -289,7 +342,7 @@ def test_repeated_passages(spark, documents, monkeypatch, most):
     assert {r.doc_id: (r.n_bytes, r.n_removed, hashlib.sha256(r.kept).hexdigest()) for r in found} == want
     for r in found:
         assert r.n_spans == len(r.spans) and r.n_removed == sum(s.end - s.start for s in r.spans)
-    assert len(found) == len(want)
+    assert sorted(r.doc_id for r in found) == sorted([*want, 3])  # the row that repeats an id has one of its own
 
 
 def test_wide_passages(spark, documents):
