@@ -8,11 +8,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from postsift.llm import curriculum, jaccard, packing, repetition, suffixes
-from postsift.llm.tables import importable, stored, table
+from postsift.llm.tables import importable, stored, table, with_row_key
 
 #: Stages cut texts at bytes and token ids, which SQL cannot express.
 ORACLE_SQL = None
@@ -29,16 +28,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id stays.
 
-    Of rows that repeat a doc_id the one with the smallest text stays; rows without a doc_id
-    cannot be told apart and stay as they are.
+    Rows that repeat a doc_id are documents of their own; rows without one cannot be told apart
+    and stay as they are.
     """
     importable(spark)
-    docs = docs.select(*COLUMNS)
-    classes = jaccard.jaccard_join(docs)
-    others = classes.where("doc_id <> class_id").select("doc_id")
-    left = docs.join(others, "doc_id", "left_anti")
-    named = left.where("doc_id IS NOT NULL").withColumn("row", F.row_number().over(W.partitionBy("doc_id").orderBy("text")))
-    return named.where("row = 1").select(*COLUMNS).unionByName(left.where("doc_id IS NULL").select(*COLUMNS))
+    rows, _ = with_row_key(docs.select(*COLUMNS), "doc_id", "text", "llm_key")
+    classes = jaccard.jaccard_join(rows, doc_id="llm_key")
+    others = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("llm_key"))
+    left = rows.join(others, "llm_key", "left_anti").select(*COLUMNS)
+    return left.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
