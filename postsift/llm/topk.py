@@ -22,7 +22,9 @@ from postsift.llm.tables import settled
 #: Vectors in a block, queries in a block, data blocks that meet a query block in one task.
 DATA_BLOCK, QUERY_BLOCK, BLOCKS_A_TASK = 4096, 2048, 4
 #: Rows the pivots are chosen from, and pivots.
-PIVOT_SAMPLE, PIVOTS = 512, 16
+PIVOT_SAMPLE, PIVOTS = 512, 64
+#: Pivots tried on all candidates; the others only on those that these leave.
+FIRST_PIVOTS = 16
 
 
 def whole_vectors(vector: Column, scale: float) -> Column:
@@ -55,20 +57,23 @@ class Best:
         self.ids, self.x, self.k = ids, x, k
         self.far, self.square = distances(x, pivots), (x**2).sum(axis=1)
         self.found = [(np.empty(0), np.empty(0, np.int64)) for _ in ids]
+        #: Candidates met, and those of them whose score was computed.
+        self.offered = self.evaluated = 0
 
     def meet(self, ids: np.ndarray, x: np.ndarray, far: np.ndarray) -> None:
         square = (x**2).sum(axis=1)
         for i in range(len(self.ids)):
-            gap = np.abs(far - self.far[i]).max(axis=1, initial=0)
             size = self.square[i] + square
-            # Distances carry rounding errors, scores of whole numbers do not.
-            bound = (size - gap**2) / 2 + 1e-9 * size + 1e-6
             scores, partners = self.found[i]
-            if len(scores) == self.k:
-                left = np.flatnonzero(bound >= scores[-1])
-            else:
-                left = np.arange(len(ids))
+            bound, left = np.full(len(ids), np.inf), np.arange(len(ids))
+            for part in (slice(0, FIRST_PIVOTS), slice(FIRST_PIVOTS, None)):
+                gap = np.abs(far[left, part] - self.far[i, part]).max(axis=1, initial=0)
+                # Distances carry rounding errors, scores of whole numbers do not.
+                bound[left] = np.minimum(bound[left], (size[left] - gap**2) / 2 + 1e-9 * size[left] + 1e-6)
+                if len(scores) == self.k:
+                    left = left[bound[left] >= scores[-1]]
             left = left[np.argsort(-bound[left], kind="stable")]
+            self.offered += len(ids)
             done, step = 0, 4 * self.k
             while done < len(left) and (len(scores) < self.k or bound[left[done]] >= scores[-1]):
                 now = left[done : done + step]
@@ -77,6 +82,7 @@ class Best:
                 partners = np.concatenate([partners, ids[now]])
                 order = np.lexsort((partners, -scores))[: self.k]
                 scores, partners = scores[order], partners[order]
+                self.evaluated += len(now)
                 done, step = done + step, 2 * step
             self.found[i] = scores, partners
 
@@ -87,7 +93,7 @@ class Best:
         return pa.RecordBatch.from_arrays([pa.array(query), pa.array(partners), pa.array(scores.astype(np.int64))], names)
 
 
-def exact_top_k(rows: DataFrame, is_query: Column, *, k: int = 20, scale: float = 64.0, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def exact_top_k(rows: DataFrame, is_query: Column, *, k: int = 20, scale: float = 64.0, key: str = "vec_id", vector: str = "embedding", n_pivots: int = PIVOTS) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k best candidates of every query.
 
     Vectors are rounded to floor(scale * component). Queries are the rows for which
@@ -98,7 +104,9 @@ def exact_top_k(rows: DataFrame, is_query: Column, *, k: int = 20, scale: float
 
     Vectors and queries are packed into blocks and every query block meets every data block
     by a join on (query block, group of data blocks); only the k best of a group leave its
-    task. The pivots, a fixed number from a bounded sample, are all the driver sees.
+    task. The pivots, `n_pivots` from a sample of PIVOT_SAMPLE rows, are all the driver sees. More
+    of them eliminate more and cost more per candidate: vectors in clusters want hundreds, for
+    vectors without any structure a bound costs more than the score it saves.
     """
     usable = rows.select(rows[f"`{key}`"].cast("bigint").alias("vec_id"), whole_vectors(rows[f"`{vector}`"], scale).alias("x"), is_query.alias("asks"))
     once = usable.where("x IS NOT NULL AND vec_id IS NOT NULL").groupBy("vec_id").agg(F.min("x").alias("x"), F.max("asks").alias("asks"))
@@ -113,7 +121,7 @@ def exact_top_k(rows: DataFrame, is_query: Column, *, k: int = 20, scale: float
             out[i, : len(values)] = values
         return out
 
-    pivots = choose_pivots(matrix([r["x"] for r in sample]), PIVOTS)
+    pivots = choose_pivots(matrix([r["x"] for r in sample]), n_pivots)
     groups = max(1, math.ceil(n / (DATA_BLOCK * BLOCKS_A_TASK)))
     query_blocks = max(1, math.ceil(n_queries / QUERY_BLOCK))
 

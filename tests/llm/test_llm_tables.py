@@ -42,6 +42,33 @@ def test_top_k(spark, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_pivots_eliminate_where_vectors_cluster():
+    """The share of candidates whose score is computed, of 20,000 in 100 clusters."""
+    rng = np.random.default_rng(4)
+    centres = np.floor(64 * rng.normal(size=(100, 64)))
+    x = centres[rng.integers(0, 100, 20_000)] + rng.integers(-3, 4, (20_000, 64))
+    shares = []
+    for n in (16, 128):
+        pivots = topk.choose_pivots(x[: topk.PIVOT_SAMPLE], n)
+        best = topk.Best(np.arange(40), x[:40], pivots, 20)
+        for begin in range(0, len(x), topk.DATA_BLOCK):
+            part = x[begin : begin + topk.DATA_BLOCK]
+            best.meet(np.arange(begin, begin + len(part)), part, topk.distances(part, pivots))
+        shares.append(best.evaluated / best.offered)
+        for i in range(40):
+            scores = x @ x[i]
+            scores[i] = -np.inf
+            assert sorted(best.found[i][0]) == sorted(np.sort(scores)[-20:])
+    assert shares[1] < 0.1 and shares[1] <= shares[0]
+
+
+def test_number_of_pivots_does_not_change_the_result(spark):
+    rng = np.random.default_rng(8)
+    table = spark.createDataFrame([(i, [float(v) for v in rng.normal(size=5)]) for i in range(300)], "vec_id bigint, embedding array<double>")
+    one, many = (sorted(map(tuple, topk.exact_top_k(table, F.col("vec_id") % 20 == 0, k=5, n_pivots=n).collect())) for n in (1, 200))
+    assert one == many and len(one) == 75
+
+
 @pytest.mark.parametrize("rows", [[], [(20, [1.0])], [(20, [0.0, 0.0]), (21, [0.0, 0.0])]])
 def test_top_k_small(spark, rows):
     got = topk.exact_top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), F.col("vec_id") % 20 == 0)
