@@ -23,8 +23,9 @@ from postsift.llm.tables import settled
 DATA_BLOCK, QUERY_BLOCK, BLOCKS_A_TASK = 4096, 2048, 4
 #: Rows the pivots are chosen from, and pivots.
 PIVOT_SAMPLE, PIVOTS = 512, 64
-#: Pivots tried on all candidates; the others only on those that these leave.
-FIRST_PIVOTS = 16
+#: Pivots tried on all candidates; the others only on those that these leave, and only where
+#: these have eliminated at least such a share: else a bound costs more than the score it saves.
+FIRST_PIVOTS, PAYS = 16, 0.25
 
 
 def whole_vectors(vector: Column, scale: float) -> Column:
@@ -72,6 +73,8 @@ class Best:
                 bound[left] = np.minimum(bound[left], (size[left] - gap**2) / 2 + 1e-9 * size[left] + 1e-6)
                 if len(scores) == self.k:
                     left = left[bound[left] >= scores[-1]]
+                if len(left) > (1 - PAYS) * len(ids):
+                    break
             left = left[np.argsort(-bound[left], kind="stable")]
             self.offered += len(ids)
             done, step = 0, 4 * self.k
