@@ -62,19 +62,20 @@ class Best:
         self.offered = self.evaluated = 0
 
     def meet(self, ids: np.ndarray, x: np.ndarray, far: np.ndarray) -> None:
-        square = (x**2).sum(axis=1)
+        square, first = (x**2).sum(axis=1), np.ascontiguousarray(far[:, :FIRST_PIVOTS])
         for i in range(len(self.ids)):
             size = self.square[i] + square
             scores, partners = self.found[i]
-            bound, left = np.full(len(ids), np.inf), np.arange(len(ids))
-            for part in (slice(0, FIRST_PIVOTS), slice(FIRST_PIVOTS, None)):
-                gap = np.abs(far[left, part] - self.far[i, part]).max(axis=1, initial=0)
-                # Distances carry rounding errors, scores of whole numbers do not.
-                bound[left] = np.minimum(bound[left], (size[left] - gap**2) / 2 + 1e-9 * size[left] + 1e-6)
-                if len(scores) == self.k:
-                    left = left[bound[left] >= scores[-1]]
-                if len(left) > (1 - PAYS) * len(ids):
-                    break
+            # Distances carry rounding errors, scores of whole numbers do not.
+            slack = 1e-9 * size + 1e-6
+            gap = np.abs(first - self.far[i, :FIRST_PIVOTS]).max(axis=1, initial=0)
+            bound = (size - gap**2) / 2 + slack
+            full = len(scores) == self.k
+            left = np.flatnonzero(bound >= scores[-1]) if full else np.arange(len(ids))
+            if full and len(left) <= (1 - PAYS) * len(ids):
+                gap = np.abs(far[left, FIRST_PIVOTS:] - self.far[i, FIRST_PIVOTS:]).max(axis=1, initial=0)
+                bound[left] = np.minimum(bound[left], (size[left] - gap**2) / 2 + slack[left])
+                left = left[bound[left] >= scores[-1]]
             left = left[np.argsort(-bound[left], kind="stable")]
             self.offered += len(ids)
             done, step = 0, 4 * self.k
