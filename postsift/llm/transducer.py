@@ -6,9 +6,14 @@ token of the encoding that ends there with its count. A byte moves it to the nex
 and emits the change of the token count. States are compiled when first met.
 
 A buffer is cut into chunks of equal length that are run side by side, one numpy step per
-byte column. Where a piece begins inside a chunk, its end state does not depend on the state
-before it, so only the bytes ahead of the first beginning wait for the chunk before. They
-are rerun from its end state, from left to right; no maps of chunks are built.
+byte column. Each chunk is a map from the state it is entered in to the state it is left in
+and the tokens it emits. Where a piece begins inside a chunk, the state it is left in is
+the same for all; what it emits ahead of that beginning waits for its entry. A chunk that
+runs on throughout has a table of entries. Its entries are guessed by starting anew at a few
+places near the end of the chunk before, since encodings soon fall into step, and chunks of
+the same bytes share one table. The tables are composed pairwise upwards and the true
+states handed downwards, which takes a logarithm of steps; a state that was not guessed is
+run as well and the scan repeated, so guesses cost time only and never change a count.
 """
 
 from __future__ import annotations
@@ -27,10 +32,14 @@ from postsift.llm.texthash import text_slices
 
 #: Bytes of a chunk.
 CHUNK = 256
+#: Places at which the end of a chunk is started anew to guess what state it is left in, and the bytes after the last.
+GUESSES, LEAD = 8, 40
 #: Compiled states kept at once; beyond it compilation starts anew, which costs time only.
 MOST_STATES = 250_000
 
 ROOT, WAITING = 0, 1
+#: More than any state number; a chunk and a state make one number.
+BASE = np.int64(1) << 32
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -155,31 +164,103 @@ class Transducer:
         goes_on = np.zeros((lanes, CHUNK), bool)
         goes_on.ravel()[: len(buf)] = ~begins
         columns, runs_on = np.ascontiguousarray(bytes_.T), np.ascontiguousarray(goes_on.T)
-        out = np.zeros((CHUNK, lanes), np.int8)
+        out = np.zeros((CHUNK, lanes), np.int16)
 
         state = np.full(lanes, WAITING, np.int32)
         for j in range(CHUNK):
             state, out[j] = self.step(state * runs_on[j], columns[j])
 
-        # Heads: bytes ahead of a lane's first beginning, from the state the lane before ends in.
+        # Heads: bytes ahead of a lane's first beginning, in the state the lane is entered in. No text
+        # ends inside a head, so what it emits may stand at its first byte.
         head = np.where(goes_on.all(axis=1), CHUNK, goes_on.argmin(axis=1))
-        head[-1] = min(head[-1], len(buf) - (lanes - 1) * CHUNK)
-        settled = head < CHUNK
-        waiting = np.flatnonzero(head > 0)
-        while len(waiting):
-            ready = waiting[settled[waiting - 1]]
-            entered, lane = state[ready - 1], ready
-            for j in range(int(head[ready].max())):
-                still = head[lane] > j
-                entered, lane = entered[still], lane[still]
-                entered, out[j, lane] = self.step(entered, columns[j, lane])
-                full = head[lane] == j + 1
-                through = lane[full & (head[lane] == CHUNK)]
-                state[through] = entered[full & (head[lane] == CHUNK)]
-            settled[ready] = True
-            waiting = waiting[~np.isin(waiting, ready)]
+        entered = np.concatenate([[ROOT], state[:-1]]).astype(np.int32)
+        through = np.flatnonzero(head == CHUNK)
+        if len(through):
+            left, out[0, through] = self.scan(columns, through, entered)
+            after = through + 1 < lanes
+            entered[through[after] + 1] = left[after]
+        ahead = np.flatnonzero((head > 0) & (head < CHUNK))
+        _, out[0, ahead] = self.run(entered[ahead], columns, ahead, head[ahead])
         return out.T.ravel()[: len(buf)]
 
+    def run(self, states: np.ndarray, columns: np.ndarray, of: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States after the first `sizes` bytes of the lanes `of`, and what is emitted on the way."""
+        states, total = states.astype(np.int32), np.zeros(len(states), np.int64)
+        live = np.arange(len(states))
+        for j in range(int(sizes.max(initial=0))):
+            live = live[sizes[live] > j]
+            states[live], emitted = self.step(states[live], columns[j, of[live]])
+            total[live] += emitted
+        return states, total
+
+    def scan(self, columns: np.ndarray, lanes: np.ndarray, entered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """State in which each of the ascending `lanes` is left, and what it emits; a piece begins in none of them.
+
+        `entered` holds for the lane right after one that is not listed the state it is entered in.
+        """
+        first = np.diff(lanes, prepend=-2) > 1
+        run_starts = np.flatnonzero(first)
+        run_of = np.cumsum(first) - 1
+        place = np.arange(len(lanes)) - run_starts[run_of]
+        room = np.diff(run_starts, append=len(lanes))[run_of] - place
+        _, example, kind = np.unique(np.ascontiguousarray(columns[:, lanes].T), axis=0, return_index=True, return_inverse=True)
+        example = lanes[example]
+
+        # Tables of chunks: number of (kind of chunk, entry) -> state it is left in, tokens.
+        guesses = np.empty((GUESSES, len(example)), np.int64)
+        for k in range(GUESSES):
+            size = LEAD + k
+            guesses[k], _ = self.run(np.full(len(example), ROOT), columns[CHUNK - size :], example, np.full(len(example), size))
+        later = np.flatnonzero(~first)
+        wanted = [kind[first] * BASE + entered[lanes[first]], (kind[later] * BASE + guesses[:, kind[later - 1]]).ravel()]
+        keys, left, tokens = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64)
+        while True:
+            new = np.unique(np.concatenate(wanted))
+            ends, emitted = self.run(new % BASE, columns, example[new // BASE], np.full(len(new), CHUNK))
+            order = np.argsort(np.concatenate([keys, new]))
+            keys = np.concatenate([keys, new])[order]
+            left = np.concatenate([left, ends])[order]
+            tokens = np.concatenate([tokens, emitted])[order]
+
+            at = np.where(first, entered[lanes], -1).astype(np.int64)
+            for (node, ends), size in zip(*composed(keys, left, kind, place, room), strict=True):
+                here = np.flatnonzero((place % (2 * size) == 0) & (room > size) & (at >= 0))
+                row, found = sought(node, here * BASE + at[here])
+                at[here[found] + size] = ends[row[found]]
+            known = np.flatnonzero(at >= 0)
+            row, found = sought(keys, kind[known] * BASE + at[known])
+            if found.all():
+                return left[row], tokens[row]
+            wanted = [(kind[known] * BASE + at[known])[~found]]
+
+
+def sought(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of every wanted number among the ascending keys, whether it is there)."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    row = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return row, keys[row] == wanted
+
+
+def composed(keys: np.ndarray, left: np.ndarray, kind: np.ndarray, place: np.ndarray, room: np.ndarray) -> tuple[list, list]:
+    """Maps of 1, 2, 4, ... chunks in a row as ((chunk, entry) ascending, state after), the longest first, and those lengths.
+
+    Maps begin at every place of a run that their length divides and end within the run.
+    """
+    begin, end = np.searchsorted(keys, kind * BASE), np.searchsorted(keys, (kind + 1) * BASE)
+    chunk = np.repeat(np.arange(len(kind)), end - begin)
+    row = np.arange(len(chunk)) - np.repeat(np.cumsum(end - begin) - (end - begin) - begin, end - begin)
+    maps, sizes = [(chunk * BASE + keys[row] % BASE, left[row])], [1]
+    while True:
+        (node, ends), size = maps[-1], sizes[-1]
+        chunk = node // BASE
+        longer = (place[chunk] % (2 * size) == 0) & (room[chunk] >= 2 * size)
+        if not longer.any():
+            return maps[::-1], sizes[::-1]
+        row, found = sought(node, (chunk[longer] + size) * BASE + ends[longer])
+        maps.append((node[longer][found], ends[row[found]]))
+        sizes.append(2 * size)
+
 
 @cache
 def compiled(path: str) -> Transducer:
@@ -205,7 +286,7 @@ def token_counts(docs: DataFrame, *, path: str, text: str = "text", limit: int =
     """The columns `keep` with n_bytes, n_tokens and over_limit of every whole text.
 
     One pass without a shuffle; the file at `path` must be readable on every executor. A
-    null text counts as empty: no bytes, no tokens. Special strings inside a text count as
+    text is taken whole, with some 25 bytes of arrays for each of its own. A null text counts as empty: no bytes, no tokens. Special strings inside a text count as
     one token each, as the tokenizer's default has it. Rows are counted one by one, so
     repeated rows get equal counts; other columns are not read.
     """

@@ -306,6 +306,55 @@ def test_transducer_counts_like_the_library(tokenizer):
     assert transducer.count_tokens(buf, np.array([0, 5]), machine).tolist() == [len(tokenizer.encode("again", add_special_tokens=False).ids)]
 
 
+def unbroken_texts() -> list[str]:
+    rng = random.Random(11)
+    words = ["lorem", "ipsum", "extraordinary", "the", "count", "token"]
+    return [
+        "a" * 9000, "b" * 9001, "=" * 9000, "abc" * 3000, "0123456789" * 900, " " * 9000, "\n" * 5000,
+        "".join(rng.choice(words) for _ in range(2000)),
+        "".join(rng.choice("abcdeABCDE") for _ in range(9000)),
+        "".join(chr(rng.randrange(0x4E00, 0x4E40)) for _ in range(3000)),
+        "".join("ab" * rng.randrange(1, 900) + "c" * rng.randrange(1, 900) for _ in range(9)),
+        ("x" * 700 + " " + "y" * 2000 + ". ") * 3, "q" * 256 + " " + "q" * 511 + " " + "q" * 513 + "<|endoftext|>" + "q" * 600,
+    ]
+
+
+@pytest.mark.parametrize("chunk, guesses, lead", [(256, 8, 40), (64, 1, 1), (16, 1, 3), (3, 2, 1)])
+def test_chunk_maps_give_the_librarys_counts(tokenizer, monkeypatch, chunk, guesses, lead):
+    """Texts without the beginning of a piece for many chunks; with few guesses most entries are learnt in the scan."""
+    for name, value in (("CHUNK", chunk), ("GUESSES", guesses), ("LEAD", lead)):
+        monkeypatch.setattr(transducer, name, value)
+    texts = unbroken_texts()
+    if chunk < 64:
+        texts = [t[:700] for t in texts]
+    machine = transducer.Transducer(transducer.Vocabulary(PATH))
+    want = [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for i, j, buf, bounds in text_slices(pa.array(texts), 30000):
+        assert transducer.count_tokens(buf, bounds, machine).tolist() == want[i:j]
+
+
+def test_maps_of_runs_compose():
+    """Two runs of five and three chunks over one table: a chunk adds one to the state, modulo three."""
+    keys = np.array([0, 1, 2], np.int64)
+    place, room = np.array([0, 1, 2, 3, 4, 0, 1, 2]), np.array([5, 4, 3, 2, 1, 3, 2, 1])
+    maps, sizes = transducer.composed(keys, np.array([1, 2, 0]), np.zeros(8, np.int64), place, room)
+    assert sizes == [4, 2, 1]
+    got = [{(int(n // transducer.BASE), int(n % transducer.BASE)): int(e) for n, e in zip(*m, strict=True)} for m in maps]
+    for table, size, begins in zip(got, sizes, ([0], [0, 2, 5], range(8)), strict=True):
+        assert table == {(b, s): (s + size) % 3 for b in begins for s in range(3)}
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000, "ab=" * 333_333, "漢" * 300_000])
+def test_a_megabyte_without_a_break_is_counted_in_seconds(tokenizer, text):
+    """Under two seconds each, 46 s if chunks waited for each other."""
+    buf = np.frombuffer(text.encode(), np.uint8)
+    machine = transducer.Transducer(transducer.Vocabulary(PATH))
+    began = time.process_time()
+    got = transducer.count_tokens(buf, np.array([0, len(buf)]), machine).tolist()
+    assert time.process_time() - began < 8
+    assert got == [len(tokenizer.encode(text, add_special_tokens=False).ids)]
+
+
 def test_token_counts_rows(spark, documents, tokenizer):
     texts = [None, "", "x " * 600, "<|endoftext|>", "naïve"]
     got = transducer.token_counts(documents([*enumerate(texts), (4, texts[4])]), path=PATH).collect()
