@@ -69,6 +69,18 @@ def test_number_of_pivots_does_not_change_the_result(spark):
     assert one == many and len(one) == 75
 
 
+@pytest.mark.parametrize("edge", [32767 / 64, 32768 / 64, -32768 / 64, -32769 / 64, 1e6])
+def test_components_about_sixteen_bits(spark, edge):
+    """Blocks travel in 16 bits as long as every component fits."""
+    rows = [(20, [edge, 1.0]), (40, [-1.0, edge]), (41, [edge, edge]), (42, [0.5, -0.5])]
+    got = topk.exact_top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    x = {i: [math.floor(64 * c) for c in v] for i, v in rows}
+    dot = lambda a, b: sum(p * q for p, q in zip(x[a], x[b], strict=True))
+    for q in (20, 40):
+        want = sorted(((-dot(q, i), i) for i in x if i != q))
+        assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == want
+
+
 @pytest.mark.parametrize("rows", [[], [(20, [1.0])], [(20, [0.0, 0.0]), (21, [0.0, 0.0])]])
 def test_top_k_small(spark, rows):
     got = topk.exact_top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), F.col("vec_id") % 20 == 0)
