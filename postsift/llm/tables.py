@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -68,3 +69,13 @@ def stored(frame: DataFrame) -> DataFrame:
     path = f"{shared_folder(frame.sparkSession)}/stored-{uuid.uuid4()}"
     frame.write.parquet(path)
     return frame.sparkSession.read.parquet(path)
+
+
+def discard(frame: DataFrame) -> None:
+    """Remove the files of a table that `stored` returned, once nothing reads it any more; other files stay."""
+    spark = frame.sparkSession
+    own = re.compile(re.escape(shared_folder(spark).rstrip("/").split(":", 1)[-1].lstrip("/")) + r"/stored-[0-9a-f-]{36}$")
+    for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+        if own.search(folder):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

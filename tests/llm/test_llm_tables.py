@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
 
 import numpy as np
 import pytest
-from postsift.llm import curriculum, jaccard, suffixes, topk, urls
+from postsift.llm import curriculum, jaccard, suffixes, tables, topk, urls
 from postsift.llm.components import components
 from pyspark.sql import functions as F
 
@@ -479,3 +480,15 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
         own = sorted((r.start, r.length, bytes(r.ids)) for r in rows if r.doc_id == i)
         assert b"".join(p for _, _, p in own) == np.array(ids[i], "<u4").tobytes()
     assert check_pieces is not None
+
+
+def test_stored_tables_are_discarded_and_no_others(spark, tmp_path):
+    given = str(tmp_path / "stored-given")
+    spark.range(5).write.parquet(given)
+    frame, kept = tables.stored(spark.range(3)), tables.stored(spark.range(2))
+    folder = frame.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("///", "/")
+    tables.discard(frame)
+    tables.discard(spark.read.parquet(given))
+    tables.discard(tables.stored(spark.range(0)))
+    assert not os.path.exists(folder)
+    assert (kept.count(), spark.read.parquet(given).count()) == (2, 5)
