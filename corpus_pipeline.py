@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postsift.llm import curriculum, jaccard, packing, repetition, suffixes
-from postsift.llm.tables import importable, stored, table, with_row_key
+from postsift.llm.tables import discard, importable, stored, table, with_row_key
 
 #: Stages cut texts at bytes and token ids, which SQL cannot express.
 ORACLE_SQL = None
@@ -79,8 +79,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; what a stage returns is written and read by the next."""
+    """All stages over `documents`; what a stage returns is written, read by the next and then removed."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        done = stored(stage(spark, docs, sf_dir))
+        if k:
+            discard(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
