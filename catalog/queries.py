@@ -218,6 +218,34 @@ def typo_long_list(spark, sf_dir):
     return find_typos_in(domains, base.unionByName(grown), settled=checkpoint_folder(spark) is not None).select("domain", "typo.*")
 
 
+# More domains than are listed: suppliers' domains, met by those of the customers.
+SUPPLIER_LIST_SQL = "SELECT s_suppkey, 'proveedor' || CAST(s_suppkey AS STRING) || '.com.co' AS domain FROM supplier"
+CUSTOMER_DOMAIN_SQL = """
+    SELECT DISTINCT CASE WHEN c_custkey % 3 = 0 THEN 'provedor' ELSE 'proveedor' END || CAST(c_custkey AS STRING)
+           || CASE WHEN c_custkey % 2 = 0 THEN '.com.cp' ELSE '.com.co' END AS domain FROM customer
+"""
+
+
+@entry(
+    "typo_many_domains",
+    f"""WITH listed AS ({SUPPLIER_LIST_SQL}), domains AS ({CUSTOMER_DOMAIN_SQL}),
+    near AS (
+      SELECT d.domain, s_suppkey, l.domain AS value, damerau_levenshtein(d.domain, l.domain) AS distance
+      FROM domains d, listed l
+      WHERE abs(length(d.domain) - length(l.domain)) <= 2 AND levenshtein(d.domain, l.domain) <= 4
+        AND d.domain NOT IN (SELECT domain FROM listed)),
+    best AS (SELECT domain, arg_min(value, (distance, s_suppkey)) AS suggestion FROM near WHERE distance <= 2 GROUP BY domain)
+    SELECT d.domain, b.suggestion, b.suggestion IS NOT NULL AND FALSE AS high_confidence FROM domains d LEFT JOIN best b USING (domain)""",
+)
+def typo_many_domains(spark, sf_dir):
+    listed = inputs.run(spark, sf_dir, SUPPLIER_LIST_SQL, "supplier").select(
+        F.col("domain").alias("candidate"), F.col("s_suppkey").alias("ordinal"), F.lit(False).alias("tier1")
+    )
+    domains = inputs.run(spark, sf_dir, CUSTOMER_DOMAIN_SQL, "customer")
+    found = find_typos_in(domains, listed, settled=checkpoint_folder(spark) is not None, hinted=True)
+    return found.select("domain", F.col("typo.suggestion"), F.coalesce("typo.high_confidence", F.lit(False)).alias("high_confidence"))
+
+
 # Extensions from the tables: the names of parts as roles, in untidy text.
 EXTENSION_SQL = """
     SELECT 'roles' AS list, ' ' || upper(p_name) || ' , ' || p_name || ',,info' AS entries, p_partkey AS seq FROM part

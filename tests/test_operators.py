@@ -20,7 +20,7 @@ from postsift.operators.registration import (
     registry_servers,
 )
 from postsift.operators.snapshot import create_snapshot, merge_answers, open_snapshot, snapshot_answers
-from postsift.operators.typo import deletion_variants, find_typos, find_typos_in
+from postsift.operators.typo import deletion_variants, find_typos, find_typos_in, variant_rows
 from postsift.sources.lists import (
     BASE_LISTS,
     build_lists,
@@ -149,6 +149,22 @@ def test_long_list_search_over_dense_neighbours(spark):
     assert got == {d: nearest(d, common, ()) for d in domains}
 
 
+def test_variants_that_no_listed_domain_has_are_not_shuffled(spark):
+    common = [f"sitio{i}.com" for i in range(0, 3000, 3)]
+    domains = [f"empresa{i}.com.co" for i in range(1000)] + [f"siito{i}.cmo" for i in range(0, 300, 7)]
+    table = spark.createDataFrame([(c, i, False) for i, c in enumerate(common)], "candidate string, ordinal int, tier1 boolean")
+    unknown = spark.createDataFrame([(d,) for d in domains], "domain string")
+    left, right = variant_rows(unknown, table, 2, True)
+    every, _ = variant_rows(unknown, table, 2, False)
+    met = left.join(right, "variant")
+    assert sorted(map(tuple, met.collect())) == sorted(map(tuple, every.join(right, "variant").collect())) and met.count()
+    assert left.count() * 10 < every.count()
+    assert suggestions(find_typos_in(unknown, table, hinted=True)) == suggestions(find_typos_in(unknown, table))
+    # The filter stands below the exchange, so what it drops is never written.
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("ps_bits")
+
+
 def test_deletion_variants(spark):
     row = spark.range(1).select(
         deletion_variants(F.lit("abc"), F.lit(2)).alias("two"), deletion_variants(F.lit("abc"), F.lit(1)).alias("one")
