@@ -30,6 +30,11 @@ ARRAY_BYTES = 1 << 20
 #: Different surroundings of a fingerprint that are compared in one task; more are compared
 #: string by string, by a sort on their hashes.
 MOST_CONTEXTS = 4096
+#: A fingerprint with more than one mark in HOT_SHARE is hot: there are fewer than that many. They
+#: are told by a sketch that tracks SKETCH_KEYS fingerprints a task.
+HOT_SHARE, SKETCH_KEYS = 10_000, 100_000
+#: Shares of a string that is compared by its hash.
+STRING_SHARES = 64
 #: Symbols of one suffix array: the names of two thirds of them must fit into 21 bits. A group
 #: that would not fit beside ARRAY_BYTES is compared string by string too.
 MOST_SYMBOLS = 3_000_000
@@ -158,6 +163,14 @@ def anchors(buf: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[tuple[n
     yield row, grams[place].view(np.int64), around.view(np.int64), first - base, place - base, last - base
 
 
+def hot_fingerprints(marks: DataFrame) -> np.ndarray:
+    """The fingerprints of more than 1 / HOT_SHARE of all marks that are dealt, sorted."""
+    sketch = F.expr(f"approx_top_k(fp, {HOT_SHARE}, {SKETCH_KEYS})").alias("top")
+    told = marks.where("NOT again").agg(sketch, F.count("*").alias("n")).first()
+    most = max(1, told["n"] // HOT_SHARE)
+    return np.sort(np.array([t["item"] for t in told["top"] or [] if t["count"] > most], np.int64))
+
+
 def repeated_passages(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 100, keep: tuple[str, ...] = (), decoded: bool = False
 ) -> DataFrame:
@@ -175,7 +188,9 @@ def repeated_passages(
 
     Texts are dealt by doc_id once. What is moved besides is one narrow row per run of strings
     with the same k-gram (about one for 39 bytes), the bytes around those k-grams only that
-    occur in different surroundings, and the runs to remove.
+    occur in different surroundings, and the runs to remove. A passage that a large part of all
+    documents share has hot fingerprints, which a sketch over all marks tells beforehand: their
+    marks are dealt by fingerprint and surroundings, and their kinds are counted afterwards.
     """
     if not GRAM < width < GRAM + (1 << 16):
         raise ValueError(f"width must be from {GRAM + 1} to {GRAM + (1 << 16) - 1}")
@@ -185,7 +200,7 @@ def repeated_passages(
     texts = texts.select("doc_id", "text", *keep, *([] if unique else ["llm_id"]))
     most_contexts = min(MOST_CONTEXTS, (MOST_SYMBOLS - ARRAY_BYTES) // (2 * width))
 
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def marked(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, parts = batch.column(0).to_numpy(zero_copy_only=False), []
             for i, j, buf, bounds in text_slices(batch.column(1)):
@@ -203,19 +218,32 @@ def repeated_passages(
             again = np.zeros(len(key), bool)
             again[told[1:]] = key[told[1:]] == key[told[:-1]]
             deal = np.where(again, mixed(doc.view(np.uint64) ^ mixed(at.view(np.uint64))).view(np.int64), fp)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (deal, around, doc, at, again)], names)
+            # A hot fingerprint is dealt with its surroundings, and named.
+            often = ~again & np.isin(fp, hot)
+            deal = np.where(often, key.view(np.int64), deal)
+            columns = [pa.array(c) for c in (deal, around, doc, at, again)] + [pa.array(fp, mask=~often)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["fp", "around", "doc_id", "at", "again", "hot"]
+
+    def marks(hot: np.ndarray) -> DataFrame:
+        schema = "fp bigint, around bigint, doc_id bigint, at bigint, again boolean, hot bigint"
+        return texts.select("doc_id", "text").mapInArrow(lambda batches: marked(batches, hot), schema)
 
-    names = ["fp", "around", "doc_id", "at", "again"]
-    marks = texts.select("doc_id", "text").mapInArrow(marked, "fp bigint, around bigint, doc_id bigint, at bigint, again boolean")
-    # Dealt by the fingerprint alone, which serves both windows.
-    packed = marks.repartition("fp")
+    hot = hot_fingerprints(marks(np.empty(0, np.int64)))
+    # Dealt by one column alone, which serves both windows.
+    packed = marks(hot).repartition("fp")
     by_fp, by_both = W.partitionBy("fp"), W.partitionBy("fp", "around").orderBy("doc_id", "at")
     numbered = packed.withColumn("copy", F.row_number().over(by_both))
-    told = numbered.withColumn("kinds", F.sum((F.col("copy") == 1).cast("int")).over(by_fp)).where("again OR copy > 1 OR kinds > 1")
+    told = numbered.withColumn("kinds", F.sum((F.col("copy") == 1).cast("int")).over(by_fp)).where("again OR copy > 1 OR kinds > 1 OR hot IS NOT NULL")
     # Settled, so that the marks of all texts are dealt once.
     first = ~F.col("again") & (F.col("copy") == 1)
-    settled = stored(told.select("doc_id", "at", F.when(first, F.col("fp")).alias("fp"), F.when(first, F.col("kinds")).alias("kinds")))
-    unpacked = settled.select(
+    fingerprint, own_kinds = F.coalesce("hot", "fp"), F.when(F.col("hot").isNull(), F.col("kinds"))
+    settled = stored(told.select("doc_id", "at", F.when(first, fingerprint).alias("fp"), F.when(first, own_kinds).alias("kinds")))
+    # At most HOT_SHARE rows; every other fingerprint has its kinds already.
+    of_hot = settled.where("fp IS NOT NULL AND kinds IS NULL").groupBy("fp").agg(F.count("*").alias("hot_kinds"))
+    counted = settled.join(F.broadcast(of_hot), "fp", "left").withColumn("kinds", F.coalesce("kinds", "hot_kinds"))
+    unpacked = counted.where("fp IS NULL OR kinds > 1").select(
         "fp", "doc_id", "kinds", F.shiftright("at", 32).alias("first"), (F.shiftright("at", 16) % 65536).alias("ahead"), (F.col("at") % 65536).alias("more")
     )
 
@@ -280,10 +308,13 @@ def repeated_passages(
 
     near = around.where("bytes IS NOT NULL").select("fp", "doc_id", "first", "bytes").repartition("fp").sortWithinPartitions("fp")
     sorted_out = near.mapInArrow(compared, "doc_id bigint, first bigint, last bigint")
+    # All but the first of a share repeat a string; then the firsts of the shares meet.
+    dealt = around.where("bytes IS NULL").withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(STRING_SHARES)))
+    in_order = W.partitionBy("fp", "string", "share").orderBy("doc_id", "first")
+    firsts = dealt.withColumn("copy", F.row_number().over(in_order)).withColumn("share", F.when(F.col("copy") > 1, F.col("share")).otherwise(-1))
     one_by_one = (
-        around.where("bytes IS NULL")
-        .withColumn("copy", F.row_number().over(W.partitionBy("fp", "string").orderBy("doc_id", "first")))
-        .where("copy > 1")
+        firsts.withColumn("again", (F.row_number().over(in_order) > 1) | (F.col("share") >= 0))
+        .where("again")
         .select("doc_id", "first", F.col("first").alias("last"))
     )
     found = copies.unionByName(sorted_out).unionByName(one_by_one)

@@ -398,6 +398,25 @@ def test_wide_passages(spark, documents):
             suffixes.repeated_passages(documents(rows), width=width)
 
 
+@pytest.mark.parametrize("most", [2, 4096])
+def test_passages_that_a_third_of_all_documents_share(spark, documents, monkeypatch, most):
+    monkeypatch.setattr(suffixes, "MOST_CONTEXTS", most)
+    monkeypatch.setattr(suffixes, "STRING_SHARES", 3)
+    rng = random.Random(11)
+    say = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = say(180)
+    rows = [(i, say(130) + (shared if i % 3 == 0 else "") + say(130)) for i in range(120)]
+    told = []
+    find = suffixes.hot_fingerprints
+    monkeypatch.setattr(suffixes, "hot_fingerprints", lambda marks: told.append(find(marks)) or told[-1])
+    frame = documents(rows).repartition(5)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, hashlib.sha256(r.kept).hexdigest()) for r in suffixes.repeated_passages(frame).collect()}
+    assert got == passages_by_hand(rows) and len(told[0])
+    monkeypatch.setattr(suffixes, "hot_fingerprints", lambda marks: np.empty(0, np.int64))
+    plain = {r.doc_id: (r.n_bytes, r.n_removed, hashlib.sha256(r.kept).hexdigest()) for r in suffixes.repeated_passages(frame).collect()}
+    assert plain == got
+
+
 def test_no_passages(spark, documents):
     assert suffixes.repeated_passages(documents([])).collect() == []
 
