@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postsift.llm.tables import stored, with_row_key
+from postsift.llm.tables import settled, stored, with_row_key
 from postsift.llm.texthash import BYTE_VALUES, _BASE, _INVERSE, mixed, powers, repeated, text_slices
 
 #: Bytes of the k-gram that names a string.
@@ -30,9 +30,9 @@ ARRAY_BYTES = 1 << 20
 #: Different surroundings of a fingerprint that are compared in one task; more are compared
 #: string by string, by a sort on their hashes.
 MOST_CONTEXTS = 4096
-#: A fingerprint with more than one mark in HOT_SHARE is hot: there are fewer than that many. They
-#: are told by a sketch that tracks SKETCH_KEYS fingerprints a task.
-HOT_SHARE, SKETCH_KEYS = 10_000, 100_000
+#: A fingerprint with more than one mark in HOT_SHARE is hot, so there are fewer than HOT_SHARE. Marks
+#: are counted in chunks of at least HOT_CHUNK, or of a task.
+HOT_SHARE, HOT_CHUNK = 10_000, 1 << 20
 #: Shares of a string that is compared by its hash.
 STRING_SHARES = 64
 #: Symbols of one suffix array: the names of two thirds of them must fit into 21 bits. A group
@@ -137,6 +137,22 @@ class Hashed:
         return mixed((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
 
 
+def gram_runs(hashed: Hashed, bounds: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """(row, fingerprint, first string, place of the k-gram, last string), one per run of strings with one k-gram."""
+    grams = hashed.every(GRAM)
+    keys = (grams >> np.uint64(32) << np.uint64(32)) | np.arange(len(grams), dtype=np.uint64)
+    place = (sliding_least(keys, width - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    start = np.arange(len(place))
+    row = np.searchsorted(bounds, start, "right") - 1
+    whole = start + width <= bounds[row + 1]
+    start, place, row = start[whole], place[whole], row[whole]
+    if not len(start):
+        return row, grams[:0].view(np.int64), start, place, start
+    new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)]))
+    last = start[np.append(new[1:] - 1, len(start) - 1)]
+    return row[new], grams[place[new]].view(np.int64), start[new], place[new], last
+
+
 def anchors(buf: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(row, fingerprint, surroundings, first string, place of the k-gram, last string), one per run of strings with one k-gram.
 
@@ -146,29 +162,45 @@ def anchors(buf: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[tuple[n
     if len(buf) < width:
         return
     hashed = Hashed(buf)
-    grams = hashed.every(GRAM)
-    keys = (grams >> np.uint64(32) << np.uint64(32)) | np.arange(len(grams), dtype=np.uint64)
-    place = (sliding_least(keys, width - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    start = np.arange(len(place))
-    row = np.searchsorted(bounds, start, "right") - 1
-    whole = start + width <= bounds[row + 1]
-    start, place, row = start[whole], place[whole], row[whole]
-    if not len(start):
+    row, fp, first, place, last = gram_runs(hashed, bounds, width)
+    if not len(row):
         return
-    new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)]))
-    first, last = start[new], start[np.append(new[1:] - 1, len(start) - 1)]
-    place, row = place[new], row[new]
     around = mixed(hashed.spans(first, last + width) ^ mixed((place - first).astype(np.uint64) << np.uint64(20) | (last - first).astype(np.uint64)))
     base = bounds[row]
-    yield row, grams[place].view(np.int64), around.view(np.int64), first - base, place - base, last - base
+    yield row, fp, around.view(np.int64), first - base, place - base, last - base
 
 
-def hot_fingerprints(marks: DataFrame) -> np.ndarray:
-    """The fingerprints of more than 1 / HOT_SHARE of all marks that are dealt, sorted."""
-    sketch = F.expr(f"approx_top_k(fp, {HOT_SHARE}, {SKETCH_KEYS})").alias("top")
-    told = marks.where("NOT again").agg(sketch, F.count("*").alias("n")).first()
-    most = max(1, told["n"] // HOT_SHARE)
-    return np.sort(np.array([t["item"] for t in told["top"] or [] if t["count"] > most], np.int64))
+def hot_fingerprints(texts: DataFrame, width: int) -> np.ndarray:
+    """Fingerprints of more than 1 / HOT_SHARE of all marks, sorted; surely those of more than 2 / HOT_SHARE.
+
+    A chunk reports the fingerprints above the share among its own marks, so it withholds of any
+    other no more than the share. What is reported is summed up; fewer than HOT_SHARE can pass.
+    """
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def told() -> pa.RecordBatch:
+            fps, counts = np.unique(np.concatenate(held), return_counts=True)
+            at = np.flatnonzero(counts * HOT_SHARE > n)
+            # The row without a fingerprint counts all marks of the chunk.
+            return pa.RecordBatch.from_arrays([pa.array([None, *fps[at].tolist()], pa.int64()), pa.array([n, *counts[at].tolist()], pa.int64())], ["fp", "n"])
+
+        for batch in batches:
+            for _, _, buf, bounds in text_slices(batch.column(0)):
+                if len(buf) >= width:
+                    held.append(gram_runs(Hashed(buf), bounds, width)[1])
+                    n += len(held[-1])
+                if n >= HOT_CHUNK:
+                    yield told()
+                    held, n = [], 0
+        if n:
+            yield told()
+
+    counted = settled(texts.select("text").mapInArrow(often, "fp bigint, n bigint").groupBy("fp").agg(F.sum("n").alias("n")))
+    n = counted.where("fp IS NULL").agg(F.sum("n")).first()[0] or 0
+    hot = counted.where(F.col("fp").isNotNull() & (F.col("n") > 1) & (F.col("n") * HOT_SHARE > n)).select("fp").collect()
+    return np.sort(np.array([r["fp"] for r in hot], np.int64))
 
 
 def repeated_passages(
@@ -189,7 +221,7 @@ def repeated_passages(
     Texts are dealt by doc_id once. What is moved besides is one narrow row per run of strings
     with the same k-gram (about one for 39 bytes), the bytes around those k-grams only that
     occur in different surroundings, and the runs to remove. A passage that a large part of all
-    documents share has hot fingerprints, which a sketch over all marks tells beforehand: their
+    documents share has hot fingerprints, which are counted over all texts beforehand: their
     marks are dealt by fingerprint and surroundings, and their kinds are counted afterwards.
     """
     if not GRAM < width < GRAM + (1 << 16):
@@ -230,19 +262,18 @@ def repeated_passages(
         schema = "fp bigint, around bigint, doc_id bigint, at bigint, again boolean, hot bigint"
         return texts.select("doc_id", "text").mapInArrow(lambda batches: marked(batches, hot), schema)
 
-    hot = hot_fingerprints(marks(np.empty(0, np.int64)))
     # Dealt by one column alone, which serves both windows.
-    packed = marks(hot).repartition("fp")
+    packed = marks(hot_fingerprints(texts, width)).repartition("fp")
     by_fp, by_both = W.partitionBy("fp"), W.partitionBy("fp", "around").orderBy("doc_id", "at")
     numbered = packed.withColumn("copy", F.row_number().over(by_both))
     told = numbered.withColumn("kinds", F.sum((F.col("copy") == 1).cast("int")).over(by_fp)).where("again OR copy > 1 OR kinds > 1 OR hot IS NOT NULL")
     # Settled, so that the marks of all texts are dealt once.
     first = ~F.col("again") & (F.col("copy") == 1)
     fingerprint, own_kinds = F.coalesce("hot", "fp"), F.when(F.col("hot").isNull(), F.col("kinds"))
-    settled = stored(told.select("doc_id", "at", F.when(first, fingerprint).alias("fp"), F.when(first, own_kinds).alias("kinds")))
+    kept = stored(told.select("doc_id", "at", F.when(first, fingerprint).alias("fp"), F.when(first, own_kinds).alias("kinds")))
     # At most HOT_SHARE rows; every other fingerprint has its kinds already.
-    of_hot = settled.where("fp IS NOT NULL AND kinds IS NULL").groupBy("fp").agg(F.count("*").alias("hot_kinds"))
-    counted = settled.join(F.broadcast(of_hot), "fp", "left").withColumn("kinds", F.coalesce("kinds", "hot_kinds"))
+    of_hot = kept.where("fp IS NOT NULL AND kinds IS NULL").groupBy("fp").agg(F.count("*").alias("hot_kinds"))
+    counted = kept.join(F.broadcast(of_hot), "fp", "left").withColumn("kinds", F.coalesce("kinds", "hot_kinds"))
     unpacked = counted.where("fp IS NULL OR kinds > 1").select(
         "fp", "doc_id", "kinds", F.shiftright("at", 32).alias("first"), (F.shiftright("at", 16) % 65536).alias("ahead"), (F.col("at") % 65536).alias("more")
     )

@@ -408,11 +408,11 @@ def test_passages_that_a_third_of_all_documents_share(spark, documents, monkeypa
     rows = [(i, say(130) + (shared if i % 3 == 0 else "") + say(130)) for i in range(120)]
     told = []
     find = suffixes.hot_fingerprints
-    monkeypatch.setattr(suffixes, "hot_fingerprints", lambda marks: told.append(find(marks)) or told[-1])
+    monkeypatch.setattr(suffixes, "hot_fingerprints", lambda *of: told.append(find(*of)) or told[-1])
     frame = documents(rows).repartition(5)
     got = {r.doc_id: (r.n_bytes, r.n_removed, hashlib.sha256(r.kept).hexdigest()) for r in suffixes.repeated_passages(frame).collect()}
     assert got == passages_by_hand(rows) and len(told[0])
-    monkeypatch.setattr(suffixes, "hot_fingerprints", lambda marks: np.empty(0, np.int64))
+    monkeypatch.setattr(suffixes, "hot_fingerprints", lambda *of: np.empty(0, np.int64))
     plain = {r.doc_id: (r.n_bytes, r.n_removed, hashlib.sha256(r.kept).hexdigest()) for r in suffixes.repeated_passages(frame).collect()}
     assert plain == got
 
