@@ -138,7 +138,8 @@ def _nearest_within(unknown: DataFrame, common: DataFrame, limit: int, hinted: b
     """(domain, nearest) for domains at most `limit` edits from a candidate."""
     domain, candidate = F.col("domain"), F.col("candidate")
     left, right = variant_rows(unknown, common, limit, hinted)
-    met = left.join(right, "variant").where(F.abs(F.length(domain) - F.length(candidate)) <= limit)
+    # Spark takes an exploded list for no larger than the list and would broadcast it.
+    met = left.join(right.hint("merge"), "variant").where(F.abs(F.length(domain) - F.length(candidate)) <= limit)
     rough = computed_once(met.drop("variant"), rough=F.levenshtein(domain, candidate, ROUGH_LIMIT)).where("rough >= 0")
     # A pair shares many variants and is measured once.
     measured = computed_once(rough.distinct(), distance=refine(F.col("rough"), domain, candidate))

@@ -165,6 +165,18 @@ def test_variants_that_no_listed_domain_has_are_not_shuffled(spark):
     assert plan.index("Join Inner") < plan.index("ps_bits")
 
 
+def test_variants_of_the_list_are_not_broadcast(spark):
+    # Few rows, as Spark estimates them; exploded they are hundreds of times as many.
+    numbers = spark.range(50)
+    table = numbers.select(F.format_string("sitio%d.com", "id").alias("candidate"), F.col("id").alias("ordinal"), F.lit(False).alias("tier1"))
+    domains = numbers.select(F.format_string("siito%d.cmo", "id").alias("domain"))
+    for hinted in (True, False):
+        found = find_typos_in(domains, table, hinted=hinted)
+        assert suggestions(found) == {f"siito{i}.cmo": (f"sitio{i}.com", False) for i in range(50)}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [variant" not in plan and plan.count("SortMergeJoin [variant") >= 2
+
+
 def test_deletion_variants(spark):
     row = spark.range(1).select(
         deletion_variants(F.lit("abc"), F.lit(2)).alias("two"), deletion_variants(F.lit("abc"), F.lit(1)).alias("one")
