@@ -441,7 +441,7 @@ def test_query_names():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 14))
     assert "pipeline" in names
 
 
