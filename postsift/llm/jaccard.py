@@ -24,6 +24,12 @@ from postsift.llm.components import components
 from postsift.llm.tables import settled, with_row_key
 from postsift.llm.texthash import mixed, ngram_hashes, span_hashes, text_slices, words_of
 
+#: Cells of a matrix over sets that are taken at a time, and of a table of sets and n-grams. In
+#: one piece a task needs only 4 bytes for each pair of sets, and one for whether it is linked.
+STRIP_CELLS, TABLE_CELLS = 1 << 18, 1 << 22
+#: Rows with texts that are taken out of an Arrow batch at a time.
+TEXT_ROWS = 256
+
 
 @dataclass(frozen=True)
 class JoinOptions:
@@ -136,11 +142,41 @@ def children(sets: DataFrame, options: JoinOptions, level: int) -> DataFrame:
     return sets.select("path", "rep", "sketch").mapInArrow(split, "path bigint, rep bigint")
 
 
-def star(rep: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from every set to the smallest one of its component under the symmetric matrix `linked`."""
+def strips(shape: tuple[int, int]) -> Iterator[slice]:
+    """Rows of a matrix, about STRIP_CELLS at a time, one row at least."""
+    step = max(1, STRIP_CELLS // max(1, shape[1]))
+    for begin in range(0, shape[0], step):
+        yield slice(begin, begin + step)
+
+
+def least_linked(linked: np.ndarray, root: np.ndarray, most: int) -> np.ndarray:
+    """The least root among the columns linked to each row; `most` where there is none."""
+    out = np.full(len(linked), most)
+    for s in strips(linked.shape):
+        out[s] = np.where(linked[s], root[None, :], most).min(axis=1, initial=most)
+    return out
+
+
+def copies_linked(linked: np.ndarray, copies: np.ndarray) -> np.ndarray:
+    """The sum of `copies` over the columns linked to each row."""
+    out = np.zeros(len(linked), np.int64)
+    for s in strips(linked.shape):
+        out[s] = linked[s] @ copies
+    return out
+
+
+def star(rep: np.ndarray, linked: np.ndarray, cut: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from every set to the smallest one of its component.
+
+    `linked` is a symmetric matrix over all sets or, given `cut`, has the sets before it as rows
+    and the others as columns.
+    """
     root = np.arange(len(rep))
     while True:
-        new = np.where(linked, root[None, :], len(rep)).min(axis=1)
+        if cut is None:
+            new = least_linked(linked, root, len(rep))
+        else:
+            new = np.concatenate([least_linked(linked, root[cut:], len(rep)), least_linked(linked.T, root[:cut], len(rep))])
         new = np.minimum(root, new)
         new = new[new]
         if (new == root).all():
@@ -209,30 +245,35 @@ def exact_links(groups: DataFrame, options: JoinOptions) -> DataFrame:
     """
     need = options.threshold
 
-    def pairs(sets: list[np.ndarray], half: np.ndarray, same: bool) -> np.ndarray:
+    def pairs(sets: list[np.ndarray], cut: int | None) -> np.ndarray:
+        """Whether sets are linked: each with each or, given `cut`, those before it with the others."""
         sizes = np.array([len(s) for s in sets])
         grams, code = np.unique(np.concatenate(sets), return_inverse=True)
         owner = np.repeat(np.arange(len(sets)), sizes)
         shared = np.bincount(code, minlength=len(grams))
         keep = shared[code] > 1
         owner, code = owner[keep], np.unique(code[keep], return_inverse=True)[1]
-        together = np.zeros((len(sets), len(sets)), np.float32)
+        rows, columns = (slice(None), slice(None)) if cut is None else (slice(0, cut), slice(cut, None))
+        together = np.zeros((len(sizes[rows]), len(sizes[columns])), np.float32)
         width = int(code.max()) + 1 if len(code) else 0
-        step = max(1, (16 << 20) // max(1, len(sets)))
+        step = max(1, TABLE_CELLS // max(1, len(sets)))
         order = np.argsort(code, kind="stable")
         owner, code = owner[order], code[order]
         for begin in range(0, width, step):
             lo, hi = np.searchsorted(code, [begin, begin + step])
             table = np.zeros((len(sets), min(step, width - begin)), np.float32)
             table[owner[lo:hi], code[lo:hi] - begin] = 1
-            together += table @ table.T
-        union = sizes[:, None] + sizes[None, :] - together
-        linked = (together >= need * union - 1e-3) & (union > 0)
-        # Counts are whole numbers below 2**24, so the comparison can be made exact.
-        linked &= together.astype(np.int64) * 1000 >= np.int64(round(need * 1000)) * np.round(union).astype(np.int64)
-        np.fill_diagonal(linked, False)
-        if not same:
-            linked &= half[:, None] != half[None, :]
+            together += table[rows] @ table[columns].T
+        linked = np.empty(together.shape, bool)
+        for s in strips(together.shape):
+            some = together[s]
+            union = sizes[rows][s, None] + sizes[None, columns] - some
+            near = (some >= need * union - 1e-3) & (union > 0)
+            # Counts are whole numbers below 2**24, so the comparison can be made exact.
+            near &= some.astype(np.int64) * 1000 >= np.int64(round(need * 1000)) * np.round(union).astype(np.int64)
+            linked[s] = near
+        if cut is None:
+            np.fill_diagonal(linked, False)
         return linked
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,12 +286,18 @@ def exact_links(groups: DataFrame, options: JoinOptions) -> DataFrame:
             sets = []
             for _, _, buf, bounds in text_slices(pa.array([r[3] for r in rows], pa.string())):
                 sets += list(gram_sets(buf, bounds, options.n))
-            linked = pairs(sets, half, same)
-            a, b = star(rep, linked)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(linked @ copies)], ["rep", "other", "links"])
+            # Rows come by half, so the sets of the first block precede those of the second.
+            cut = None if same else int((half == 0).sum())
+            linked = pairs(sets, cut)
+            a, b = star(rep, linked, cut)
+            if same:
+                counts = copies_linked(linked, copies)
+            else:
+                counts = np.concatenate([copies_linked(linked, copies[cut:]), copies_linked(linked.T, copies[:cut])])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(counts)], ["rep", "other", "links"])
 
         now, held = None, []
-        for batch in batches:
+        for batch in (b.slice(k, TEXT_ROWS) for b in batches for k in range(0, b.num_rows, TEXT_ROWS)):
             for *key, half, rep, copies, text in zip(*(batch.column(c).to_pylist() for c in range(7)), strict=True):
                 if key != now and held:
                     yield links(held, now[1] == now[2])

@@ -8,8 +8,10 @@ import math
 import os
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from postsift.llm import curriculum, jaccard, suffixes, tables, topk, urls
 from postsift.llm.components import components
@@ -209,6 +211,43 @@ def test_blocks_are_bounded_by_sets_too(spark, documents):
     assert sorted(map(tuple, got)) == [(i, 0, 299, i) for i in range(300)]
 
 
+class Blocks:
+    """Stands for the dealt rows of `exact_links`; gives the function that compares them."""
+
+    def repartition(self, *_):
+        return self
+
+    sortWithinPartitions = repartition
+
+    def mapInArrow(self, function, _):
+        return function
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_comparing_blocks_takes_bounded_memory(same):
+    """3,000 sets of two blocks, or 2,000 of one: no matrix over all pairs is held in wide numbers."""
+    n, words = 2000 if same else 3000, " ".join(f"w{i}" for i in range(60))
+    half = np.zeros(n, np.int64) if same else np.arange(n) // (n // 2)
+    # Of each block the last 100 share nothing with the rest; number k + 1 stands for k + 1 copies.
+    alone = np.arange(n) % 1000 >= 900 if same else np.arange(n) % 1500 >= 1400
+    texts = [" ".join(f"u{i}x{k}" for k in range(30)) if a else f"{words} v{i}" for i, a in enumerate(alone)]
+    columns = [np.ones(n), np.zeros(n), np.full(n, 0 if same else 1), half, np.arange(n), np.arange(n) + 1]
+    batch = pa.RecordBatch.from_arrays([*(pa.array(c.astype(np.int64)) for c in columns), pa.array(texts)], list("gijhrct"))
+    compare = jaccard.exact_links(Blocks(), jaccard.JoinOptions())
+    tracemalloc.start()
+    try:
+        got = pa.Table.from_batches(list(compare(iter([batch])))).to_pydict()
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    sums = np.array([((np.arange(n) + 1) * ~alone * (half == h)).sum() for h in (0, 1)])
+    links = sums[0] - np.arange(n) - 1 if same else sums[1 - half]
+    assert got["rep"] == list(range(n))
+    assert got["other"] == np.where(alone, np.arange(n), 0).tolist()
+    assert got["links"] == np.where(alone, 0, links).tolist()
+    assert peak < 100, peak
+
+
 def test_jaccard_join_odd_tables(spark, documents):
     assert jaccard.jaccard_join(documents([])).collect() == []
     text = " ".join(str(i) for i in range(30))
